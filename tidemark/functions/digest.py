@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contract import Contract
@@ -41,19 +41,30 @@ def schema_fingerprint(contract: Contract, length: int = FINGERPRINT_LENGTH) ->
     return sha256_text(canonical_text({"table": contract.name, "columns": shape}), length)
 
 
-def lane_parts(row_hash: Column) -> list[Column]:
-    """Aggregates over the SHA-256 hex of each row; read them back with :func:`lane_totals`.
+def with_lanes(rows: DataFrame, row_hash: Column) -> DataFrame:
+    """``rows`` with the four lane numbers of each row's SHA-256 hex digest.
+
+    Added in two projections, so that the hash is computed once per row and not once per lane.
+    """
+    lanes = [
+        F.conv(F.substring("row_hash", 1 + _LANE_HEX * lane, _LANE_HEX), 16, 10).cast("bigint").alias(f"lane{lane}")
+        for lane in range(LANES)
+    ]
+    return rows.withColumn("row_hash", row_hash).select(*rows.columns, *lanes)
+
+
+def lane_parts() -> list[Column]:
+    """Aggregates over the columns of :func:`with_lanes`; read them back with :func:`lane_totals`.
 
     Sums of 20-bit integers: hash-aggregated on plain longs, combined on the map side, and
     independent of row order.
     """
     parts = []
     for lane in range(LANES):
-        digits = F.substring(row_hash, 1 + _LANE_HEX * lane, _LANE_HEX)
-        number = F.conv(digits, 16, 10).cast("bigint")
         for part in range(3):
-            bits = F.shiftright(number, _PART_BITS * part).bitwiseAND(F.lit((1 << _PART_BITS) - 1))
-            parts.append(F.coalesce(F.sum(bits), F.lit(0)).alias(f"lane{lane}_{part}"))
+            bits = F.shiftright(F.col(f"lane{lane}"), _PART_BITS * part)
+            masked = bits.bitwiseAND(F.lit((1 << _PART_BITS) - 1))
+            parts.append(F.coalesce(F.sum(masked), F.lit(0)).alias(f"lane{lane}_{part}"))
     return parts
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.checkpoint import Checkpoint
 from tidemark.contract import UPDATED_AT, Contract
 from tidemark.functions.canonical import iso_utc, utc_date
-from tidemark.functions.digest import lane_parts
+from tidemark.functions.digest import lane_parts, with_lanes
 from tidemark.operators.identity import identity_hash
 
 Deltas = Mapping[str, DataFrame]
@@ -55,8 +55,9 @@ def partition_counts(deltas: Deltas, contracts: Sequence[Contract]) -> DataFrame
     """Rows per table and UTC date, combined on the map side."""
     return (
         positions(deltas, contracts)
-        .groupBy("table_ordinal", "table", utc_date(F.col(UPDATED_AT)).alias("date"))
+        .groupBy("table_ordinal", "table", F.to_date(UPDATED_AT).alias("day"))
         .agg(F.count("*").alias("row_count"))
+        .select("table_ordinal", "table", utc_date(F.col("day")).alias("date"), "row_count")
     )
 
 
@@ -76,13 +77,13 @@ def digests(deltas: Deltas, contracts: Sequence[Contract]) -> DataFrame:
     per_table = []
     for i, c in enumerate(contracts):
         rows = deltas[c.name].select(UPDATED_AT, F.col(c.key).cast("bigint").alias("pk"))
-        lanes = lane_parts(identity_hash(c.name, F.col("pk"), F.col(UPDATED_AT)))
+        hashed = with_lanes(rows, identity_hash(c.name, F.col("pk"), F.col(UPDATED_AT)))
         per_table.append(
-            rows.agg(
+            hashed.agg(
                 F.count("*").alias("delta_row_count"),
                 F.count_if(F.col(UPDATED_AT).isNull() | F.col("pk").isNull() | (F.col("pk") < 0)).alias("invalid"),
                 F.max(F.struct(UPDATED_AT, "pk")).alias("last"),
-                *lanes,
+                *lane_parts(),
             ).select(
                 F.lit(i).alias("table_ordinal"),
                 F.lit(c.name).alias("table"),
