@@ -75,7 +75,7 @@ def encoded(value: Column, dtype: T.DataType) -> Column:
 def _lower_escapes(text: Column) -> Column:
     def lower(acc: Column, code: str) -> Column:
         # An even run of backslashes before the escape belongs to the text itself.
-        return F.regexp_replace(acc, rf"(?<!\\)((?:\\\\)*)\\u{code}", rf"$1\\\\u{code.lower()}")
+        return F.regexp_replace(acc, rf"(?<!\\)((?:\\\\)*)\\u{code}", rf"$1\\u{code.lower()}")
 
     return F.when(text.contains("\\u00"), reduce(lower, _LETTERED_ESCAPES, text)).otherwise(text)
 

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contract import UPDATED_AT, Contract
-from tidemark.functions.canonical import iso_utc
+from tidemark.functions.canonical import canonical_text, iso_utc
 
 
 def identity_text(table: str, pk: Column, updated_at: Column) -> Column:
-    """Canonical JSON of ``{pk, table, updated_at}``. The table name is quoted by the JSON writer."""
-    return F.to_json(F.struct(pk.alias("pk"), F.lit(table).alias("table"), iso_utc(updated_at).alias("updated_at")))
+    """Canonical JSON of ``{pk, table, updated_at}``; none of the values needs escaping per row."""
+    head, middle = '{"pk":', f',"table":{canonical_text(table)},"updated_at":"'
+    return F.concat(F.lit(head), pk.cast("string"), F.lit(middle), iso_utc(updated_at), F.lit('"}'))
 
 
 def identity_hash(table: str, pk: Column, updated_at: Column) -> Column:

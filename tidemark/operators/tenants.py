@@ -19,13 +19,16 @@ def tenant_partitions(rows: DataFrame, tenant: str) -> DataFrame:
     )
 
 
-def write_by_tenant(rows: DataFrame, contract: Contract, tenant: str, path: str) -> None:
+def write_by_tenant(rows: DataFrame, contract: Contract, tenant: str, path: str, tasks: int | None = None) -> None:
     """Canonical lines under ``tenant_id=…/event_date=…``.
 
     Range partitioning on tenant and position splits one dominant tenant over many tasks and
-    keeps small tenants together.
+    keeps small tenants together. ``tasks`` should follow the size of the batch; the default is
+    the session's number of shuffle partitions.
     """
-    placed = rows.repartitionByRange(tenant, UPDATED_AT, contract.key).select(
+    keys = (tenant, UPDATED_AT, contract.key)
+    placed = rows.repartitionByRange(tasks, *keys) if tasks else rows.repartitionByRange(*keys)
+    placed = placed.select(
         "*", F.col(tenant).alias("tenant_id"), utc_date(F.col(UPDATED_AT)).alias("event_date")
     )
     in_order = placed.sortWithinPartitions("tenant_id", "event_date", UPDATED_AT, contract.key)

@@ -12,7 +12,7 @@ from tidemark.checkpoint import from_iso, to_iso
 from tidemark.contract import UPDATED_AT, Contract
 from tidemark.functions.canonical import utc_date
 from tidemark.plans.commits import SHARE_DATE, Commit, CommitLog, Leaves, leaf
-from tidemark.plans.publish import LAKE, SHARE, write_lines
+from tidemark.plans.publish import LAKE, SHARE, range_tasks, write_lines
 from tidemark.session import require_utc
 
 
@@ -54,12 +54,13 @@ def compact(
         sources = [log.store.path(leaf(contract.directory, LAKE, d, r)) for d, ids in chosen.items() for r in ids]
         claim.intend([leaf(contract.directory, LAKE, d, run_id) for d in chosen], None)
 
+        tasks = range_tasks(sum(log.store.size(path) for path in sources), least=1)
         position = F.from_json("value", f"`{UPDATED_AT}` timestamp, `{contract.key}` bigint")
         lines = (
             spark.read.text(sources)
             .select("value", position.alias("p"))
             .select("value", F.col(f"p.{UPDATED_AT}").alias("at"), F.col(f"p.{contract.key}").alias("pk"))
-            .repartitionByRange("at", "pk")
+            .repartitionByRange(tasks, "at", "pk")
             .select("*", F.lit(LAKE).alias("output"), utc_date(F.col("at")).alias("date"), F.lit(run_id).alias("run_id"))
             .sortWithinPartitions("output", "date", "at", "pk")
             .select("value", "output", "date", "run_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.checkpoint import Checkpoint
@@ -14,7 +14,19 @@ from tidemark.plans.commits import SHARE_DATE
 LAKE, SHARE = "lake", "share"
 
 
-def output_lines(rows: DataFrame, contract: Contract, run_id: str, after: Checkpoint) -> DataFrame:
+# Staged Parquet bytes one task turns into lines, and the most tasks one shuffle is given.
+TASK_BYTES = 64 << 20
+MOST_TASKS = 50_000
+
+
+def range_tasks(staged_bytes: int, least: int) -> int:
+    """How many ranges to cut a batch into: by its size, since ranges are not split later."""
+    return max(least, min(MOST_TASKS, -(-staged_bytes // TASK_BYTES)))
+
+
+def output_lines(
+    rows: DataFrame, contract: Contract, run_id: str, after: Checkpoint, tasks: int | None = None
+) -> DataFrame:
     """``(output, date, run_id, value)``: every row once for the lake and once for the share.
 
     The only shuffle of a run's rows is this range partitioning by ``(updated_at, pk)``. It
@@ -22,7 +34,8 @@ def output_lines(rows: DataFrame, contract: Contract, run_id: str, after: Checkp
     ranges follow the total order, reading an output's files in name order gives the rows in
     order. Lines are rendered after the shuffle, so typed columns travel, not text.
     """
-    placed = rows.repartitionByRange(UPDATED_AT, contract.key)
+    keys = (UPDATED_AT, contract.key)
+    placed = rows.repartitionByRange(tasks, *keys) if tasks else rows.repartitionByRange(*keys)
     doubled = placed.select("*", F.explode(F.array(F.lit(LAKE), F.lit(SHARE))).alias("output"))
     dated = doubled.select(
         "*",
@@ -39,9 +52,3 @@ def write_lines(lines: DataFrame, path: str, compression: str | None) -> None:
     if compression:
         writer = writer.option("compression", compression)
     writer.partitionBy("output", "date", "run_id").text(path)
-
-
-def write_events(spark: SparkSession, lines: list[str], path: str) -> None:
-    """One line per table, in table order."""
-    rows = spark.createDataFrame([(line,) for line in lines], "value string")
-    rows.coalesce(1).write.mode("overwrite").text(path)

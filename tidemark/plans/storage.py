@@ -107,6 +107,11 @@ class Store:
     def delete(self, relative: str) -> None:
         self._fs.delete(self._java(relative), True)
 
+    def size(self, uri: str) -> int:
+        """Bytes below a path that may lie outside the root."""
+        path = self._hadoop.Path(uri)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
     def delete_uri(self, uri: str) -> None:
         """Delete a tree that may lie outside the root, such as staged rows."""
         path = self._hadoop.Path(uri)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, datetime, timedelta
 from typing import Any
@@ -26,7 +27,7 @@ from tidemark.operators.delta import delta
 from tidemark.operators.identity import identity_text
 from tidemark.operators.summary import digests, touched_partitions
 from tidemark.plans.commits import SHARE_DATE, Claim, Commit, CommitLog, leaf
-from tidemark.plans.publish import LAKE, SHARE, output_lines, write_events, write_lines
+from tidemark.plans.publish import LAKE, SHARE, output_lines, range_tasks, write_lines
 from tidemark.session import require_utc, scratch_root
 from tidemark.sources.published import lake_paths, share_path
 from tidemark.sources.tables import TableSource
@@ -42,12 +43,16 @@ class SyncOptions:
     it refuses a delta of more than ``exact_limit`` rows. ``lanes`` aggregates hashes on the
     executors and takes any size. ``auto`` uses ``exact`` up to the limit and ``lanes`` beyond;
     the choice depends only on the delta, so equal inputs still give equal ids.
+
+    Outputs are cut into tasks by their size. A batch too small for that still spreads over the
+    cores in pieces of ``small_task_rows``.
     """
 
     identity: str = "auto"
     exact_limit: int = 100_000
     run_id_length: int = RUN_ID_LENGTH
     compression: str | None = None
+    small_task_rows: int = 20_000
     stale_after: timedelta = timedelta(hours=6)
     echo: bool = True
 
@@ -198,18 +203,30 @@ def event_lines(facts: RunFacts, entries: Sequence[TableManifest]) -> list[str]:
     ]
 
 
+def _each_table(job: Callable[[Contract], Any], contracts: Sequence[Contract]) -> list[Any]:
+    """Run one job per table at the same time, so that a small table does not wait for a large one.
+
+    All jobs have ended, well or not, when this returns.
+    """
+    if len(contracts) < 2:
+        return [job(c) for c in contracts]
+    with ThreadPoolExecutor(len(contracts)) as pool:
+        return list(pool.map(job, contracts))
+
+
 def _stage(spark: SparkSession, rows: Mapping[str, DataFrame], contracts: Sequence[Contract], stage: str) -> dict[str, DataFrame]:
     """Copy each delta once, so that counts, ids and outputs all see the same rows.
 
     A map-only write; caching would not do, since a lost block is read again from a source
     that may have moved on.
     """
-    staged = {}
-    for c in contracts:
+
+    def copy(c: Contract) -> DataFrame:
         path = f"{stage}/{c.name}"
         rows[c.name].write.mode("overwrite").parquet(path)
-        staged[c.name] = spark.read.schema(c.schema).parquet(path)
-    return staged
+        return spark.read.schema(c.schema).parquet(path)
+
+    return dict(zip((c.name for c in contracts), _each_table(copy, contracts)))
 
 
 def _echo(lines: Sequence[str]) -> None:
@@ -247,12 +264,16 @@ def publish(
     targets = [leaf(c.directory, LAKE, d, facts.run_id) for c in changed for d in facts.dates[c.name]]
     targets += [leaf(c.directory, SHARE, SHARE_DATE, facts.run_id) for c in changed]
     claim.intend(targets, stage)
-    for c in changed:
-        write_lines(
-            output_lines(deltas[c.name], c, facts.run_id, facts.after), log.store.path(c.directory), options.compression
-        )
+
+    def write(c: Contract) -> None:
+        least = min(spark.sparkContext.defaultParallelism, -(-facts.counts[c.name] // options.small_task_rows))
+        tasks = range_tasks(log.store.size(f"{stage}/{c.name}"), least)
+        lines = output_lines(deltas[c.name], c, facts.run_id, facts.after, tasks)
+        write_lines(lines, log.store.path(c.directory), options.compression)
+
+    _each_table(write, changed)
     lines = event_lines(facts, entries)
-    write_events(spark, lines, log.store.path("events", f"run_id={facts.run_id}"))
+    log.store.replace(f"events/run_id={facts.run_id}/events.json", "".join(line + "\n" for line in lines))
 
     last = log.latest()
     shares = dict(last.shares) if last else {}
