@@ -122,7 +122,7 @@ def test_compaction_keeps_content_and_history(spark, root):
     assert done.kind == "compact"
     after = read_lake(spark, root, CASES, with_run=True)
     assert after.drop("run_id").exceptAll(rows).count() == 0 and after.count() == 215
-    assert [r.run_id for r in after.select("run_id").distinct().collect()] == [done.run_id]
+    assert [r.run_id for r in after.select("run_id").distinct().collect()] == [f"{done.run_id}-json"]
     assert read_lake(spark, root, CASES, as_of=1).count() == 200
     assert read_share(spark, root, CASES).count() == 15
     idle = sync(spark, late, root, clock=lambda: utc(2026, 4, 18))
@@ -162,3 +162,17 @@ def test_many_commits_are_read_by_spark(spark, root):
         assert len(CommitLog(spark, root).sequence_numbers()) == len(claim_seq) + 1
     assert [c.seq for c in CommitLog(spark, root).history()] == list(range(1, 19))
     assert read_lake(spark, root, CUSTOMERS).count() == 30
+
+
+def test_compaction_of_both_formats(spark, root):
+    from tidemark import SyncOptions
+
+    sync(spark, seeded(spark), root, options=SyncOptions(echo=False, lake_format="parquet"))
+    sync(spark, changed(spark), root)
+    rows = read_lake(spark, root, CASES)
+    compact(spark, root, CASES, min_runs=1)
+    after = read_lake(spark, root, CASES)
+    assert after.exceptAll(rows).count() == 0 and after.count() == 215
+    live = CommitLog(spark, root).live_leaves()["cases"]
+    assert sorted(part["format"] for part in live.values()) == ["json", "parquet"]
+    assert sum(n for part in live.values() for n in part["dates"].values()) == 215

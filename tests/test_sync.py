@@ -4,14 +4,14 @@ import pytest
 from helpers import FIRST_RUN, NO_OP_RUN, SECOND_RUN, changed, files, lines, local, one_more_customer, seeded, sources, utc
 from pyspark.sql import functions as F
 
-from tidemark import CASES, CUSTOMERS, Checkpoint, HighWaterMark, SyncOptions, sync
+from tidemark import CASES, CUSTOMERS, Checkpoint, Contract, HighWaterMark, SyncOptions, TableSource, sync
 from tidemark.errors import ContractError
 from tidemark.functions.canonical import canonical_text
 from tidemark.operators.consumer import next_cursor, read_as_of, read_changes_since
 from tidemark.plans.commits import CommitLog, seed_checkpoint
 from tidemark.plans.publish import output_lines, range_tasks
 from tidemark.sources import seed
-from tidemark.sources.published import read_events, read_lake, read_share
+from tidemark.sources.published import last_date_of_page, read_events, read_lake, read_share
 
 
 def test_first_run_then_no_op_then_changes(spark, root):
@@ -199,3 +199,57 @@ def test_nothing_published_yet(spark, root):
     assert read_events(spark, root).collect() == []
     assert CommitLog(spark, root).checkpoint(["customers"]).mark("customers") == HighWaterMark()
     assert files(root) == {}
+
+
+def diary(spark, shift=0):
+    rows = spark.range(1, 400).selectExpr(
+        f"id + {shift} AS entry_id",
+        "CAST(TIMESTAMP '2026-01-01T00:00:00Z' + make_dt_interval(0, id % 240) AS DATE) AS date",
+        "concat('o', id) AS output",
+        f"TIMESTAMP '2026-01-01T00:00:00Z' + make_dt_interval({shift}, id % 240) AS updated_at",
+    )
+    return TableSource.of(rows.repartition(5, "output"), DIARY)
+
+
+DIARY = Contract(
+    "diary", "entry_id", (("entry_id", "bigint"), ("date", "date"), ("output", "text"), ("updated_at", "timestamptz"))
+)
+
+
+def test_columns_named_like_partitions(spark, root):
+    source = diary(spark)
+    manifest = sync(spark, [source], root, options=SyncOptions(echo=False, small_task_rows=100))
+    assert read_lake(spark, root, DIARY).exceptAll(source.frame).count() == 0
+    for path in [*manifest.tables[0].lake_paths, manifest.tables[0].share_path]:
+        keys = [(r["updated_at"], r["entry_id"]) for r in map(json.loads, lines(path))]
+        assert keys == sorted(keys) and keys
+    with pytest.raises(ContractError, match="date"):
+        sync(spark, [diary(spark, 1000)], root, options=SyncOptions(echo=False, lake_format="parquet"))
+
+
+def test_lake_of_lines_and_columns(spark, root):
+    columnar = SyncOptions(echo=False, lake_format="parquet")
+    first = sync(spark, seeded(spark), root, options=columnar)
+    assert first.run_id == FIRST_RUN
+    assert sync(spark, changed(spark), root).run_id == SECOND_RUN
+    rows = read_lake(spark, root, CASES, with_run=True)
+    assert rows.where(f"run_id = '{FIRST_RUN}'").drop("run_id").exceptAll(seed.cases(spark)).count() == 0
+    assert rows.count() == 215
+    assert read_share(spark, root, CUSTOMERS).count() == 2
+    from helpers import plan
+
+    narrow = read_lake(spark, root, CASES, last_date="2026-03-30").where("case_id = 7").select("updated_at")
+    assert "PushedFilters: [IsNotNull(case_id), EqualTo(case_id,7)]" in plan(narrow)
+    assert "ReadSchema: struct<case_id:bigint,updated_at:timestamp>" in plan(narrow)
+    with pytest.raises(ContractError):
+        SyncOptions(lake_format="avro")
+
+
+def test_pages_read_only_the_dates_they_need(spark, root):
+    sync(spark, seeded(spark), root)
+    sync(spark, changed(spark), root)
+    leaves = CommitLog(spark, root).live_leaves()
+    assert sum(n for part in leaves["cases"].values() for n in part["dates"].values()) == 215
+    assert last_date_of_page(leaves, CASES, "2026-03-10", 1) == "2026-03-11"
+    assert last_date_of_page(leaves, CASES, "2026-03-10", 20) == "2026-03-13"
+    assert last_date_of_page(leaves, CASES, "2026-03-10", 10_000) is None

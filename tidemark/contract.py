@@ -25,6 +25,9 @@ SPARK_TYPES: dict[str, T.DataType] = {
     "double precision": T.DoubleType(),
 }
 
+# The members of a share record besides the table's key.
+ENVELOPE_NAMES = ("checkpoint_after", "op", "record", "run_id", "schema_fingerprint", "table", "updated_at")
+
 
 @dataclass(frozen=True)
 class Contract:
@@ -47,6 +50,8 @@ class Contract:
             if source_type not in SPARK_TYPES:
                 raise ContractError(f"{self.name}: no Spark type for source type {source_type!r}")
             seen.add(column)
+        if self.key in ENVELOPE_NAMES:
+            raise ContractError(f"{self.name}: key {self.key!r} would hide a member of the share record")
         for needed in (self.key, UPDATED_AT):
             if needed not in seen:
                 raise ContractError(f"{self.name}: column {needed!r} is required")

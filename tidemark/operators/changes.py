@@ -11,19 +11,18 @@ OP = "op"
 
 
 def apply_changes(rows: DataFrame, changes: DataFrame, contract: Contract) -> DataFrame:
-    """``rows`` after an upsert of ``changes``: changed keys replaced, new keys added."""
+    """``rows`` after an upsert of ``changes``: changed keys replaced, new keys added.
+
+    ``changes`` holds each key once. An anti join rather than an outer one: while the changed
+    keys are few Spark sends them to the rows, and the table itself is not shuffled.
+    """
     names = contract.column_names
     kept = rows.select(*names).join(changes.select(contract.key), contract.key, "left_anti")
     return kept.select(*names).unionByName(changes.select(*names))
 
 
 def merge_with_deletes(state: DataFrame, batch: DataFrame, contract: Contract) -> DataFrame:
-    """``state`` after a batch whose ``op`` is ``upsert`` or ``delete``; one change per key.
-
-    One join on the key replaces, adds and removes at once.
-    """
+    """``state`` after a batch whose ``op`` is ``upsert`` or ``delete``; one change per key."""
     names = contract.column_names
-    old = state.select(F.col(contract.key), F.struct(*names).alias("old"))
-    new = batch.select(F.col(contract.key), F.struct(*names).alias("new"), F.col(OP))
-    merged = old.join(new, contract.key, "full_outer").where(F.col(OP).isNull() | (F.col(OP) != "delete"))
-    return merged.select(F.coalesce("new", "old").alias("row")).select("row.*")
+    kept = state.select(*names).join(batch.select(contract.key), contract.key, "left_anti")
+    return kept.select(*names).unionByName(batch.where(F.col(OP) != "delete").select(*names))

@@ -15,7 +15,7 @@ from tidemark.functions.canonical import iso_utc
 from tidemark.operators.changes import OP
 from tidemark.operators.delta import past
 from tidemark.plans.commits import CommitLog
-from tidemark.sources.published import read_lake
+from tidemark.sources.published import last_date_of_page, read_lake
 
 
 def changes_since(log_rows: DataFrame, contract: Contract, cursor: HighWaterMark, page: int) -> DataFrame:
@@ -36,8 +36,14 @@ def next_cursor(page_rows: DataFrame, contract: Contract, cursor: HighWaterMark)
 def read_changes_since(
     spark: SparkSession, root: str, contract: Contract, cursor: HighWaterMark, page: int
 ) -> DataFrame:
-    """:func:`changes_since` on the committed lake, listing no date before the cursor's."""
-    rows = read_lake(spark, root, contract, first_date=cursor.at[:10])
+    """:func:`changes_since` on the committed lake.
+
+    Reads the cursor's date and as many later ones as hold a page, by the row counts in the
+    commit log; a consumer far behind does not scan everything it has yet to see.
+    """
+    first = cursor.at[:10]
+    last = last_date_of_page(CommitLog(spark, root).live_leaves(), contract, first, page)
+    rows = read_lake(spark, root, contract, first_date=first, last_date=last)
     return changes_since(rows, contract, cursor, page)
 
 

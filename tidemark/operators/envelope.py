@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.checkpoint import Checkpoint
 from tidemark.contract import UPDATED_AT, Contract
-from tidemark.functions.canonical import canonical_json, canonical_row, encoded
+from tidemark.functions.canonical import canonical_row, canonical_text, encoded, iso_utc
 from tidemark.functions.digest import schema_fingerprint
 
 OP_UPSERT = "upsert"
@@ -63,10 +63,39 @@ def share_records(rows: DataFrame, contract: Contract, run_id: str, after: Check
     return rows.select(*[c.alias(n) for n, c in share_fields(contract, F.lit(run_id), after).items()])
 
 
-def share_line(contract: Contract, run_id: str, after: Checkpoint) -> Column:
-    types = {f.name: f.dataType for f in share_schema(contract).fields}
-    return canonical_json(share_fields(contract, F.lit(run_id), after), types)
-
-
 def lake_line(contract: Contract) -> Column:
     return canonical_row(contract.schema)
+
+
+def envelope(contract: Contract, run_id: str, after: Checkpoint) -> tuple[Column, Column]:
+    """What comes before and after the lake line in a share line.
+
+    A canonical object is its members' canonical texts in order of their names. All but three
+    members are the same for every row, and ``record`` is the lake line itself, so a share line
+    costs little more than the lake line it surrounds.
+    """
+    constant = {
+        "checkpoint_after": after.as_dict(),
+        "op": OP_UPSERT,
+        "run_id": run_id,
+        "schema_fingerprint": schema_fingerprint(contract),
+        "table": contract.name,
+    }
+    members = {name: F.lit(canonical_text(value)) for name, value in constant.items()}
+    members[contract.key] = F.col(contract.key).cast("string")
+    members[UPDATED_AT] = F.concat(F.lit('"'), iso_utc(F.col(UPDATED_AT)), F.lit('"'))
+
+    def joined(names: list[str], lead: str, between: str) -> list[Column]:
+        texts: list[Column] = []
+        for i, name in enumerate(names):
+            texts += [F.lit((between if i else lead) + canonical_text(name) + ":"), members[name]]
+        return texts
+
+    head = joined(sorted(n for n in members if n < "record"), "{", ",")
+    tail = joined(sorted(n for n in members if n > "record"), ",", ",")
+    return F.concat(*head, F.lit(',"record":')), F.concat(*tail, F.lit("}"))
+
+
+def share_line(contract: Contract, run_id: str, after: Checkpoint) -> Column:
+    head, tail = envelope(contract, run_id, after)
+    return F.concat(head, lake_line(contract), tail)

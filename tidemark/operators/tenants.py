@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import UPDATED_AT, Contract
 from tidemark.functions.canonical import utc_date
-from tidemark.operators.envelope import lake_line
 
 
 def tenant_partitions(rows: DataFrame, tenant: str) -> DataFrame:
@@ -20,7 +19,7 @@ def tenant_partitions(rows: DataFrame, tenant: str) -> DataFrame:
 
 
 def write_by_tenant(rows: DataFrame, contract: Contract, tenant: str, path: str, tasks: int | None = None) -> None:
-    """Canonical lines under ``tenant_id=…/event_date=…``.
+    """Parquet under ``tenant_id=…/event_date=…``.
 
     Range partitioning on tenant and position splits one dominant tenant over many tasks and
     keeps small tenants together. ``tasks`` should follow the size of the batch; the default is
@@ -32,6 +31,5 @@ def write_by_tenant(rows: DataFrame, contract: Contract, tenant: str, path: str,
         "*", F.col(tenant).alias("tenant_id"), utc_date(F.col(UPDATED_AT)).alias("event_date")
     )
     in_order = placed.sortWithinPartitions("tenant_id", "event_date", UPDATED_AT, contract.key)
-    lines = in_order.select(lake_line(contract).alias("value"), "tenant_id", "event_date")
-    writer = lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("tenant_id", "event_date").text(path)
+    writer = in_order.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("tenant_id", "event_date").parquet(path)

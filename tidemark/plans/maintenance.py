@@ -2,18 +2,51 @@
 
 from __future__ import annotations
 
-from datetime import UTC, datetime, timedelta
 from dataclasses import replace
+from datetime import UTC, datetime, timedelta
+from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.checkpoint import from_iso, to_iso
 from tidemark.contract import UPDATED_AT, Contract
 from tidemark.functions.canonical import utc_date
-from tidemark.plans.commits import SHARE_DATE, Commit, CommitLog, Leaves, leaf
-from tidemark.plans.publish import LAKE, SHARE, range_tasks, write_lines
+from tidemark.plans.commits import SHARE_DATE, Commit, CommitLog, LeafNames, Leaves, leaf
+from tidemark.plans.publish import LAKE, SHARE, range_tasks, write_leaves
 from tidemark.session import require_utc
+from tidemark.sources.published import JSON
+
+
+def _crowded(
+    runs: dict[str, dict[str, Any]], min_runs: int, dates: list[str] | None
+) -> dict[str, dict[str, list[str]]]:
+    """Format -> date -> the runs to merge, where at least ``min_runs`` of one format wrote a date."""
+    found: dict[str, dict[str, list[str]]] = {}
+    for run_id, part in sorted(runs.items()):
+        for date in part["dates"]:
+            if dates is None or date in dates:
+                found.setdefault(part["format"], {}).setdefault(date, []).append(run_id)
+    crowded = {f: {d: ids for d, ids in per.items() if len(ids) >= min_runs} for f, per in found.items()}
+    return {f: per for f, per in crowded.items() if per}
+
+
+def _placed(rows: DataFrame, contract: Contract, tasks: int) -> DataFrame:
+    placed = rows.repartitionByRange(tasks, UPDATED_AT, contract.key)
+    dated = placed.select("*", F.lit(LAKE).alias("output"), utc_date(F.col(UPDATED_AT)).alias("date"))
+    return dated.sortWithinPartitions("output", "date", UPDATED_AT, contract.key)
+
+
+def _lines(spark: SparkSession, contract: Contract, sources: list[str], tasks: int) -> DataFrame:
+    """The lines as they are; only their position is parsed."""
+    position = F.from_json("value", f"`{UPDATED_AT}` timestamp, `{contract.key}` bigint")
+    lines = spark.read.text(sources).select("value", position.alias("p")).select("value", "p.*")
+    return _placed(lines, contract, tasks).select("value", "output", "date")
+
+
+def _columns(spark: SparkSession, contract: Contract, sources: list[str], tasks: int) -> DataFrame:
+    """All columns the files have, also those the contract no longer names."""
+    return _placed(spark.read.option("mergeSchema", True).parquet(*sources), contract, tasks)
 
 
 def compact(
@@ -27,8 +60,8 @@ def compact(
 ) -> Commit | None:
     """Merge the lake directories of every date written by ``min_runs`` runs or more.
 
-    The lines are copied as they are, into order, into directories of a new run; a commit swaps
-    them in. The old directories stay readable for earlier commits until :func:`expire`.
+    Rows are copied as they are, into order, into directories of a new run; a commit swaps them
+    in. The old directories stay readable for earlier commits until :func:`expire`.
     """
     require_utc(spark)
     now = now or datetime.now(UTC)
@@ -37,45 +70,35 @@ def compact(
     claim = log.claim(now)
     try:
         runs = log.live_leaves().get(contract.name, {})
-        per_date: dict[str, list[str]] = {}
-        for run_id, covered in runs.items():
-            for date in covered:
-                per_date.setdefault(date, []).append(run_id)
-        chosen = {
-            d: sorted(ids) for d, ids in per_date.items() if len(ids) >= min_runs and (dates is None or d in dates)
-        }
+        chosen = _crowded(runs, min_runs, dates)
         if not chosen:
             return None
-        run_id = f"compact-{claim.seq:020d}"
-        removed: Leaves = {contract.name: {}}
-        for date, ids in sorted(chosen.items()):
-            for old in ids:
-                removed[contract.name].setdefault(old, []).append(date)
-        sources = [log.store.path(leaf(contract.directory, LAKE, d, r)) for d, ids in chosen.items() for r in ids]
-        claim.intend([leaf(contract.directory, LAKE, d, run_id) for d in chosen], None)
-
-        tasks = range_tasks(sum(log.store.size(path) for path in sources), least=1)
-        position = F.from_json("value", f"`{UPDATED_AT}` timestamp, `{contract.key}` bigint")
-        lines = (
-            spark.read.text(sources)
-            .select("value", position.alias("p"))
-            .select("value", F.col(f"p.{UPDATED_AT}").alias("at"), F.col(f"p.{contract.key}").alias("pk"))
-            .repartitionByRange(tasks, "at", "pk")
-            .select("*", F.lit(LAKE).alias("output"), utc_date(F.col("at")).alias("date"), F.lit(run_id).alias("run_id"))
-            .sortWithinPartitions("output", "date", "at", "pk")
-            .select("value", "output", "date", "run_id")
-        )
-        write_lines(lines, log.store.path(contract.directory), compression)
+        run_ids = {fmt: f"compact-{claim.seq:020d}-{fmt}" for fmt in chosen}
+        targets = [leaf(contract.directory, LAKE, d, run_ids[fmt]) for fmt, per in chosen.items() for d in per]
+        claim.intend(targets, None)
+        removed: LeafNames = {contract.name: {}}
+        added: Leaves = {contract.name: {}}
+        for fmt, per_date in chosen.items():
+            sources = [log.store.path(leaf(contract.directory, LAKE, d, r)) for d, ids in per_date.items() for r in ids]
+            tasks = range_tasks(sum(log.store.size(path) for path in sources), least=1)
+            merged = _lines if fmt == JSON else _columns
+            rows = merged(spark, contract, sources, tasks).withColumn("run_id", F.lit(run_ids[fmt]))
+            write_leaves(rows, log.store.path(contract.directory), "text" if fmt == JSON else fmt, compression)
+            counts = {d: sum(runs[r]["dates"][d] for r in ids) for d, ids in per_date.items()}
+            added[contract.name][run_ids[fmt]] = {"format": fmt, "dates": counts}
+            for date, ids in sorted(per_date.items()):
+                for old in ids:
+                    removed[contract.name].setdefault(old, []).append(date)
 
         last = log.latest()
         commit = Commit(
             seq=claim.seq,
             kind="compact",
-            run_id=run_id,
+            run_id=f"compact-{claim.seq:020d}",
             committed_at=to_iso(now),
             checkpoint_before=last.checkpoint_after,
             checkpoint_after=last.checkpoint_after,
-            lake_added={contract.name: {run_id: sorted(chosen)}},
+            lake_added=added,
             lake_removed=removed,
             shares=last.shares,
             origin=last.origin,

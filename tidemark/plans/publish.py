@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from tidemark.checkpoint import Checkpoint
 from tidemark.contract import UPDATED_AT, Contract
+from tidemark.errors import ContractError
 from tidemark.functions.canonical import utc_date
-from tidemark.operators.envelope import lake_line, share_line
+from tidemark.operators.envelope import envelope, lake_line
 from tidemark.plans.commits import SHARE_DATE
 
 LAKE, SHARE = "lake", "share"
+PARTITION_COLUMNS = {"output", "date", "run_id"}
 
 
 # Staged Parquet bytes one task turns into lines, and the most tasks one shuffle is given.
@@ -25,30 +27,67 @@ def range_tasks(staged_bytes: int, least: int) -> int:
 
 
 def output_lines(
-    rows: DataFrame, contract: Contract, run_id: str, after: Checkpoint, tasks: int | None = None
+    rows: DataFrame,
+    contract: Contract,
+    run_id: str,
+    after: Checkpoint,
+    tasks: int,
+    outputs: tuple[str, ...] = (LAKE, SHARE),
 ) -> DataFrame:
-    """``(output, date, run_id, value)``: every row once for the lake and once for the share.
+    """``(output, date, run_id, value)``: every row once for each output.
 
     The only shuffle of a run's rows is this range partitioning by ``(updated_at, pk)``. It
     splits a hot date, even a hot instant, over as many tasks as its size asks for; and since
     ranges follow the total order, reading an output's files in name order gives the rows in
     order. Lines are rendered after the shuffle, so typed columns travel, not text.
     """
-    keys = (UPDATED_AT, contract.key)
-    placed = rows.repartitionByRange(tasks, *keys) if tasks else rows.repartitionByRange(*keys)
-    doubled = placed.select("*", F.explode(F.array(F.lit(LAKE), F.lit(SHARE))).alias("output"))
+    # Names no table column has: a table may well have a column called date.
+    placed = rows.repartitionByRange(tasks, UPDATED_AT, contract.key)
+    doubled = placed.select("*", F.explode(F.array(*[F.lit(o) for o in outputs])).alias("_output"))
     dated = doubled.select(
         "*",
-        F.when(F.col("output") == LAKE, utc_date(F.col(UPDATED_AT))).otherwise(SHARE_DATE).alias("date"),
+        F.when(F.col("_output") == LAKE, utc_date(F.col(UPDATED_AT))).otherwise(SHARE_DATE).alias("_date"),
     )
+    in_order = dated.sortWithinPartitions("_output", "_date", UPDATED_AT, contract.key)
+    head, tail = (F.when(F.col("_output") == SHARE, part).otherwise("") for part in envelope(contract, run_id, after))
+    line = F.concat(head, lake_line(contract), tail)
+    return in_order.select(
+        line.alias("value"), F.col("_output").alias("output"), F.col("_date").alias("date"), F.lit(run_id).alias("run_id")
+    )
+
+
+def lake_rows(rows: DataFrame, contract: Contract, run_id: str, tasks: int) -> DataFrame:
+    """The rows of a columnar lake, placed and ordered like lines."""
+    clash = PARTITION_COLUMNS & set(contract.column_names)
+    if clash:
+        raise ContractError(f"{contract.name}: a Parquet lake cannot hold columns named {sorted(clash)}")
+    placed = rows.repartitionByRange(tasks, UPDATED_AT, contract.key)
+    dated = placed.select("*", F.lit(LAKE).alias("output"), utc_date(F.col(UPDATED_AT)).alias("date"))
     in_order = dated.sortWithinPartitions("output", "date", UPDATED_AT, contract.key)
-    line = F.when(F.col("output") == LAKE, lake_line(contract)).otherwise(share_line(contract, run_id, after))
-    return in_order.select(line.alias("value"), "output", "date", F.lit(run_id).alias("run_id"))
+    return in_order.withColumn("run_id", F.lit(run_id))
 
 
-def write_lines(lines: DataFrame, path: str, compression: str | None) -> None:
-    """Replace exactly the directories the lines fall into; a repeated run overwrites itself only."""
-    writer = lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def write_leaves(rows: DataFrame, path: str, fmt: str, compression: str | None) -> None:
+    """Replace exactly the directories the rows fall into; a repeated run overwrites itself only."""
+    writer = rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if compression:
         writer = writer.option("compression", compression)
-    writer.partitionBy("output", "date", "run_id").text(path)
+    writer.partitionBy("output", "date", "run_id").save(path)
+
+
+def write_batch(
+    rows: DataFrame,
+    contract: Contract,
+    run_id: str,
+    after: Checkpoint,
+    path: str,
+    tasks: int,
+    lake_format: str,
+    compression: str | None,
+) -> None:
+    """Lake and share of one table. Lines of both come from one pass; a Parquet lake is its own."""
+    if lake_format == "json":
+        write_leaves(output_lines(rows, contract, run_id, after, tasks), path, "text", compression)
+        return
+    write_leaves(lake_rows(rows, contract, run_id, tasks), path, lake_format, None)
+    write_leaves(output_lines(rows, contract, run_id, after, tasks, (SHARE,)), path, "text", compression)

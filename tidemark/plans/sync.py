@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import UTC, datetime, timedelta
 from typing import Any
 
@@ -25,11 +25,11 @@ from tidemark.functions.digest import (
 )
 from tidemark.operators.delta import delta
 from tidemark.operators.identity import identity_text
-from tidemark.operators.summary import digests, touched_partitions
+from tidemark.operators.summary import digests, partition_counts
 from tidemark.plans.commits import SHARE_DATE, Claim, Commit, CommitLog, leaf
-from tidemark.plans.publish import LAKE, SHARE, output_lines, range_tasks, write_lines
+from tidemark.plans.publish import LAKE, SHARE, range_tasks, write_batch
 from tidemark.session import require_utc, scratch_root
-from tidemark.sources.published import lake_paths, share_path
+from tidemark.sources.published import JSON, PARQUET, share_path
 from tidemark.sources.tables import TableSource
 
 Clock = Callable[[], datetime]
@@ -44,6 +44,10 @@ class SyncOptions:
     executors and takes any size. ``auto`` uses ``exact`` up to the limit and ``lanes`` beyond;
     the choice depends only on the delta, so equal inputs still give equal ids.
 
+    ``lake_format`` is ``json`` for canonical lines or ``parquet``, which lets readers of a large
+    lake skip columns and row groups at the price of a second shuffle per run. ``compression``
+    applies to lines.
+
     Outputs are cut into tasks by their size. A batch too small for that still spreads over the
     cores in pieces of ``small_task_rows``.
     """
@@ -51,6 +55,7 @@ class SyncOptions:
     identity: str = "auto"
     exact_limit: int = 100_000
     run_id_length: int = RUN_ID_LENGTH
+    lake_format: str = JSON
     compression: str | None = None
     small_task_rows: int = 20_000
     stale_after: timedelta = timedelta(hours=6)
@@ -59,6 +64,8 @@ class SyncOptions:
     def __post_init__(self) -> None:
         if self.identity not in ("auto", "exact", "lanes"):
             raise ContractError(f"unknown identity scheme {self.identity!r}")
+        if self.lake_format not in (JSON, PARQUET):
+            raise ContractError(f"unknown lake format {self.lake_format!r}")
 
 
 @dataclass(frozen=True)
@@ -104,8 +111,8 @@ class RunFacts:
     before: Checkpoint
     after: Checkpoint
     counts: dict[str, int]
-    dates: dict[str, list[str]]
-    contracts: Sequence[Contract] = field(default_factory=tuple)
+    dates: dict[str, dict[str, int]]  # rows per touched date
+    contracts: Sequence[Contract]
 
 
 def _check_rows(summary: Mapping[str, Any], contracts: Sequence[Contract]) -> None:
@@ -153,11 +160,11 @@ def examine(
         for c in contracts
         if summary[c.name]["delta_row_count"]
     }
-    dates: dict[str, list[str]] = {c.name: [] for c in contracts}
+    dates: dict[str, dict[str, int]] = {c.name: {} for c in contracts}
     changed = [c for c in contracts if c.name in moved]
     if changed:
-        for row in touched_partitions(deltas, changed).collect():
-            dates[row["table"]].append(row["date"])
+        for row in partition_counts(deltas, changed).collect():
+            dates[row["table"]][row["date"]] = row["row_count"]
     return RunFacts(
         run_id=_run_id(deltas, contracts, summary, before, options),
         before=before,
@@ -172,12 +179,11 @@ def table_manifests(log: CommitLog, facts: RunFacts) -> list[TableManifest]:
     """Where the run's rows go. Dry and real runs share this, so they cannot disagree."""
     entries = []
     for c in facts.contracts:
-        leaves = {c.name: {facts.run_id: facts.dates[c.name]}}
         entries.append(
             TableManifest(
                 table=c.name,
                 delta_row_count=facts.counts[c.name],
-                lake_paths=lake_paths(log, c, leaves),
+                lake_paths=[log.store.path(leaf(c.directory, LAKE, d, facts.run_id)) for d in sorted(facts.dates[c.name])],
                 share_path=share_path(log, c, facts.run_id) if facts.counts[c.name] else None,
                 schema_fingerprint=schema_fingerprint(c),
             )
@@ -268,8 +274,10 @@ def publish(
     def write(c: Contract) -> None:
         least = min(spark.sparkContext.defaultParallelism, -(-facts.counts[c.name] // options.small_task_rows))
         tasks = range_tasks(log.store.size(f"{stage}/{c.name}"), least)
-        lines = output_lines(deltas[c.name], c, facts.run_id, facts.after, tasks)
-        write_lines(lines, log.store.path(c.directory), options.compression)
+        path = log.store.path(c.directory)
+        write_batch(
+            deltas[c.name], c, facts.run_id, facts.after, path, tasks, options.lake_format, options.compression
+        )
 
     _each_table(write, changed)
     lines = event_lines(facts, entries)
@@ -289,7 +297,9 @@ def publish(
             {"table": e.table, "delta_row_count": e.delta_row_count, "schema_fingerprint": e.schema_fingerprint}
             for e in entries
         ],
-        lake_added={c.name: {facts.run_id: facts.dates[c.name]} for c in changed},
+        lake_added={
+            c.name: {facts.run_id: {"format": options.lake_format, "dates": facts.dates[c.name]}} for c in changed
+        },
         shares=shares,
         origin=dict(origin or {}),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,8 @@ from tidemark.operators.envelope import CHECKPOINT_TYPE, share_schema
 from tidemark.plans.commits import CommitLog, Leaves, SHARE_DATE, leaf
 from tidemark.session import require_utc
 
+JSON, PARQUET = "json", "parquet"
+
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("table", T.StringType()),
@@ -38,29 +40,30 @@ def _text_schema(schema: T.StructType) -> T.StructType:
     )
 
 
-def read_lines(spark: SparkSession, contract: Contract, paths: list[str], with_run: bool = False) -> DataFrame:
-    """Contract rows from directories of canonical JSON lines."""
-    require_utc(spark)
-    schema = _text_schema(contract.schema)
+def read_rows(
+    spark: SparkSession, contract: Contract, fmt: str, paths: list[str], with_run: bool = False
+) -> DataFrame:
+    """Contract rows from lake directories of one format. Columns a file lacks are null."""
     extra = [run_of_file().alias("run_id")] if with_run else []
-    if not paths:
-        empty = spark.createDataFrame([], schema)
-        frame, extra = empty, [F.lit("").alias("run_id")] if with_run else []
+    if fmt == JSON:
+        frame = spark.read.schema(_text_schema(contract.schema)).option("mode", "FAILFAST").json(paths)
     else:
-        frame = spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
+        frame = spark.read.schema(contract.schema).parquet(*paths)
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.schema.fields]
     return frame.select(*typed, *extra)
 
 
-def lake_paths(log: CommitLog, contract: Contract, leaves: Leaves, dates: Iterable[str] | None = None) -> list[str]:
-    wanted = None if dates is None else set(dates)
-    runs = leaves.get(contract.name, {})
-    return [
-        log.store.path(leaf(contract.directory, "lake", date, run_id))
-        for run_id in sorted(runs)
-        for date in runs[run_id]
-        if wanted is None or date in wanted
-    ]
+def lake_paths(
+    log: CommitLog, contract: Contract, leaves: Leaves, first_date: str | None = None, last_date: str | None = None
+) -> dict[str, list[str]]:
+    """The directories of a table's leaves within a date range, by format."""
+    found: dict[str, list[str]] = {}
+    for run_id, part in sorted(leaves.get(contract.name, {}).items()):
+        for date in sorted(part["dates"]):
+            if (first_date is None or date >= first_date) and (last_date is None or date <= last_date):
+                path = log.store.path(leaf(contract.directory, "lake", date, run_id))
+                found.setdefault(part["format"], []).append(path)
+    return found
 
 
 def read_lake(
@@ -77,17 +80,27 @@ def read_lake(
     The commit log is the index: directories outside the range, of unfinished runs or of later
     commits than ``as_of`` are not even listed.
     """
+    require_utc(spark)
     log = CommitLog(spark, root)
-    leaves = log.live_leaves(as_of)
-    dates = None
-    if first_date or last_date:
-        dates = {
-            d
-            for covered in leaves.get(contract.name, {}).values()
-            for d in covered
-            if (first_date is None or d >= first_date) and (last_date is None or d <= last_date)
-        }
-    return read_lines(spark, contract, lake_paths(log, contract, leaves, dates), with_run)
+    paths = lake_paths(log, contract, log.live_leaves(as_of), first_date, last_date)
+    if not paths:
+        run = T.StructType([T.StructField("run_id", T.StringType())] if with_run else [])
+        return spark.createDataFrame([], T.StructType([*contract.schema.fields, *run.fields]))
+    return reduce(DataFrame.unionByName, [read_rows(spark, contract, f, paths[f], with_run) for f in sorted(paths)])
+
+
+def last_date_of_page(leaves: Leaves, contract: Contract, cursor_date: str, page: int) -> str | None:
+    """The last date a page after ``cursor_date`` can reach, by the row counts in the log."""
+    counts: dict[str, int] = {}
+    for part in leaves.get(contract.name, {}).values():
+        for date, rows in part["dates"].items():
+            counts[date] = counts.get(date, 0) + rows
+    reached = 0
+    for date in sorted(d for d in counts if d > cursor_date):
+        reached += counts[date]
+        if reached >= page:
+            return date
+    return None
 
 
 def share_path(log: CommitLog, contract: Contract, run_id: str) -> str:

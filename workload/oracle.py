@@ -234,6 +234,7 @@ ORACLE: dict[str, str] = {
         f"SELECT user_id, event_id, event_type, {iso('moment')} AS updated_at FROM {E_} WHERE moment <= {CUT} "
         "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY moment DESC) = 1"
     ),
+    "columnar_lake": ALL_EVENTS,
     "stream_drain": ALL_EVENTS,
     "changes_since": f"SELECT {O_COLUMNS} FROM (SELECT * FROM {O} WHERE {PAST_MID} ORDER BY moment, order_id LIMIT 500)",
     "changes_since_lake": f"SELECT {E_COLUMNS} FROM (SELECT * FROM {E_} WHERE moment > {CUT} ORDER BY moment, event_id LIMIT 200)",

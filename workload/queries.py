@@ -395,6 +395,15 @@ def time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(read_as_of(spark, root, USERS, seq=1))
 
 
+@registered("columnar_lake")
+def columnar_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first run writes lines, the second Parquet; one log holds both."""
+    source, root = events(spark, sf_dir), scratch_root(spark, "root")
+    sync(spark, [until(source, EVENTS_CUT)], root, options=LANES)
+    sync(spark, [source], root, options=replace(LANES, lake_format="parquet"))
+    return plain(read_lake(spark, root, EVENTS))
+
+
 @registered("stream_drain")
 def stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a file stream, published by one drain."""
@@ -574,7 +583,7 @@ def tenant_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, path = events(spark, sf_dir).frame, scratch_root(spark, "tenants")
     write_by_tenant(rows, EVENTS, "event_type", path)
     layout = T.StructType([*EVENTS.schema.fields, T.StructField("tenant_id", T.StringType()), T.StructField("event_date", T.StringType())])
-    return plain(spark.read.schema(layout).json(path))
+    return plain(spark.read.schema(layout).parquet(path))
 
 
 @registered("microbatch_windows")
