@@ -3,12 +3,12 @@ from pyspark.sql import functions as F
 
 from tidemark import CASES, Checkpoint, HighWaterMark, SyncOptions, TableSource, sync
 from tidemark.operators.delta import upto
-from tidemark.operators.quality import late_rows
+from tidemark.operators.quality import late_rows, read_late_rows
 from tidemark.plans.commits import CommitLog
 from tidemark.sources import seed
 from tidemark.sources.published import read_lake, read_share
 from tidemark.streaming.cdc import deduplicate
-from tidemark.streaming.drain import batch_publisher, drain
+from tidemark.streaming.drain import batch_publisher, drain, stream_sync
 
 QUIET = SyncOptions(echo=False)
 
@@ -79,6 +79,7 @@ def test_late_rows_are_passed_over_and_reported(spark, root):
     mark = Checkpoint.parse(manifest.checkpoint_after).mark("cases")
     found = late_rows(rows, read_lake(spark, root, CASES), CASES, upto(mark, "case_id"))
     assert [r.case_id for r in found.collect()] == [7]
+    assert [r.case_id for r in read_late_rows(TableSource.of(rows, CASES), root).collect()] == [7]
 
 
 def test_stream_deduplication(spark, tmp_path):
@@ -98,3 +99,20 @@ def test_stream_deduplication(spark, tmp_path):
     query.awaitTermination()
     assert spark.read.parquet(out).count() == 200
     assert local(out).exists()
+
+
+def test_continuous_windows(spark, tmp_path):
+    path, root = f"file:{tmp_path}/in", f"file:{tmp_path}/out"
+    rows = seed.cases(spark)
+    rows.where("case_id <= 0").coalesce(1).write.parquet(path)
+    query = stream_sync(case_stream(spark, path), root, f"file:{tmp_path}/state", every="1 second", options=QUIET)
+    try:
+        for day in ("2026-03-05", "2026-03-20"):
+            cut = F.lit(day).cast("timestamp")
+            seen = rows.where((F.col("updated_at") < cut) & (F.col("updated_at") >= F.date_sub(cut, 4 if day < "2026-03-10" else 15)))
+            seen.coalesce(1).write.mode("append").parquet(path)
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    assert read_lake(spark, root, CASES).count() == rows.where("updated_at < '2026-03-20'").count()
+    assert [c.tables[0]["delta_row_count"] > 0 for c in CommitLog(spark, root).history()].count(True) == 2

@@ -253,3 +253,39 @@ def test_pages_read_only_the_dates_they_need(spark, root):
     assert last_date_of_page(leaves, CASES, "2026-03-10", 1) == "2026-03-11"
     assert last_date_of_page(leaves, CASES, "2026-03-10", 20) == "2026-03-13"
     assert last_date_of_page(leaves, CASES, "2026-03-10", 10_000) is None
+
+
+def test_submitted_job_prints_the_manifest(spark, tmp_path, capsys):
+    from tidemark.__main__ import main
+
+    for name, rows in (("customers", seed.customers(spark)), ("cases", seed.cases(spark))):
+        rows.write.orc(f"file:{tmp_path}/{name}")
+    given = ["--root", f"file:{tmp_path}/out", "--format", "orc"]
+    given += ["--customers", f"file:{tmp_path}/customers", "--cases", f"file:{tmp_path}/cases"]
+    assert main([*given, "--dry-run"]).run_id == FIRST_RUN
+    assert not (tmp_path / "out" / "state" / "commits").exists()
+    capsys.readouterr()
+    main(given)
+    out = capsys.readouterr().out
+    shown = json.loads(out[out.index("{\n") :])
+    assert shown["run_id"] == FIRST_RUN and not shown["dry_run"]
+    assert [t["delta_row_count"] for t in shown["tables"]] == [30, 200]
+    assert set(shown["tables"][0]) == {"table", "delta_row_count", "lake_paths", "share_path", "schema_fingerprint"}
+
+
+def test_a_broken_mirror_does_not_fail_the_run(spark, root, monkeypatch):
+    class Broken:
+        def write(self, text):
+            raise OSError("gone")
+
+    monkeypatch.setattr("tidemark.plans.sync.sys", type("S", (), {"stdout": Broken()}))
+    assert sync(spark, seeded(spark), root, options=SyncOptions()).run_id == FIRST_RUN
+
+
+def test_freshness_of_what_was_published(spark, root):
+    from tidemark.operators.quality import freshness, publication_times
+
+    sync(spark, seeded(spark), root, clock=lambda: utc(2026, 4, 1))
+    found = freshness(publication_times(spark, root, CUSTOMERS)).first()
+    # The 29th of thirty lags in order: that of the second of March.
+    assert (found.table, found.row_count, found.lag_seconds) == ("customers", 30, 30 * 86_400)

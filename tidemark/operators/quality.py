@@ -12,7 +12,11 @@ from pyspark.sql.window import Window
 from tidemark.contract import UPDATED_AT, Contract
 from tidemark.errors import IncompatibleSchema
 from tidemark.functions.digest import lane_columns, lane_parts, with_lanes
+from tidemark.operators.delta import upto
 from tidemark.operators.identity import identity_hash
+from tidemark.plans.commits import CommitLog
+from tidemark.sources.published import read_lake
+from tidemark.sources.tables import TableSource
 
 # schema compatibility -----------------------------------------------------
 
@@ -90,6 +94,16 @@ def nearest_rank(rows: DataFrame, group: str, value: str, quantile: float) -> Da
     return found.where("reached >= rank").groupBy(group, "row_count").agg(F.min(value).alias(value))
 
 
+def publication_times(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
+    """``(table, updated_at, committed_at)`` of the lake rows that still lie where a run wrote them."""
+    times = [(c.run_id, c.committed_at) for c in CommitLog(spark, root).history() if c.kind == "ingest"]
+    commits = spark.createDataFrame(times, "run_id string, at string")
+    rows = read_lake(spark, root, contract, with_run=True).select("run_id", UPDATED_AT)
+    return rows.join(commits, "run_id").select(
+        F.lit(contract.name).alias("table"), UPDATED_AT, F.col("at").cast("timestamp").alias("committed_at")
+    )
+
+
 def freshness(published: DataFrame, quantile: float = 0.95) -> DataFrame:
     """Publication lag in seconds per table, from ``(table, updated_at, committed_at)``."""
     lag = F.unix_seconds("committed_at") - F.unix_seconds(UPDATED_AT)
@@ -142,6 +156,13 @@ def microbatch_windows(rows: DataFrame, contract: Contract, width: str = "2 minu
     return summed.select("window_start", "row_count", *lane_columns())
 
 
+def read_late_rows(source: TableSource, root: str) -> DataFrame:
+    """:func:`late_rows` of a source against what has been published of it."""
+    spark, contract = source.frame.sparkSession, source.contract
+    mark = CommitLog(spark, root).checkpoint([contract.name]).mark(contract.name)
+    return late_rows(source.frame, read_lake(spark, root, contract), contract, upto(mark, contract.key))
+
+
 def late_rows(source_rows: DataFrame, lake_rows: DataFrame, contract: Contract, reached: Column) -> DataFrame:
     """Source rows at or before the mark that were never published; sync will not pick them up."""
     published = lake_rows.select(contract.key, UPDATED_AT)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from datetime import UTC, datetime, timedelta
 from typing import Any
 
@@ -90,6 +91,10 @@ class Manifest:
     def table(self, name: str) -> TableManifest:
         return next(entry for entry in self.tables if entry.table == name)
 
+    def text(self) -> str:
+        """The manifest as JSON."""
+        return json.dumps(asdict(self), indent=2, ensure_ascii=False)
+
     def as_frame(self, spark: SparkSession) -> DataFrame:
         """One row per table, with the run's header on each."""
         rows = [
