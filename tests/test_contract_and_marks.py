@@ -3,7 +3,7 @@ from helpers import utc
 from pyspark.sql import functions as F
 
 from tidemark.checkpoint import EMPTY_AT, Checkpoint, HighWaterMark
-from tidemark.contract import CASES, CUSTOMERS, Contract, contracts_by_name
+from tidemark.contract import CASES, CUSTOMERS, Contract, contracts_by_name, spark_type
 from tidemark.errors import CheckpointCorrupt, ContractError, SourceError
 from tidemark.operators.validate import checked, invalid_rows, quarantine_split
 from tidemark.session import require_utc
@@ -29,6 +29,17 @@ def test_broken_contracts_are_rejected(key, columns):
         Contract("t", key, columns)
 
 
+@pytest.mark.parametrize(
+    "source_type, shown",
+    [("numeric(15,2)", "decimal(15,2)"), ("numeric(9)", "decimal(9,0)"), ("varchar(20)", "string"), ("jsonb", "string")],
+)
+def test_source_types(source_type, shown):
+    assert spark_type(source_type).simpleString() == shown
+    for bad in ("numeric", "numeric(40,2)", "text(3)", "interval"):
+        with pytest.raises(ContractError):
+            spark_type(bad)
+
+
 def test_contract_lookup_and_metadata():
     assert contracts_by_name([CUSTOMERS, CASES])["cases"] is CASES
     with pytest.raises(ContractError):

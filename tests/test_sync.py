@@ -244,6 +244,15 @@ def test_lake_of_lines_and_columns(spark, root):
     with pytest.raises(ContractError):
         SyncOptions(lake_format="avro")
 
+    import pyarrow.parquet as pq
+
+    for path in first.table("cases").lake_paths:
+        for part in local(path).glob("part-*"):
+            meta = pq.ParquetFile(part).metadata
+            column = next(meta.row_group(0).column(i) for i in range(meta.num_columns) if meta.schema.names[i] == "updated_at")
+            assert column.physical_type == "INT64" and column.statistics.has_min_max
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == "INT96"
+
 
 def test_pages_read_only_the_dates_they_need(spark, root):
     sync(spark, seeded(spark), root)

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.errors import CheckpointCorrupt, ContractError
+from tidemark.session import metadata_frame
 
 # Fixed value: a position before every real row.
 EMPTY_AT = "0001-01-01T00:00:00Z"
@@ -104,6 +105,6 @@ class Checkpoint:
     def as_frame(self, spark: SparkSession) -> DataFrame:
         """``(table, updated_at, last_pk)``, one row per table."""
         rows = [(table, self.marks[table].at, self.marks[table].pk) for table in sorted(self.marks)]
-        return spark.createDataFrame(rows, "table string, at string, last_pk bigint").select(
+        return metadata_frame(spark, rows, "table string, at string, last_pk bigint").select(
             "table", F.col("at").cast("timestamp").alias("updated_at"), "last_pk"
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -14,16 +15,34 @@ UPDATED_AT = "updated_at"
 
 # Source type names and the Spark types that carry them.
 SPARK_TYPES: dict[str, T.DataType] = {
-    "bigint": T.LongType(),
+    "smallint": T.ShortType(),
     "integer": T.IntegerType(),
-    "text": T.StringType(),
-    "timestamptz": T.TimestampType(),
-    "date": T.DateType(),
-    "numeric(15,2)": T.DecimalType(15, 2),
-    "bytea": T.BinaryType(),
+    "bigint": T.LongType(),
     "boolean": T.BooleanType(),
+    "real": T.FloatType(),
     "double precision": T.DoubleType(),
+    "text": T.StringType(),
+    "varchar": T.StringType(),
+    "uuid": T.StringType(),
+    "json": T.StringType(),
+    "jsonb": T.StringType(),
+    "bytea": T.BinaryType(),
+    "date": T.DateType(),
+    "timestamptz": T.TimestampType(),
 }
+KEY_TYPES = ("smallint", "integer", "bigint")
+
+
+def spark_type(source_type: str) -> T.DataType:
+    """The Spark type for a source type, ``numeric(p,s)`` and ``varchar(n)`` included."""
+    name, _, arguments = source_type.partition("(")
+    sizes = [int(n) for n in re.findall(r"\d+", arguments)]
+    if name == "numeric" and 1 <= len(sizes) <= 2 and sizes[0] <= 38:
+        return T.DecimalType(*sizes, *([0] if len(sizes) == 1 else []))
+    if name in SPARK_TYPES and (not arguments or name == "varchar"):
+        return SPARK_TYPES[name]
+    raise ContractError(f"no Spark type for source type {source_type!r}")
+
 
 # The members of a share record besides the table's key.
 ENVELOPE_NAMES = ("checkpoint_after", "op", "record", "run_id", "schema_fingerprint", "table", "updated_at")
@@ -47,8 +66,7 @@ class Contract:
         for column, source_type in self.columns:
             if column in seen:
                 raise ContractError(f"{self.name}: column {column!r} is declared twice")
-            if source_type not in SPARK_TYPES:
-                raise ContractError(f"{self.name}: no Spark type for source type {source_type!r}")
+            spark_type(source_type)
             seen.add(column)
         if self.key in ENVELOPE_NAMES:
             raise ContractError(f"{self.name}: key {self.key!r} would hide a member of the share record")
@@ -57,7 +75,7 @@ class Contract:
                 raise ContractError(f"{self.name}: column {needed!r} is required")
         if dict(self.columns)[UPDATED_AT] != "timestamptz":
             raise ContractError(f"{self.name}: {UPDATED_AT} must be timestamptz")
-        if dict(self.columns)[self.key] not in ("bigint", "integer"):
+        if dict(self.columns)[self.key] not in KEY_TYPES:
             raise ContractError(f"{self.name}: key {self.key!r} must be an integer type")
         object.__setattr__(self, "directory", self.directory or self.name)
 
@@ -69,7 +87,7 @@ class Contract:
     def schema(self) -> T.StructType:
         return T.StructType(
             [
-                T.StructField(column, SPARK_TYPES[source_type], True, {"source_type": source_type})
+                T.StructField(column, spark_type(source_type), True, {"source_type": source_type})
                 for column, source_type in self.columns
             ]
         )

@@ -47,10 +47,10 @@ def with_lanes(rows: DataFrame, row_hash: Column) -> DataFrame:
     Added in two projections, so that the hash is computed once per row and not once per lane.
     """
     lanes = [
-        F.conv(F.substring("row_hash", 1 + _LANE_HEX * lane, _LANE_HEX), 16, 10).cast("bigint").alias(f"lane{lane}")
+        f"CAST(conv(substring(row_hash, {1 + _LANE_HEX * lane}, {_LANE_HEX}), 16, 10) AS bigint) AS lane{lane}"
         for lane in range(LANES)
     ]
-    return rows.withColumn("row_hash", row_hash).select(*rows.columns, *lanes)
+    return rows.withColumn("row_hash", row_hash).selectExpr(*[f"`{c}`" for c in rows.columns], *lanes)
 
 
 def lane_parts() -> list[Column]:
@@ -59,13 +59,12 @@ def lane_parts() -> list[Column]:
     Sums of 20-bit integers: hash-aggregated on plain longs, combined on the map side, and
     independent of row order.
     """
-    parts = []
-    for lane in range(LANES):
-        for part in range(3):
-            bits = F.shiftright(F.col(f"lane{lane}"), _PART_BITS * part)
-            masked = bits.bitwiseAND(F.lit((1 << _PART_BITS) - 1))
-            parts.append(F.coalesce(F.sum(masked), F.lit(0)).alias(f"lane{lane}_{part}"))
-    return parts
+    mask = (1 << _PART_BITS) - 1
+    return [
+        F.expr(f"coalesce(sum(shiftright(lane{lane}, {_PART_BITS * part}) & {mask}), 0)").alias(f"lane{lane}_{part}")
+        for lane in range(LANES)
+        for part in range(3)
+    ]
 
 
 def lane_totals(row: Mapping[str, Any]) -> list[int]:
@@ -79,14 +78,14 @@ def lane_totals(row: Mapping[str, Any]) -> list[int]:
 def lane_columns() -> list[Column]:
     """The full lane sums as decimal text columns ``lane0`` … ``lane3``."""
 
-    def total(lane: int) -> Column:
+    def total(lane: int) -> str:
         weighted = [
-            F.col(f"lane{lane}_{part}").cast("decimal(20,0)") * F.lit(1 << (_PART_BITS * part)).cast("decimal(17,0)")
+            f"CAST(lane{lane}_{part} AS decimal(20,0)) * CAST({1 << (_PART_BITS * part)} AS decimal(17,0))"
             for part in range(3)
         ]
-        return (weighted[0] + weighted[1] + weighted[2]).cast("decimal(38,0)").cast("string")
+        return f"CAST(CAST({' + '.join(weighted)} AS decimal(38,0)) AS string)"
 
-    return [total(lane).alias(f"lane{lane}") for lane in range(LANES)]
+    return [F.expr(total(lane)).alias(f"lane{lane}") for lane in range(LANES)]
 
 
 def run_id_from_lanes(

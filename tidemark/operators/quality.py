@@ -15,6 +15,7 @@ from tidemark.functions.digest import lane_columns, lane_parts, with_lanes
 from tidemark.operators.delta import upto
 from tidemark.operators.identity import identity_hash
 from tidemark.plans.commits import CommitLog
+from tidemark.session import metadata_frame
 from tidemark.sources.published import read_lake
 from tidemark.sources.tables import TableSource
 
@@ -23,7 +24,7 @@ from tidemark.sources.tables import TableSource
 
 def _described(spark: SparkSession, schema: T.StructType, side: str) -> DataFrame:
     rows = [(f.name, f.metadata.get("source_type", f.dataType.simpleString())) for f in schema.fields]
-    return spark.createDataFrame(rows, f"column string, {side}_type string")
+    return metadata_frame(spark, rows, f"column string, {side}_type string")
 
 
 def schema_diff(spark: SparkSession, old: T.StructType, new: T.StructType) -> DataFrame:
@@ -97,7 +98,7 @@ def nearest_rank(rows: DataFrame, group: str, value: str, quantile: float) -> Da
 def publication_times(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
     """``(table, updated_at, committed_at)`` of the lake rows that still lie where a run wrote them."""
     times = [(c.run_id, c.committed_at) for c in CommitLog(spark, root).history() if c.kind == "ingest"]
-    commits = spark.createDataFrame(times, "run_id string, at string")
+    commits = metadata_frame(spark, times, "run_id string, at string")
     rows = read_lake(spark, root, contract, with_run=True).select("run_id", UPDATED_AT)
     return rows.join(commits, "run_id").select(
         F.lit(contract.name).alias("table"), UPDATED_AT, F.col("at").cast("timestamp").alias("committed_at")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import UPDATED_AT, Contract
 from tidemark.functions.canonical import utc_date
+from tidemark.session import timestamps_with_statistics
 
 
 def tenant_partitions(rows: DataFrame, tenant: str) -> DataFrame:
@@ -32,4 +33,5 @@ def write_by_tenant(rows: DataFrame, contract: Contract, tenant: str, path: str,
     )
     in_order = placed.sortWithinPartitions("tenant_id", "event_date", UPDATED_AT, contract.key)
     writer = in_order.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("tenant_id", "event_date").parquet(path)
+    with timestamps_with_statistics(rows.sparkSession):
+        writer.partitionBy("tenant_id", "event_date").parquet(path)

@@ -14,7 +14,7 @@ from tidemark.contract import UPDATED_AT, Contract
 from tidemark.functions.canonical import utc_date
 from tidemark.plans.commits import SHARE_DATE, Commit, CommitLog, LeafNames, Leaves, leaf
 from tidemark.plans.publish import LAKE, SHARE, range_tasks, write_leaves
-from tidemark.session import require_utc
+from tidemark.session import require_utc, timestamps_with_statistics
 from tidemark.sources.published import JSON
 
 
@@ -83,7 +83,8 @@ def compact(
             tasks = range_tasks(sum(log.store.size(path) for path in sources), least=1)
             merged = _lines if fmt == JSON else _columns
             rows = merged(spark, contract, sources, tasks).withColumn("run_id", F.lit(run_ids[fmt]))
-            write_leaves(rows, log.store.path(contract.directory), "text" if fmt == JSON else fmt, compression)
+            with timestamps_with_statistics(spark):
+                write_leaves(rows, log.store.path(contract.directory), "text" if fmt == JSON else fmt, compression)
             counts = {d: sum(runs[r]["dates"][d] for r in ids) for d, ids in per_date.items()}
             added[contract.name][run_ids[fmt]] = {"format": fmt, "dates": counts}
             for date, ids in sorted(per_date.items()):

@@ -29,7 +29,7 @@ from tidemark.operators.identity import identity_text
 from tidemark.operators.summary import digests, partition_counts
 from tidemark.plans.commits import SHARE_DATE, Claim, Commit, CommitLog, leaf
 from tidemark.plans.publish import LAKE, SHARE, range_tasks, write_batch
-from tidemark.session import require_utc, scratch_root
+from tidemark.session import metadata_frame, require_utc, scratch_root, timestamps_with_statistics
 from tidemark.sources.published import JSON, PARQUET, share_path
 from tidemark.sources.tables import TableSource
 
@@ -101,7 +101,8 @@ class Manifest:
             (i, self.run_id, self.dry_run, t.table, t.delta_row_count, t.lake_paths, t.share_path, t.schema_fingerprint)
             for i, t in enumerate(self.tables)
         ]
-        return spark.createDataFrame(
+        return metadata_frame(
+            spark,
             rows,
             "table_ordinal int, run_id string, dry_run boolean, table string, delta_row_count bigint, "
             "lake_paths array<string>, share_path string, schema_fingerprint string",
@@ -268,7 +269,8 @@ def publish(
     log = claim.log
     stage = scratch_root(spark, "stage")
     claim.intend([], stage)
-    deltas = _stage(spark, rows, contracts, stage)
+    with timestamps_with_statistics(spark):
+        deltas = _stage(spark, rows, contracts, stage)
     facts = examine(deltas, contracts, before, options)
     entries = table_manifests(log, facts)
     changed = [c for c in contracts if facts.counts[c.name]]
@@ -284,7 +286,8 @@ def publish(
             deltas[c.name], c, facts.run_id, facts.after, path, tasks, options.lake_format, options.compression
         )
 
-    _each_table(write, changed)
+    with timestamps_with_statistics(spark):
+        _each_table(write, changed)
     lines = event_lines(facts, entries)
     log.store.replace(f"events/run_id={facts.run_id}/events.json", "".join(line + "\n" for line in lines))
 

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.errors import ContractError
 
@@ -27,11 +33,40 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ContractError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = "file:" + tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = "file:" + tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL_DIRS[application]
+
+
+# Temporary folders of local sessions without a configured one.
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession, purpose: str) -> str:
     """A fresh, not yet existing directory below the shared folder."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def metadata_frame(spark: SparkSession, rows: Sequence[Sequence[Any]], ddl: str) -> DataFrame:
+    """A small frame of driver-side metadata, built without starting Python workers."""
+    schema = T.StructType.fromDDL(ddl)
+    text = json.dumps([dict(zip(schema.names, row)) for row in rows])
+    parsed = F.from_json(F.lit(text), T.ArrayType(schema))
+    return spark.range(1).select(F.inline(parsed))
+
+
+@contextmanager
+def timestamps_with_statistics(spark: SparkSession) -> Iterator[None]:
+    """Write Parquet timestamps as 64-bit microseconds, which carry the statistics filters need.
+
+    Spark's default, INT96, carries none. There is no option per write, hence the session's
+    setting; enter before starting concurrent writes.
+    """
+    key = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contract import CASES
+from tidemark.session import metadata_frame
 
 # Fixed values of the demonstration data.
 START = "2026-03-01T00:00:00Z"
@@ -82,19 +83,19 @@ def cases(spark: SparkSession, count: int = 200, slots: int = 100) -> DataFrame:
 
 
 def customer_changes(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(NEW_CUSTOMERS, "id bigint, country string")
+    rows = metadata_frame(spark, NEW_CUSTOMERS, "id bigint, country string")
     return rows.select(*customer_columns(F.col("id"), F.col("country"), F.lit(CHANGED_AT).cast("timestamp")))
 
 
 def case_changes(spark: SparkSession, current: DataFrame) -> DataFrame:
     """Five updated and ten new cases, all at one instant."""
     at = F.lit(CHANGED_AT).cast("timestamp").alias("updated_at")
-    update = spark.createDataFrame(STATUS_CHANGES, "case_id bigint, new_status string")
+    update = metadata_frame(spark, STATUS_CHANGES, "case_id bigint, new_status string")
     updated = current.join(update, "case_id").select(
         "case_id", "customer_id", "title", "description", F.col("new_status").alias("status"), at
     )
-    added = spark.createDataFrame(
-        NEW_CASES, "case_id bigint, customer_id bigint, keyword string, description string, status string"
+    added = metadata_frame(
+        spark, NEW_CASES, "case_id bigint, customer_id bigint, keyword string, description string, status string"
     ).select(
         "case_id", "customer_id", case_title(F.col("case_id"), F.col("keyword")).alias("title"), "description", "status", at
     )
