@@ -62,3 +62,21 @@ def test_tombstones_and_merge(spark):
     log = rows.withColumn("op", F.lit("upsert")).unionByName(changes)
     assert merged.exceptAll(as_of_state(log, CASES)).count() == 0
     assert merged.count() == 18 and merged.where("status = 'merged'").count() == 4
+
+
+def test_few_changes_leave_the_table_in_place(spark, monkeypatch):
+    from tidemark.operators import changes as module
+    from workload.tables import ORDERS, orders
+
+    rows = orders(spark, "/root/testdata/sf0.001").frame
+    some = rows.where("order_id < 10").withColumn("status", F.lit("X"))
+    few = module.apply_changes(rows, some, ORDERS)
+    assert "BroadcastHashJoin" in plan(few, "simple") and "hashpartitioning" not in plan(few, "simple")
+    monkeypatch.setattr(module, "MOST_BROADCAST_KEYS", 5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        many = module.apply_changes(rows, some, ORDERS)
+        assert plan(many, "simple").count("hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert few.exceptAll(many).count() == 0 and few.count() == 1500 and few.where("status = 'X'").count() == 10

@@ -10,19 +10,29 @@ from tidemark.contract import Contract
 OP = "op"
 
 
-def apply_changes(rows: DataFrame, changes: DataFrame, contract: Contract) -> DataFrame:
-    """``rows`` after an upsert of ``changes``: changed keys replaced, new keys added.
+# Keys sent to every task at most: eight megabytes of them.
+MOST_BROADCAST_KEYS = 1_000_000
+
 
-    ``changes`` holds each key once. An anti join rather than an outer one: while the changed
-    keys are few Spark sends them to the rows, and the table itself is not shuffled.
+def unchanged(rows: DataFrame, changes: DataFrame, contract: Contract) -> DataFrame:
+    """The rows whose key ``changes`` does not name.
+
+    The changed keys are counted first. While they are few they are sent to the rows and the
+    table is not shuffled; beyond the limit both sides are shuffled by key.
     """
+    keys = changes.select(contract.key)
+    if keys.count() <= MOST_BROADCAST_KEYS:
+        keys = F.broadcast(keys)
     names = contract.column_names
-    kept = rows.select(*names).join(changes.select(contract.key), contract.key, "left_anti")
-    return kept.select(*names).unionByName(changes.select(*names))
+    return rows.select(*names).join(keys, contract.key, "left_anti").select(*names)
+
+
+def apply_changes(rows: DataFrame, changes: DataFrame, contract: Contract) -> DataFrame:
+    """``rows`` after an upsert of ``changes``, which holds each key once."""
+    return unchanged(rows, changes, contract).unionByName(changes.select(*contract.column_names))
 
 
 def merge_with_deletes(state: DataFrame, batch: DataFrame, contract: Contract) -> DataFrame:
     """``state`` after a batch whose ``op`` is ``upsert`` or ``delete``; one change per key."""
-    names = contract.column_names
-    kept = state.select(*names).join(batch.select(contract.key), contract.key, "left_anti")
-    return kept.select(*names).unionByName(batch.where(F.col(OP) != "delete").select(*names))
+    upserts = batch.where(F.col(OP) != "delete").select(*contract.column_names)
+    return unchanged(state, batch, contract).unionByName(upserts)

@@ -11,6 +11,10 @@ from tidemark.session import metadata_frame
 # Fixed values of the demonstration data.
 START = "2026-03-01T00:00:00Z"
 CHANGED_AT = "2026-04-15T12:00:00Z"
+CUSTOMER_NAME = "Customer %s"
+CUSTOMER_EMAIL = "customer%s@example.com"
+CASE_TITLE = "Case %s - %s review"
+CASE_DESCRIPTION = "%s workflow item %d for customer %d: follow up on %s details and supporting documents."
 COUNTRIES = ("US", "CA", "GB", "DE", "AU")
 KEYWORDS = ("billing", "audit", "compliance", "payments", "reconciliation", "onboarding", "fraud", "AML")
 STATUSES = ("open", "in_review", "resolved", "closed", "pending", "escalated")
@@ -47,8 +51,8 @@ def after_start(seconds: Column) -> Column:
 def customer_columns(i: Column, country: Column, at: Column) -> list[Column]:
     return [
         i.alias("customer_id"),
-        F.concat(F.lit("Customer "), padded(i, 3)).alias("name"),
-        F.concat(F.lit("customer"), padded(i, 3), F.lit("@example.com")).alias("email"),
+        F.format_string(CUSTOMER_NAME, padded(i, 3)).alias("name"),
+        F.format_string(CUSTOMER_EMAIL, padded(i, 3)).alias("email"),
         country.alias("country"),
         at.alias("updated_at"),
     ]
@@ -61,7 +65,7 @@ def customers(spark: SparkSession, count: int = 30) -> DataFrame:
 
 
 def case_title(number: Column, keyword: Column) -> Column:
-    return F.concat(F.lit("Case "), padded(number, 4), F.lit(" - "), keyword, F.lit(" review"))
+    return F.format_string(CASE_TITLE, padded(number, 4), keyword)
 
 
 def cases(spark: SparkSession, count: int = 200, slots: int = 100) -> DataFrame:
@@ -73,10 +77,7 @@ def cases(spark: SparkSession, count: int = 200, slots: int = 100) -> DataFrame:
         i.alias("case_id"),
         customer.alias("customer_id"),
         case_title(i, headline).alias("title"),
-        F.concat(
-            headline, F.lit(" workflow item "), i.cast("string"), F.lit(" for customer "), customer.cast("string"),
-            F.lit(": follow up on "), keyword, F.lit(" details and supporting documents."),
-        ).alias("description"),
+        F.format_string(CASE_DESCRIPTION, headline, i, customer, keyword).alias("description"),
         cycle(STATUSES, i).alias("status"),
         after_start(F.pmod(i - 1, F.lit(slots)) * (30 * 86_400 // slots)).alias("updated_at"),
     )

@@ -251,6 +251,7 @@ ORACLE: dict[str, str] = {
         f"UNION ALL {NEW_ORDERS})"
     ),
     "cdc_dedupe": "SELECT 'events' AS table_name, event_id, epoch_us(ts) AS lsn, event_type FROM events",
+    "cdc_dedupe_stream": "SELECT 'events' AS table_name, event_id, epoch_us(ts) AS lsn, event_type FROM events",
     "late_rows": f"SELECT {O_COLUMNS} FROM {O} WHERE {UPTO_MID} AND priority = '1-URGENT'",
     "invalid_rows": f"SELECT row_id, {REASON} AS reason FROM {DAMAGED} WHERE {REASON} IS NOT NULL",
     "quarantine_split": f"SELECT row_id, CASE WHEN {REASON} IS NULL THEN 'good' ELSE 'quarantine' END AS target FROM {DAMAGED}",

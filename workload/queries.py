@@ -92,6 +92,13 @@ def two_runs(spark: SparkSession, sf_dir: str, **second) -> str:
     return root
 
 
+def event_stream(spark: SparkSession, sf_dir: str) -> TableSource:
+    """The events as a file stream; the pattern makes a single file acceptable as one."""
+    schema = session(spark).read.parquet(f"{sf_dir}/events.parquet").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    return TableSource.of(stream, EVENTS, {"updated_at": "ts"}, assume_utc=True)
+
+
 # scans --------------------------------------------------------------------
 
 
@@ -407,12 +414,8 @@ def columnar_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("stream_drain")
 def stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a file stream, published by one drain."""
-    session(spark)
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
-    source = TableSource.of(stream, EVENTS, {"updated_at": "ts"}, assume_utc=True)
     root = scratch_root(spark, "root")
-    drain(source, root, scratch_root(spark, "stream"), options=LANES)
+    drain(event_stream(spark, sf_dir), root, scratch_root(spark, "stream"), options=LANES)
     return plain(read_lake(spark, root, EVENTS))
 
 
@@ -468,6 +471,18 @@ def deduplicated_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(delivered, "event_id").withColumnRenamed("table", "table_name")
 
 
+@registered("cdc_dedupe_stream")
+def deduplicated_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a stream: every change delivered twice, one kept within the watermark."""
+    stream = event_stream(spark, sf_dir).frame.select(
+        F.lit("events").alias("table"), "event_id", F.unix_micros(UPDATED_AT).alias("lsn"), "event_type", UPDATED_AT
+    )
+    out = scratch_root(spark, "changes")
+    writer = deduplicate(stream.unionByName(stream), "event_id").writeStream.format("parquet")
+    writer.option("checkpointLocation", scratch_root(spark, "stream")).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.parquet(out).withColumnRenamed("table", "table_name").drop(UPDATED_AT)
+
+
 @registered("late_rows")
 def late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Urgent orders arrived after the mark had passed them."""
