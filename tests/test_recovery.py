@@ -91,6 +91,20 @@ def test_a_run_that_lost_its_claim_cannot_commit(spark, root):
         claim.ready(None)
     with pytest.raises(CommitInterrupted, match="not ready"):
         claim.commit()
+    taken = log.claim(utc(2026, 4, 2))
+    claim.release()  # must not free what is now another's
+    with pytest.raises(RunInProgress):
+        log.claim(utc(2026, 4, 2))
+    taken.release()
+
+
+def test_a_gap_in_the_log_is_reported(spark, root):
+    for _ in range(3):
+        sync(spark, seeded(spark)[:1], root)
+    log = CommitLog(spark, root)
+    log.store.delete("state/commits/" + "2".zfill(20) + ".json")
+    with pytest.raises(CheckpointCorrupt, match="missing"):
+        log.history()
 
 
 def test_unreadable_state_is_reported(spark, root):

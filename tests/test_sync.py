@@ -5,7 +5,7 @@ from helpers import FIRST_RUN, NO_OP_RUN, SECOND_RUN, changed, files, lines, loc
 from pyspark.sql import functions as F
 
 from tidemark import CASES, CUSTOMERS, Checkpoint, Contract, HighWaterMark, SyncOptions, TableSource, sync
-from tidemark.errors import ContractError
+from tidemark.errors import ContractError, IncompatibleSchema
 from tidemark.functions.canonical import canonical_text
 from tidemark.operators.consumer import next_cursor, read_as_of, read_changes_since
 from tidemark.plans.commits import CommitLog, seed_checkpoint
@@ -298,3 +298,19 @@ def test_freshness_of_what_was_published(spark, root):
     found = freshness(publication_times(spark, root, CUSTOMERS)).first()
     # The 29th of thirty lags in order: that of the second of March.
     assert (found.table, found.row_count, found.lag_seconds) == ("customers", 30, 30 * 86_400)
+
+
+def test_consumers_opt_into_fingerprints(spark, root):
+    sync(spark, seeded(spark), root)
+    assert read_share(spark, root, CASES, accept=["2d76125b0e63dbbb"]).count() == 200
+    with pytest.raises(IncompatibleSchema, match="2d76125b0e63dbbb"):
+        read_share(spark, root, CASES, accept=["7bccf22a775dcf2b"])
+
+
+def test_unstaged_runs_publish_the_same(spark, tmp_path):
+    staged, direct = f"file:{tmp_path}/a", f"file:{tmp_path}/b"
+    one = sync(spark, seeded(spark), staged)
+    two = sync(spark, seeded(spark), direct, options=SyncOptions(stage=False, echo=False))
+    assert one.run_id == two.run_id == FIRST_RUN
+    for a, b in zip(one.tables, two.tables):
+        assert [lines(p) for p in [*a.lake_paths, a.share_path]] == [lines(p) for p in [*b.lake_paths, b.share_path]]

@@ -35,6 +35,9 @@ from tidemark.sources.tables import TableSource
 
 Clock = Callable[[], datetime]
 
+# Parquet bytes of a row nobody has measured.
+GUESSED_ROW_BYTES = 128
+
 
 @dataclass(frozen=True)
 class SyncOptions:
@@ -51,6 +54,9 @@ class SyncOptions:
 
     Outputs are cut into tasks by their size. A batch too small for that still spreads over the
     cores in pieces of ``small_task_rows``.
+
+    ``stage=False`` spares the copy of the delta. Only for sources that cannot change while the
+    run reads them, such as a table snapshot or closed files.
     """
 
     identity: str = "auto"
@@ -59,6 +65,7 @@ class SyncOptions:
     lake_format: str = JSON
     compression: str | None = None
     small_task_rows: int = 20_000
+    stage: bool = True
     stale_after: timedelta = timedelta(hours=6)
     echo: bool = True
 
@@ -157,9 +164,14 @@ def _run_id(
 def examine(
     deltas: Mapping[str, DataFrame], contracts: Sequence[Contract], before: Checkpoint, options: SyncOptions
 ) -> RunFacts:
-    """Counts, marks, dates and the run id; reads two columns of each delta."""
+    """Counts, marks, dates and the run id; reads two columns of each delta.
+
+    The two jobs run side by side. Both return metadata: a row per table, a row per date.
+    """
     before = before.for_tables(c.name for c in contracts)
-    summary = {row["table"]: row.asDict() for row in digests(deltas, contracts).collect()}
+    with ThreadPoolExecutor(2) as pool:
+        found, counted = pool.map(DataFrame.collect, (digests(deltas, contracts), partition_counts(deltas, contracts)))
+    summary = {row["table"]: row.asDict() for row in found}
     _check_rows(summary, contracts)
     moved = {
         c.name: HighWaterMark(summary[c.name]["last_at"], int(summary[c.name]["last_pk"]))
@@ -167,10 +179,8 @@ def examine(
         if summary[c.name]["delta_row_count"]
     }
     dates: dict[str, dict[str, int]] = {c.name: {} for c in contracts}
-    changed = [c for c in contracts if c.name in moved]
-    if changed:
-        for row in partition_counts(deltas, changed).collect():
-            dates[row["table"]][row["date"]] = row["row_count"]
+    for row in counted:
+        dates[row["table"]][row["date"]] = row["row_count"]
     return RunFacts(
         run_id=_run_id(deltas, contracts, summary, before, options),
         before=before,
@@ -267,10 +277,12 @@ def publish(
     ``stop_before`` (``ready`` or ``commit``) abandons the run at that point, for crash tests.
     """
     log = claim.log
-    stage = scratch_root(spark, "stage")
-    claim.intend([], stage)
-    with timestamps_with_statistics(spark):
-        deltas = _stage(spark, rows, contracts, stage)
+    stage = scratch_root(spark, "stage") if options.stage else None
+    deltas = rows
+    if stage:
+        claim.intend([], stage)
+        with timestamps_with_statistics(spark):
+            deltas = _stage(spark, rows, contracts, stage)
     facts = examine(deltas, contracts, before, options)
     entries = table_manifests(log, facts)
     changed = [c for c in contracts if facts.counts[c.name]]
@@ -280,7 +292,8 @@ def publish(
 
     def write(c: Contract) -> None:
         least = min(spark.sparkContext.defaultParallelism, -(-facts.counts[c.name] // options.small_task_rows))
-        tasks = range_tasks(log.store.size(f"{stage}/{c.name}"), least)
+        size = log.store.size(f"{stage}/{c.name}") if stage else facts.counts[c.name] * GUESSED_ROW_BYTES
+        tasks = range_tasks(size, least)
         path = log.store.path(c.directory)
         write_batch(
             deltas[c.name], c, facts.run_id, facts.after, path, tasks, options.lake_format, options.compression
@@ -293,7 +306,10 @@ def publish(
 
     last = log.latest()
     shares = dict(last.shares) if last else {}
-    shares.update({c.name: {"run_id": facts.run_id, "seq": claim.seq} for c in changed})
+    for c in changed:
+        shares[c.name] = {
+            "run_id": facts.run_id, "seq": claim.seq, "schema_fingerprint": schema_fingerprint(c),
+        }
     commit = Commit(
         seq=claim.seq,
         kind="ingest",
@@ -337,7 +353,7 @@ def sync(
     nothing is written. A second run at the same time fails with RunInProgress.
     """
     require_utc(spark)
-    options = options or SyncOptions(echo=False)
+    options = options or SyncOptions()
     contracts = tuple(s.contract for s in sources)
     contracts_by_name(contracts)
     log = CommitLog(spark, root)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contract import Contract
+from tidemark.errors import IncompatibleSchema
 from tidemark.operators.envelope import CHECKPOINT_TYPE, share_schema
 from tidemark.plans.commits import CommitLog, Leaves, SHARE_DATE, leaf
 from tidemark.session import require_utc
@@ -107,8 +109,14 @@ def share_path(log: CommitLog, contract: Contract, run_id: str) -> str:
     return log.store.path(leaf(contract.directory, "share", SHARE_DATE, run_id))
 
 
-def read_share(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
-    """The latest batch of a table, enveloped; empty if it never had one."""
+def read_share(
+    spark: SparkSession, root: str, contract: Contract, accept: Sequence[str] | None = None
+) -> DataFrame:
+    """The latest batch of a table, enveloped; empty if it never had one.
+
+    With ``accept`` the batch must carry one of these schema fingerprints: a consumer opts into
+    a new schema instead of meeting it by surprise.
+    """
     require_utc(spark)
     log = CommitLog(spark, root)
     last = log.latest()
@@ -116,6 +124,8 @@ def read_share(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
     schema = share_schema(contract)
     if current is None:
         return spark.createDataFrame([], schema)
+    if accept is not None and current["schema_fingerprint"] not in accept:
+        raise IncompatibleSchema(f"{contract.name}: fingerprint {current['schema_fingerprint']} is not accepted")
     text = T.StructType([f if f.name != "record" else T.StructField("record", _text_schema(contract.schema)) for f in schema])
     frame = spark.read.schema(text).option("mode", "FAILFAST").json(share_path(log, contract, current["run_id"]))
     record = F.struct(

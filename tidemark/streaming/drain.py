@@ -61,7 +61,7 @@ def stream_sync(
     """
     if not source.frame.isStreaming:
         raise ContractError(f"{source.contract.name} is not a streaming source")
-    options = options or SyncOptions(echo=False)
+    options = options or SyncOptions()
     writer = source.frame.writeStream.foreachBatch(batch_publisher(source, root, options, clock))
     writer = writer.option("checkpointLocation", state)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
