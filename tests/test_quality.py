@@ -32,6 +32,8 @@ def test_nearest_rank_is_exact(spark, quantile):
     values = {g: [rng.choice([7, rng.randint(-9_000, 40_000)]) for _ in range(n)] for g, n in (("a", 1), ("b", 999), ("c", 400))}
     rows = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs], "g string, v bigint")
     found = {r.g: (r.row_count, r.v) for r in nearest_rank(rows, "g", "v", quantile).collect()}
+    known = rows.unionByName(spark.createDataFrame([("a", None)], "g string, v bigint"))
+    assert nearest_rank(known, "g", "v", quantile).count() == 3
     assert found == {g: (len(vs), sorted(vs)[math.ceil(len(vs) * quantile) - 1]) for g, vs in values.items()}
 
 

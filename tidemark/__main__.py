@@ -1,4 +1,4 @@
-"""Submit one run: ``spark-submit … -m tidemark --root URI --customers PATH --cases PATH [--dry-run]``.
+"""Submit one run: ``spark-submit … tidemark/__main__.py --root URI --customers PATH --cases PATH [--dry-run]``.
 
 Prints the manifest. Any other tables are published by calling ``sync`` with their contracts.
 """

@@ -67,32 +67,35 @@ def fingerprint_gate(rows: DataFrame, accepted: Sequence[str], column: str = "sc
 
 # freshness ----------------------------------------------------------------
 
-_BUCKET = 3600
+_BUCKET_BITS = 12
 
 
 def nearest_rank(rows: DataFrame, group: str, value: str, quantile: float) -> DataFrame:
-    """Exact ``quantile`` (nearest rank) of an integer column per group: ``(group, rows, value)``.
+    """Exact ``quantile`` (nearest rank) of an integer column per group: ``(group, row_count, value)``.
 
-    The rows are first reduced to a histogram, then the rank is located in two steps, among
-    buckets of 3600 values and inside one bucket. No window ever sees more than the buckets of
-    a group or the values of a bucket, whatever the number of rows.
+    The rows are first reduced to a histogram, whose values are gathered in buckets of 4096. The
+    rank is located among the buckets of a group, then inside one bucket, so the rows are read
+    once and no task ever holds more than the distinct values. Nulls are left out.
     """
-    bucket = F.floor(F.col(value) / _BUCKET).alias("bucket")
-    fine = rows.groupBy(group, bucket, value).agg(F.count("*").alias("n"))
-    coarse = fine.groupBy(group, "bucket").agg(F.sum("n").alias("n"))
-    upward = Window.partitionBy(group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bucket = F.shiftright(value, _BUCKET_BITS).alias("bucket")
+    fine = rows.where(F.col(value).isNotNull()).groupBy(group, bucket, value).agg(F.count("*").alias("n"))
+    coarse = fine.groupBy(group, "bucket").agg(
+        F.sum("n").alias("inside"), F.collect_list(F.struct(F.col(value).alias("value"), "n")).alias("values")
+    )
     whole = Window.partitionBy(group)
+    upward = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = coarse.select(
         group,
-        "bucket",
-        (F.sum("n").over(upward) - F.col("n")).alias("below"),
-        F.col("n").alias("inside"),
-        F.sum("n").over(whole).alias("row_count"),
+        "values",
+        "inside",
+        (F.sum("inside").over(upward) - F.col("inside")).alias("below"),
+        F.sum("inside").over(whole).alias("row_count"),
     ).withColumn("rank", F.ceil(F.col("row_count") * F.lit(quantile)))
     target = placed.where("below < rank AND rank <= below + inside")
-    inner = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = fine.join(target, [group, "bucket"]).withColumn("reached", F.col("below") + F.sum("n").over(inner))
-    return found.where("reached >= rank").groupBy(group, "row_count").agg(F.min(value).alias(value))
+    inner = whole.orderBy("e.value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = (F.col("below") + F.sum("e.n").over(inner)).alias("reached")
+    found = target.select("*", F.explode("values").alias("e")).select(group, "row_count", "rank", "e.value", reached)
+    return found.where("reached >= rank").groupBy(group, "row_count").agg(F.min("value").alias(value))
 
 
 def publication_times(spark: SparkSession, root: str, contract: Contract) -> DataFrame:

@@ -32,7 +32,7 @@ EVENT_SCHEMA = T.StructType(
 
 def run_of_file() -> Column:
     """The run that wrote a row, from the directory of its file."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"/run_id=([^/]+)/", 1)
+    return F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/run_id=", -1), "/", 1)
 
 
 def _text_schema(schema: T.StructType) -> T.StructType:

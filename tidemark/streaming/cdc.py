@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def deduplicate(changes: DataFrame, key: str, lsn: str = "lsn", within: str = "10 minutes", event_time: str = "updated_at") -> DataFrame:
+def deduplicate(
+    changes: DataFrame, key: str, lsn: str = "lsn", within: str = "10 minutes", event_time: str = "updated_at"
+) -> DataFrame:
     """One row per ``(table, key, lsn)``.
 
     On a stream, state is kept for ``within`` of event time, by Spark's own event-time
