@@ -5,7 +5,7 @@ from helpers import FIRST_RUN, NO_OP_RUN, SECOND_RUN, changed, files, lines, loc
 from pyspark.sql import functions as F
 
 from tidemark import CASES, CUSTOMERS, Checkpoint, Contract, HighWaterMark, SyncOptions, TableSource, sync
-from tidemark.errors import ContractError, IncompatibleSchema
+from tidemark.errors import ContractError, IncompatibleSchema, SourceError
 from tidemark.functions.canonical import canonical_text
 from tidemark.operators.consumer import next_cursor, read_as_of, read_changes_since
 from tidemark.plans.commits import CommitLog, seed_checkpoint
@@ -314,3 +314,15 @@ def test_unstaged_runs_publish_the_same(spark, tmp_path):
     assert one.run_id == two.run_id == FIRST_RUN
     for a, b in zip(one.tables, two.tables):
         assert [lines(p) for p in [*a.lake_paths, a.share_path]] == [lines(p) for p in [*b.lake_paths, b.share_path]]
+
+
+def test_an_unreadable_source_leaves_no_trace(spark, root):
+    broken = seed.customers(spark).withColumn(
+        "name", F.when(F.col("customer_id") == 7, F.raise_error(F.lit("disk on fire"))).otherwise(F.col("name"))
+    )
+    with pytest.raises(SourceError, match="customers"):
+        sync(spark, sources(broken, seed.cases(spark)), root)
+    assert CommitLog(spark, root).recover() == ["1:discarded"]
+    assert files(root) == {}
+    with pytest.raises(ContractError):
+        sync(spark, [TableSource(CASES, seed.customers(spark))], root)

@@ -10,12 +10,14 @@ from dataclasses import asdict, dataclass
 from datetime import UTC, datetime, timedelta
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.checkpoint import Checkpoint, HighWaterMark, to_iso
 from tidemark.contract import UPDATED_AT, Contract, contracts_by_name
-from tidemark.errors import ContractError
+from tidemark.errors import ContractError, SourceError
 from tidemark.functions.canonical import canonical_text
 from tidemark.functions.digest import (
     RUN_ID_LENGTH,
@@ -245,7 +247,10 @@ def _stage(spark: SparkSession, rows: Mapping[str, DataFrame], contracts: Sequen
 
     def copy(c: Contract) -> DataFrame:
         path = f"{stage}/{c.name}"
-        rows[c.name].write.mode("overwrite").parquet(path)
+        try:
+            rows[c.name].write.mode("overwrite").parquet(path)
+        except (PySparkException, Py4JJavaError) as failed:
+            raise SourceError(f"cannot read the delta of {c.name}: {failed}") from failed
         return spark.read.schema(c.schema).parquet(path)
 
     return dict(zip((c.name for c in contracts), _each_table(copy, contracts)))
@@ -356,6 +361,8 @@ def sync(
     options = options or SyncOptions()
     contracts = tuple(s.contract for s in sources)
     contracts_by_name(contracts)
+    for source in sources:
+        source.contract.require(source.frame)
     log = CommitLog(spark, root)
     log.recover(clock(), stale_after=options.stale_after)
     claim = log.claim(clock())
