@@ -1,11 +1,16 @@
 import json
+import uuid
+from dataclasses import replace
 from datetime import timedelta
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from helpers import FIRST_RUN, SECOND_RUN, changed, files, local, seeded, utc
 
-from tidemark import CASES, CUSTOMERS, sync
+from tidemark import CASES, CUSTOMERS, HighWaterMark, sync
 from tidemark.errors import CheckpointCorrupt, CommitInterrupted, ContractError, RunInProgress
+from tidemark.operators.delta import upto
 from tidemark.plans.commits import CommitLog
 from tidemark.plans.maintenance import compact, expire
 from tidemark.sources.published import read_events, read_lake, read_share
@@ -190,3 +195,39 @@ def test_compaction_of_both_formats(spark, root):
     live = CommitLog(spark, root).live_leaves()["cases"]
     assert sorted(part["format"] for part in live.values()) == ["json", "parquet"]
     assert sum(n for part in live.values() for n in part["dates"].values()) == 215
+
+
+def test_snapshots_shorten_the_log(spark, root, monkeypatch):
+    from tidemark.plans import commits
+
+    monkeypatch.setattr(commits, "SNAPSHOT_EVERY", 3)
+    step = timedelta(days=1)
+    sync(spark, seeded(spark), root, clock=lambda: utc(2026, 4, 1))
+    sync(spark, changed(spark), root, clock=lambda: utc(2026, 4, 1) + step)
+    compact(spark, root, CASES, min_runs=1, now=utc(2026, 4, 1) + 2 * step)
+    sync(spark, changed(spark), root, clock=lambda: utc(2026, 4, 1) + 3 * step)
+    log = CommitLog(spark, root)
+    assert log.store.names("state/snapshots") == ["3".zfill(20) + ".json"]
+    with_snapshot = {seq: log.live_leaves(seq) for seq in (1, 2, 3, 4)}
+    log.store.delete("state/snapshots")
+    assert with_snapshot == {seq: log.live_leaves(seq) for seq in (1, 2, 3, 4)}
+    assert with_snapshot[2] != with_snapshot[3] == with_snapshot[4]
+    for _ in range(2):
+        sync(spark, changed(spark), root, clock=lambda: utc(2026, 7, 1))
+    assert log.store.names("state/snapshots") == ["6".zfill(20) + ".json"]
+    expire(spark, root, now=utc(2026, 7, 2))
+    assert read_lake(spark, root, CASES).count() == 215
+    assert CommitLog(spark, root).live_leaves() == with_snapshot[4]
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 29), st.integers(0, 200)), min_size=1, max_size=3))
+def test_any_sequence_of_runs_publishes_every_row_once(spark, tmp_path, cuts):
+    root = f"file:{tmp_path}/{uuid.uuid4().hex}"
+    source = seeded(spark)[1]
+    for day, pk in sorted(cuts):
+        mark = HighWaterMark(f"2026-03-{day + 1:02d}T04:48:00Z", pk)
+        sync(spark, [replace(source, frame=source.frame.where(upto(mark, "case_id")))], root)
+    sync(spark, [source], root)
+    rows = read_lake(spark, root, CASES)
+    assert rows.count() == 200 and rows.exceptAll(source.frame).count() == 0

@@ -158,6 +158,7 @@ def expire(
             replace(edge, kind="baseline", tables=[], lake_added=live, lake_removed={}).text(),
         )
         for commit in expired[:-1]:
+            log.store.delete(f"state/snapshots/{commit.seq:020d}.json")
             log.store.delete(f"state/commits/{commit.seq:020d}.json")
         return sorted(doomed)
     finally:
