@@ -231,3 +231,40 @@ def test_any_sequence_of_runs_publishes_every_row_once(spark, tmp_path, cuts):
     sync(spark, [source], root)
     rows = read_lake(spark, root, CASES)
     assert rows.count() == 200 and rows.exceptAll(source.frame).count() == 0
+
+
+def test_racing_runs_commit_one_after_the_other(spark, root):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def run(_):
+        try:
+            return sync(spark, changed(spark), root).run_id
+        except RunInProgress:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        ended = list(pool.map(run, range(4)))
+    won = [e for e in ended if e]
+    log = CommitLog(spark, root)
+    assert won and len(log.history()) == len(won)
+    assert [c.tables[1]["delta_row_count"] for c in log.history()][0] == 210
+    assert read_lake(spark, root, CASES).count() == 210
+    assert log.store.names("state/runs") == []
+
+
+def test_a_live_run_completed_by_another_application(spark, root, monkeypatch):
+    from tidemark.plans import commits
+
+    commit, other = commits.Claim.commit, []
+
+    def overtaken(self):
+        held = set(commits._HELD)
+        commits._HELD.clear()  # the other application does not know this token
+        other.append(CommitLog(spark, root).recover())
+        commits._HELD.update(held)
+        return commit(self)
+
+    monkeypatch.setattr(commits.Claim, "commit", overtaken)
+    assert sync(spark, seeded(spark), root).run_id == FIRST_RUN
+    assert other == [["1:committed"]]
+    assert read_lake(spark, root, CASES).count() == 200

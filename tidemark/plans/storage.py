@@ -40,13 +40,21 @@ class Store:
 
     def names(self, relative: str) -> list[str]:
         """Sorted entry names of a directory; empty if it does not exist."""
-        if not self.exists(relative):
+        try:
+            found = [status.getPath().getName() for status in self._fs.listStatus(self._java(relative))]
+        except Py4JJavaError:
+            if self.exists(relative):
+                raise
             return []
-        found = [status.getPath().getName() for status in self._fs.listStatus(self._java(relative))]
         return sorted(name for name in found if not name.startswith((".", "_")))
 
     def read(self, relative: str) -> str:
-        stream = self._fs.open(self._java(relative))
+        try:
+            stream = self._fs.open(self._java(relative))
+        except Py4JJavaError as failed:
+            if self.exists(relative):
+                raise
+            raise FileNotFoundError(self.path(relative)) from failed
         try:
             return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
