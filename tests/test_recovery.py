@@ -268,3 +268,17 @@ def test_a_live_run_completed_by_another_application(spark, root, monkeypatch):
     assert sync(spark, seeded(spark), root).run_id == FIRST_RUN
     assert other == [["1:committed"]]
     assert read_lake(spark, root, CASES).count() == 200
+
+
+def test_small_files_are_exclusive_and_whole(spark, root):
+    store = CommitLog(spark, root).store
+    assert store.create_whole("a/b.json", "one") and not store.create_whole("a/b.json", "two")
+    assert store.create("a/c.json", "ü") and not store.create("a/c.json", "v")
+    assert (store.read("a/b.json"), store.read("a/c.json")) == ("one", "ü")
+    store.replace("a/b.json", "three")
+    store.replace("a/b.json", "four")
+    assert store.read("a/b.json") == "four"
+    assert store.names("a") == ["b.json", "c.json"] and store.names("none") == []
+    assert [p.name for p in (local(root) / "a").iterdir() if p.name.startswith(".")] == []
+    with pytest.raises(FileNotFoundError):
+        store.read("a/none.json")

@@ -1,14 +1,14 @@
 from helpers import files, local, utc
 from pyspark.sql import functions as F
 
-from tidemark import CASES, Checkpoint, HighWaterMark, SyncOptions, TableSource, sync
+from tidemark import CASES, CUSTOMERS, Checkpoint, HighWaterMark, SyncOptions, TableSource, sync
 from tidemark.operators.delta import upto
 from tidemark.operators.quality import late_rows, read_late_rows
 from tidemark.plans.commits import CommitLog
 from tidemark.sources import seed
 from tidemark.sources.published import read_lake, read_share
 from tidemark.streaming.cdc import deduplicate
-from tidemark.streaming.drain import batch_publisher, drain, stream_sync
+from tidemark.streaming.drain import batch_publisher, drain, drain_all, stream_sync
 
 QUIET = SyncOptions(echo=False)
 
@@ -116,3 +116,20 @@ def test_continuous_windows(spark, tmp_path):
         query.stop()
     assert read_lake(spark, root, CASES).count() == rows.where("updated_at < '2026-03-20'").count()
     assert [c.tables[0]["delta_row_count"] > 0 for c in CommitLog(spark, root).history()].count(True) == 2
+
+
+def test_several_tables_drain_into_one_log(spark, tmp_path):
+    root, state = f"file:{tmp_path}/out", f"file:{tmp_path}/state"
+    streams = []
+    for contract, rows in ((CUSTOMERS, seed.customers(spark)), (CASES, seed.cases(spark))):
+        path = f"file:{tmp_path}/{contract.name}"
+        rows.coalesce(1).write.parquet(path)
+        streams.append(TableSource.of(spark.readStream.schema(contract.schema).parquet(path), contract))
+    drain_all(streams, root, state, options=QUIET)
+    last = CommitLog(spark, root).latest()
+    assert last.checkpoint_after == {
+        "cases": {"last_pk": 200, "updated_at": "2026-03-30T16:48:00Z"},
+        "customers": {"last_pk": 30, "updated_at": "2026-03-30T00:00:00Z"},
+    }
+    assert last.origin == {"streams": {"cases": 0, "customers": 0}}
+    assert read_share(spark, root, CUSTOMERS).count() == 30 and read_lake(spark, root, CASES).count() == 200

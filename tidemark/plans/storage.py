@@ -86,25 +86,50 @@ class Store:
         self._fill(stream, text)
         return True
 
+    def create_whole(self, relative: str, text: str) -> bool:
+        """Like :meth:`create`, and no reader ever sees part of the file."""
+        target, draft = self._java(relative), self._draft(relative, text)
+        if self._local:
+            try:
+                os.link(draft.toUri().getPath(), target.toUri().getPath())
+                return True
+            except FileExistsError:
+                return False
+            except OSError:  # a mount without hard links
+                if self._fs.exists(target):
+                    return False
+                os.rename(draft.toUri().getPath(), target.toUri().getPath())
+                return True
+            finally:
+                self._fs.delete(draft, False)
+        if not self._fs.exists(target) and self._fs.rename(draft, target):
+            return True
+        self._fs.delete(draft, False)
+        if self._fs.exists(target):
+            return False
+        raise OSError(f"could not move {draft.toString()} into place")
+
     def replace(self, relative: str, text: str) -> None:
         """Write a file that appears whole or not at all, replacing an earlier one."""
-        java_path = self._java(relative)
-        self._fs.mkdirs(java_path.getParent())
-        draft = self._hadoop.Path(java_path.getParent(), f".{java_path.getName()}.{uuid.uuid4().hex}")
-        self._fill(self._fs.create(draft, True), text)
+        target, draft = self._java(relative), self._draft(relative, text)
         if self._local:
-            source, target = draft.toUri().getPath(), java_path.toUri().getPath()
-            os.replace(source, target)
-            for crc in (draft, java_path):
-                self._fs.getRawFileSystem().delete(
-                    self._hadoop.Path(crc.getParent(), f".{crc.getName()}.crc"), False
-                )
+            os.replace(draft.toUri().getPath(), target.toUri().getPath())
             return
-        if self._fs.exists(java_path):
-            self._fs.delete(java_path, False)
-        if not self._fs.rename(draft, java_path):
+        if self._fs.exists(target):
+            self._fs.delete(target, False)
+        if not self._fs.rename(draft, target):
             raise OSError(f"could not move {draft.toString()} into place")
 
+    def _draft(self, relative: str, text: str):
+        """The file's content under a hidden name next to it."""
+        target = self._java(relative)
+        self._fs.mkdirs(target.getParent())
+        draft = self._hadoop.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+        # The raw local file system writes no checksum file, which a rename would leave behind.
+        files = self._fs.getRawFileSystem() if self._local else self._fs
+        self._fill(files.create(draft, True), text)
+        return draft
+
     @staticmethod
     def _fill(stream, text: str) -> None:
         try:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import UTC, datetime
 from typing import Any
 
@@ -71,3 +71,9 @@ def stream_sync(
 def drain(source: TableSource, root: str, state: str, **kwargs: Any) -> None:
     """Publish everything available now and return."""
     stream_sync(source, root, state, **kwargs).awaitTermination()
+
+
+def drain_all(sources: Sequence[TableSource], root: str, state: str, **kwargs: Any) -> None:
+    """Publish what is available of several tables, one after the other, in the order given."""
+    for source in sources:
+        drain(source, root, f"{state}/{source.contract.name}", **kwargs)
