@@ -13,7 +13,7 @@ from tidemark.checkpoint import from_iso, to_iso
 from tidemark.contract import UPDATED_AT, Contract
 from tidemark.functions.canonical import utc_date
 from tidemark.plans.commits import SHARE_DATE, Commit, CommitLog, LeafNames, Leaves, leaf
-from tidemark.plans.publish import LAKE, SHARE, range_tasks, write_leaves
+from tidemark.plans.publish import LAKE, SHARE, placed, range_tasks, write_leaves
 from tidemark.session import require_utc, timestamps_with_statistics
 from tidemark.sources.published import JSON
 
@@ -32,8 +32,7 @@ def _crowded(
 
 
 def _placed(rows: DataFrame, contract: Contract, tasks: int) -> DataFrame:
-    placed = rows.repartitionByRange(tasks, UPDATED_AT, contract.key)
-    dated = placed.select("*", F.lit(LAKE).alias("output"), utc_date(F.col(UPDATED_AT)).alias("date"))
+    dated = placed(rows, contract, tasks).select("*", F.lit(LAKE).alias("output"), utc_date(F.col(UPDATED_AT)).alias("date"))
     return dated.sortWithinPartitions("output", "date", UPDATED_AT, contract.key)
 
 

@@ -26,6 +26,13 @@ def range_tasks(staged_bytes: int, least: int) -> int:
     return max(least, min(MOST_TASKS, -(-staged_bytes // TASK_BYTES)))
 
 
+def placed(rows: DataFrame, contract: Contract, tasks: int) -> DataFrame:
+    """``rows`` cut into ranges of ``(updated_at, pk)``; what fits one task is not shuffled."""
+    if tasks == 1:
+        return rows.coalesce(1)
+    return rows.repartitionByRange(tasks, UPDATED_AT, contract.key)
+
+
 def output_lines(
     rows: DataFrame,
     contract: Contract,
@@ -42,8 +49,8 @@ def output_lines(
     order. Lines are rendered after the shuffle, so typed columns travel, not text.
     """
     # Names no table column has: a table may well have a column called date.
-    placed = rows.repartitionByRange(tasks, UPDATED_AT, contract.key)
-    doubled = placed.select("*", F.explode(F.array(*[F.lit(o) for o in outputs])).alias("_output"))
+    ranges = placed(rows, contract, tasks)
+    doubled = ranges.select("*", F.explode(F.array(*[F.lit(o) for o in outputs])).alias("_output"))
     dated = doubled.select(
         "*",
         F.when(F.col("_output") == LAKE, utc_date(F.col(UPDATED_AT))).otherwise(SHARE_DATE).alias("_date"),
@@ -61,8 +68,8 @@ def lake_rows(rows: DataFrame, contract: Contract, run_id: str, tasks: int) -> D
     clash = PARTITION_COLUMNS & set(contract.column_names)
     if clash:
         raise ContractError(f"{contract.name}: a Parquet lake cannot hold columns named {sorted(clash)}")
-    placed = rows.repartitionByRange(tasks, UPDATED_AT, contract.key)
-    dated = placed.select("*", F.lit(LAKE).alias("output"), utc_date(F.col(UPDATED_AT)).alias("date"))
+    ranges = placed(rows, contract, tasks)
+    dated = ranges.select("*", F.lit(LAKE).alias("output"), utc_date(F.col(UPDATED_AT)).alias("date"))
     in_order = dated.sortWithinPartitions("output", "date", UPDATED_AT, contract.key)
     return in_order.withColumn("run_id", F.lit(run_id))
 

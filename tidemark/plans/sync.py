@@ -66,7 +66,7 @@ class SyncOptions:
     run_id_length: int = RUN_ID_LENGTH
     lake_format: str = JSON
     compression: str | None = None
-    small_task_rows: int = 20_000
+    small_task_rows: int = 100_000
     stage: bool = True
     stale_after: timedelta = timedelta(hours=6)
     echo: bool = True
