@@ -70,3 +70,16 @@ def groups(batches: Iterable[pa.RecordBatch], key: int = 0) -> Iterator[pa.Table
             held.append(piece)
     if held:
         yield pa.Table.from_batches(held)
+
+
+def labelled_documents(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, longest: int) -> DataFrame:
+    """``doc_id, label, text`` of a sample of labelled documents, at most ``2 * per_class`` rows for each label.
+
+    The sample is drawn from the labels alone, so the join's small side has a fixed bound. A document with two
+    different labels is left out, as are texts of more than ``longest`` characters.
+    """
+    rows = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & learn).select("doc_id", F.col(label).cast("int").alias("label"))
+    rows = rows.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("_high")).filter("label = _high").drop("_high")
+    drawn = labelled_sample(rows, "label", "doc_id", per_class, 2)
+    texts = docs.filter(F.length("text") <= longest).select("doc_id", "text")
+    return texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "label", "text").limit(4 * per_class)
