@@ -23,6 +23,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def lower(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z in lower case, and the capitals of Latin-1 in their two-byte form."""
+    out = _LOWER[data]
+    if len(out) > 1:
+        at = np.flatnonzero(data[:-1] == 0xC3) + 1
+        out[at] += (32 * ((data[at] >= 0x80) & (data[at] <= 0x9E) & (data[at] != 0x97))).astype(np.uint8)
+    return out
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and its offsets; a null is an empty text."""
     if column.null_count:
@@ -46,12 +55,15 @@ def spans(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]
 
 
 class Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of the rows of one span: first and last byte, row, and hash (in lower case)."""
+    """Words of the rows of one span: first and last byte, row, and hash (in lower case).
+
+    ``between`` tells for each byte whether it is outside words; by default words are ``[^\\x20\\x09-\\x0D]+``.
+    """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE):
         rows = len(offsets) - 1
         inner = offsets[(offsets > 0) & (offsets < len(data))]
-        solid = ~_SPACE[data]
+        solid = ~between[data]
         first, last = solid.copy(), solid.copy()
         first[1:] &= ~solid[:-1]
         last[:-1] &= ~solid[1:]

@@ -20,11 +20,8 @@ of any length are read whole.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.frames import fold, labelled_documents
 from tidemark.llm.quality import curve
+from tidemark.llm.text import Words, lower, mix64, spans, utf8
 
 PER_CLASS, LONGEST = 1200, 6_000
 LIFT, SUPPORT = 2.5, 5
@@ -40,17 +38,48 @@ BITS = 17
 EPOCHS, RATE, DECAY = 40, 0.4, 1e-5
 TAGGED = 0.5
 ACCEPT = 0.5
-#: Words that a task remembers, and characters that it reads at once.
-REMEMBERED, AT_ONCE = 300_000, 1 << 20
-_WORD = re.compile(r"\w+")
 _SIZE = 1 << BITS
+#: ASCII bytes that are neither letters nor digits nor ``_`` stand between words.
+_BETWEEN = np.array([i < 128 and not (chr(i).isalnum() or chr(i) == "_") for i in range(256)])
 
 
-def features(word: str) -> list[int]:
-    """Places of a word's own features; the first is the word itself."""
-    word = word.lower()
-    names = [f"w {word}", *(f"p {word[:n]}" for n in (4, 5, 6) if len(word) > n), f"s {word[-3:]}"]
-    return [crc32(n.encode()) & (_SIZE - 1) for n in names]
+class Tokens:
+    """Words of a span, as places of their features: the word, its first 4, 5 and 6 bytes, and its last 3.
+
+    A word too short for one has place 0 there, which weighs nothing.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        small = lower(data)
+        self.words = words = Words(small, offsets, _BETWEEN)
+        n, size = len(words.start), words.end - words.start
+        self.places = np.zeros((n, 5), np.int64)
+        if not n:
+            return
+        padded = np.concatenate([small, np.zeros(8, np.uint8)])
+        self.places[:, 0] = self._place(words.hashes(), 1)
+        gram = np.zeros(n, np.uint64)
+        for k in range(6):
+            gram = gram * np.uint64(257) + padded[words.start + k] + np.uint64(1)
+            if k > 2:
+                self.places[:, k - 2] = np.where(size > k + 1, self._place(mix64(gram), 2), 0)
+        tail = np.zeros(n, np.uint64)
+        for k in (3, 2, 1):
+            tail = tail * np.uint64(257) + np.where(size >= k, padded[words.end - np.minimum(size, k)], 0).astype(np.uint64)
+        self.places[:, 4] = self._place(mix64(tail), 3)
+        self.first = np.zeros(n, bool)
+        self.first[0] = True
+        self.first[1:] = words.row[1:] != words.row[:-1]
+        self.last = np.concatenate([self.first[1:], [True]])
+
+    @staticmethod
+    def _place(hashes: np.ndarray, kind: int) -> np.ndarray:
+        return np.maximum((mix64(hashes + np.uint64(kind)) >> np.uint64(64 - BITS)).astype(np.int64), 1)
+
+    @staticmethod
+    def of(texts: list[str]) -> Tokens:
+        raw = [t.encode() for t in texts]
+        return Tokens(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
 
 
 @dataclass
@@ -90,131 +119,97 @@ def marginals(emission: np.ndarray, first: np.ndarray, last: np.ndarray, moves:
     return odds / (1 + odds), e, ahead, behind
 
 
-def weak_tags(docs: list[list[str]], labels: list[int]) -> list[np.ndarray | None]:
-    """For each document the tags of its tokens, or None if a toxic one has no telling word."""
-    known: dict[str, list[int]] = {}
-    counts = (Counter(), Counter())
-    for words, y in zip(docs, labels):
-        found = set()
-        for w in set(words):
-            found.update(known.setdefault(w, features(w)[:-1]))
-        counts[y].update(found)
-    n1 = sum(labels)
-    n0 = len(labels) - n1
-    telling = {f for f, k in counts[1].items() if k >= SUPPORT and np.log((k + 0.5) / (n1 + 1)) - np.log((counts[0][f] + 0.5) / (n0 + 1)) >= LIFT}
-    toxic = {w for w, fs in known.items() if not telling.isdisjoint(fs)}
-    tags = [np.array([w in toxic for w in words], float) if y else np.zeros(len(words)) for words, y in zip(docs, labels)]
-    return [None if y and not t.any() else t for t, y in zip(tags, labels)]
+def weak_tags(tokens: Tokens, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A tag for every token, and which documents are explained by theirs."""
+    row, places = tokens.words.row, tokens.places[:, :4]
+    pairs = np.unique(np.repeat(row, 4) * _SIZE + places.ravel())
+    counts = np.stack([np.bincount(pairs[labels[pairs // _SIZE] == y] % _SIZE, minlength=_SIZE) for y in (0, 1)])
+    share = np.log((counts + 0.5) / (np.array([[(labels == 0).sum()], [(labels == 1).sum()]]) + 1))
+    telling = (counts[1] >= SUPPORT) & (share[1] - share[0] >= LIFT)
+    telling[0] = False
+    tags = telling[places].any(axis=1) & (labels[row] == 1)
+    return tags.astype(float), (labels == 0) | (np.bincount(row, tags, len(labels)) > 0)
+
+
+def emissions(tokens: Tokens, own: np.ndarray, before: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    out = own[tokens.places].sum(axis=1)
+    inner, name = ~tokens.first[1:], tokens.places[:, 0]
+    out[1:] += before[name[:-1]] * inner
+    out[:-1] += behind[name[1:]] * inner
+    return out
 
 
 def train(texts: list[str], labels: list[int]) -> Field:
-    docs = [_WORD.findall(t) for t in texts]
-    keep = [i for i, d in enumerate(docs) if d]
-    docs, labels = [docs[i] for i in keep], [int(labels[i]) for i in keep]
-    empty = Field(np.zeros(_SIZE), np.zeros(_SIZE), np.zeros(_SIZE), np.zeros((2, 2)), 0.0, -30.0)
-    if len(set(labels)) < 2:
-        return empty
-    held = [i % 5 == 4 for i in range(len(docs))]
-    tags = weak_tags([d for d, h in zip(docs, held) if not h], [y for y, h in zip(labels, held) if not h])
-    used = [(d, t) for d, t in zip([d for d, h in zip(docs, held) if not h], tags) if t is not None]
-    place: dict[str, int] = {}
-    ids = np.array([place.setdefault(w, len(place)) for d, _ in used for w in d])
-    y = np.concatenate([t for _, t in used])
-    size = np.array([len(d) for d, _ in used])
-    first, last = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
-    last[np.cumsum(size) - 1] = True
-    first[np.cumsum(size) - size] = True
-    own = [features(w) for w in place]
-    word = np.repeat(np.arange(len(own)), [len(f) for f in own])
-    flat = np.concatenate(own)
-    name = np.array([f[0] for f in own])
-    inner, before = ~first[1:], np.zeros(len(ids))
+    y = np.array(labels, int)
+    if len(set(y.tolist())) < 2:
+        return Field(np.zeros(_SIZE), np.zeros(_SIZE), np.zeros(_SIZE), np.zeros((2, 2)), 0.0, -30.0)
+    held = np.arange(len(y)) % 5 == 4
+    if len(set(y[held].tolist())) < 2:
+        held[:] = False
+    own = [t for t, h in zip(texts, held) if not h]
+    tags, explained = weak_tags(Tokens.of(own), y[~held])
+    tokens = Tokens.of([t if ok else "" for t, ok in zip(own, explained)])
+    tags = tags[np.isin(Tokens.of(own).words.row, np.flatnonzero(explained))]
+    n, inner, name = len(tags), ~tokens.first[1:], tokens.places[:, 0]
     model = Field(np.zeros(_SIZE), np.zeros(_SIZE), np.zeros(_SIZE), np.zeros((2, 2)), 1.0, 0.0)
-    model.own += -0.5
+    model.own[1:] = -0.5
     sums = {k: np.full(np.shape(getattr(model, k)), 1e-6) for k in ("own", "before", "behind", "moves")}
     for _ in range(EPOCHS):
-        emission = np.bincount(word, model.own[flat], len(own))[ids]
-        left, right = model.before[name][ids], model.behind[name][ids]
-        emission[1:] += left[:-1] * inner
-        emission[:-1] += right[1:] * inner
-        p, e, ahead, behind = marginals(emission, first, last, model.moves)
-        delta = p - y
+        p, e, ahead, behind = marginals(emissions(tokens, model.own, model.before, model.behind), tokens.first, tokens.last, model.moves)
+        delta = p - tags
         a = np.exp(model.moves)
-        pair = np.stack([np.full(len(ids) - 1, a[0, 0]), a[0, 1] * e[1:] * behind[1:], ahead[:-1] * a[1, 0], ahead[:-1] * a[1, 1] * e[1:] * behind[1:]])
+        pair = np.stack([np.full(n - 1, a[0, 0]), a[0, 1] * e[1:] * behind[1:], ahead[:-1] * a[1, 0], ahead[:-1] * a[1, 1] * e[1:] * behind[1:]])
         pair = (pair / pair.sum(axis=0) * inner).sum(axis=1)
-        seen = np.bincount((2 * y[:-1] + y[1:]).astype(int), inner, 4)
-        by_type = np.bincount(ids, delta, len(own))
+        seen = np.bincount((2 * tags[:-1] + tags[1:]).astype(int), inner, 4)
         grads = {
-            "own": np.bincount(flat, by_type[word], _SIZE),
-            "before": np.bincount(name[ids[:-1]], delta[1:] * inner, _SIZE),
-            "behind": np.bincount(name[ids[1:]], delta[:-1] * inner, _SIZE),
+            "own": np.bincount(tokens.places.ravel(), np.repeat(delta, 5), _SIZE),
+            "before": np.bincount(name[:-1], delta[1:] * inner, _SIZE),
+            "behind": np.bincount(name[1:], delta[:-1] * inner, _SIZE),
             "moves": (pair - seen).reshape(2, 2),
         }
+        grads["own"][0] = 0
         for k, g in grads.items():
             weight = getattr(model, k)
-            g = g + DECAY * len(ids) * weight * (g != 0)
+            g = g + DECAY * n * weight * (g != 0)
             sums[k] += g * g
             weight -= RATE * (0.3 if k in ("before", "behind") else 1.0) * g / np.sqrt(sums[k])
         np.clip(model.moves, -3, 3, out=model.moves)
-    tagger = Tagger(model)
-    check = [i for i, h in enumerate(held) if h]
-    if len({labels[i] for i in check}) < 2:
-        check = list(range(len(docs)))
-    x = np.array([evidence(p) for p in tagger.probabilities([docs[i] for i in check])])
-    model.slope, model.offset = curve(x, np.array([labels[i] for i in check]))
+    check = held if held.any() else ~held
+    x = np.array([evidence(p) for p in probabilities(model, Tokens.of([t for t, c in zip(texts, check) if c]))])
+    model.slope, model.offset = curve(x, y[check])
     return model
 
 
+def probabilities(field: Field, tokens: Tokens) -> list[np.ndarray]:
+    """The marginals of the tokens of each document."""
+    bound = tokens.words.bound
+    if not bound[-1]:
+        return [np.zeros(0)] * (len(bound) - 1)
+    p = marginals(emissions(tokens, field.own, field.before, field.behind), tokens.first, tokens.last, field.moves)[0]
+    return np.split(p, bound[1:-1])
+
+
 def evidence(p: np.ndarray) -> float:
     tagged = p[p >= TAGGED]
     return float(np.log(0.01 + (tagged.sum() if len(tagged) else p.max(initial=0.0))))
 
 
-class Tagger:
-    """Applies a field; remembers what words weigh."""
-
-    def __init__(self, field: Field):
-        self.field = field
-        self.place: dict[str, int] = {}
-        self.weights: list[tuple[float, float, float]] = []
-
-    def probabilities(self, docs: list[list[str]]) -> list[np.ndarray]:
-        """The marginal of every token of every document."""
-        f, place, weights = self.field, self.place, self.weights
-        if len(place) > REMEMBERED:
-            place.clear(), weights.clear()
-        for w in set().union(*docs) - place.keys():
-            found = features(w)
-            place[w] = len(weights)
-            weights.append((float(f.own[found].sum()), float(f.before[found[0]]), float(f.behind[found[0]])))
-        size = np.array([len(d) for d in docs], np.int64)
-        total = int(size.sum())
-        ids = np.fromiter((place[w] for d in docs for w in d), np.int64, total)
-        end = np.cumsum(size)
-        if not total:
-            return [np.zeros(0) for _ in docs]
-        first, last = np.zeros(total, bool), np.zeros(total, bool)
-        full = size > 0
-        last[end[full] - 1] = True
-        first[end[full] - size[full]] = True
-        table = np.array(weights)
-        emission = table[ids, 0]
-        inner = ~first[1:]
-        emission[1:] += table[ids[:-1], 1] * inner
-        emission[:-1] += table[ids[1:], 2] * inner
-        return np.split(marginals(emission, first, last, f.moves)[0], end[:-1])
-
-
-def offsets(text: str, p: np.ndarray) -> list[dict[str, int]]:
-    """Character spans of runs of tagged tokens."""
-    out: list[dict[str, int]] = []
-    before = False
-    for m, tagged in zip(_WORD.finditer(text), p >= TAGGED):
-        if tagged and before:
-            out[-1]["end"] = m.end()
-        elif tagged:
-            out.append({"start": m.start(), "end": m.end()})
-        before = tagged
+def spans_of(tokens: Tokens, data: np.ndarray, offsets: np.ndarray, found: list[np.ndarray]) -> list[list[dict[str, int]]]:
+    """For each document the character spans of runs of tagged tokens."""
+    out: list[list[dict[str, int]]] = [[] for _ in found]
+    if not any((p >= TAGGED).any() for p in found):
+        return out
+    chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    words = tokens.words
+    for row, p in enumerate(found):
+        base, at = words.bound[row], -2
+        for k in np.flatnonzero(p >= TAGGED).tolist():
+            end = int(chars[words.end[base + k]] - chars[offsets[row]])
+            if k == at + 1:
+                out[row][-1]["end"] = end
+            else:
+                out[row].append({"start": int(chars[words.start[base + k]] - chars[offsets[row]]), "end": end})
+            at = k
     return out
 
 
@@ -224,21 +219,16 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 def _scores(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = Field(**shared.value)
-        tagger = Tagger(field)
         for batch in batches:
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            i = 0
-            while i < len(texts):
-                j, size = i, 0
-                while j < len(texts) and (j == i or size + len(texts[j]) <= AT_ONCE):
-                    size += len(texts[j])
-                    j += 1
-                found = tagger.probabilities([_WORD.findall(t) for t in texts[i:j]])
+            data, offsets = utf8(batch.column("text"))
+            for i, j in spans(offsets):
+                part, edge = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                tokens = Tokens(part, edge)
+                found = probabilities(field, tokens)
                 score = [1 / (1 + np.exp(-np.clip(field.slope * evidence(p) + field.offset, -30, 30))) for p in found]
-                spans = [offsets(t, p) if (p >= TAGGED).any() else [] for t, p in zip(texts[i:j], found)]
-                part = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(score, pa.float64()), pa.array(spans, _SPANS)], names=["doc_id", "held_out", "score", "spans"])
-                i = j
+                rows = batch.slice(i, j - i)
+                where = pa.array(spans_of(tokens, part, edge, found), _SPANS)
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("held_out"), pa.array(score, pa.float64()), where], names=["doc_id", "held_out", "score", "spans"])
 
     return run
 
