@@ -87,9 +87,9 @@ WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_NORMAL} AS w FROM b
 known AS (SELECT DISTINCT item_id, width, array_to_string(w[i:i+width-1], ' ') AS g
   FROM (SELECT item_id, w, least(len(w), 10) AS width, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)),
 docs AS (SELECT doc_id, {_NORMAL} AS w FROM documents),
-at AS (SELECT doc_id, width, i, array_to_string(w[i:i+width-1], ' ') AS g
+places AS (SELECT doc_id, width, i, array_to_string(w[i:i+width-1], ' ') AS g
   FROM (SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS i FROM docs, (SELECT DISTINCT width FROM known))),
-hits AS (SELECT a.doc_id, a.i, a.width, k.item_id FROM at a JOIN known k ON a.width = k.width AND a.g = k.g),
+hits AS (SELECT a.doc_id, a.i, a.width, k.item_id FROM places a JOIN known k ON a.width = k.width AND a.g = k.g),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + width)) AS p FROM hits) GROUP BY doc_id),
 found AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM hits GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(f.n, 0) AS BIGINT) AS n_items,
