@@ -75,9 +75,9 @@ sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
     ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END AS s FROM words),
 each AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
-pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS both
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS n
   FROM each a JOIN each b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
-links AS (SELECT x, y FROM pairs WHERE 100 * both >= 75 * (nx + ny - both)),
+links AS (SELECT x, y FROM pairs WHERE 100 * n >= 75 * (nx + ny - n)),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.y FROM reach r JOIN links l ON r.b = l.x)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.c AS component_id, s.doc_id = m.c AS kept
 FROM sets s JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) m ON m.a = s.doc_id
