@@ -37,7 +37,7 @@ def test_any_cut_splits_without_gap_or_overlap(spark, day, pk):
 
 def test_filter_and_columns_reach_the_scan(spark):
     shown = plan(delta(orders(spark, SF), MID_TIE).select("order_id"))
-    assert "PushedFilters: [Or(GreaterThan(o_orderdate" in shown
+    assert "PushedFilters: [Or(" in shown and "GreaterThan(o_orderdate" in shown
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in shown
     assert "Exchange" not in shown
 
@@ -49,7 +49,7 @@ def test_date_partitions_are_pruned(spark, tmp_path):
     rows = delta(source, HighWaterMark("2026-03-28T00:00:00Z", 28))
     assert rows.columns == CUSTOMERS.column_names
     assert sorted(r.customer_id for r in rows.collect()) == [29, 30]
-    assert "PartitionFilters: [isnotnull(date" in plan(rows)
+    assert "PartitionFilters: [((date" in plan(rows)
 
 
 def test_aggregates_read_two_columns(spark):

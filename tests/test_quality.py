@@ -5,12 +5,13 @@ import pytest
 from helpers import plan
 from pyspark.sql import functions as F
 
-from tidemark import CASES, CUSTOMERS
+from tidemark import CASES, CUSTOMERS, TableSource, sync
 from tidemark.contract import Contract
-from tidemark.errors import IncompatibleSchema
+from tidemark.errors import ContractError, IncompatibleSchema
 from tidemark.operators.changes import merge_with_deletes
 from tidemark.operators.consumer import as_of_state, latest_per_key
 from tidemark.operators.quality import nearest_rank, require_compatible, schema_diff, snapshot_diff
+from tidemark.plans.sync import SyncOptions
 from tidemark.sources import seed
 from workload.tables import USERS, users_log
 
@@ -66,15 +67,13 @@ def test_tombstones_and_merge(spark):
     assert merged.count() == 18 and merged.where("status = 'merged'").count() == 4
 
 
-def test_few_changes_leave_the_table_in_place(spark, monkeypatch):
+def test_changes_are_joined_by_key_or_sent_along(spark):
     from tidemark.operators import changes as module
     from workload.tables import ORDERS, orders
 
     rows = orders(spark, "/root/testdata/sf0.001").frame
     some = rows.where("order_id < 10").withColumn("status", F.lit("X"))
     few = module.apply_changes(rows, some, ORDERS)
-    assert "BroadcastHashJoin" in plan(few, "simple") and "hashpartitioning" not in plan(few, "simple")
-    monkeypatch.setattr(module, "MOST_BROADCAST_KEYS", 5)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         many = module.apply_changes(rows, some, ORDERS)
@@ -82,3 +81,26 @@ def test_few_changes_leave_the_table_in_place(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert few.exceptAll(many).count() == 0 and few.count() == 1500 and few.where("status = 'X'").count() == 10
+
+
+def test_merge_counts_only_the_newest_change_of_a_key(spark):
+    rows = seed.cases(spark)
+    one = rows.where("case_id = 7")
+    twice = one.withColumn("op", F.lit("upsert")).unionByName(one.withColumn("op", F.lit("delete")))
+    merged = merge_with_deletes(rows, twice, CASES)
+    assert merged.count() == rows.count() - 1 and merged.where("case_id = 7").count() == 0
+
+
+def test_tenant_runs_do_not_replace_each_other(spark, tmp_path):
+    from tidemark.operators.tenants import write_by_tenant
+
+    rows, path = seed.cases(spark), f"file:{tmp_path}/tenants"
+    for run in ("a", "b", "b"):
+        write_by_tenant(rows, CASES, "customer_id", path, run)
+    assert spark.read.parquet(path).count() == 2 * rows.count()
+
+
+def test_rows_without_an_instant_stop_the_run(spark, root):
+    rows = seed.cases(spark).withColumn("updated_at", F.when(F.col("case_id") != 7, F.col("updated_at")))
+    with pytest.raises(ContractError, match="lack updated_at"):
+        sync(spark, [TableSource.of(rows, CASES)], root, options=SyncOptions(echo=False))

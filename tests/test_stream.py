@@ -48,7 +48,7 @@ def test_batch_delivered_again_is_skipped(spark, root):
     publish(source.frame, 1)
     last = CommitLog(spark, root).latest()
     assert last.seq == 2 and last.tables[0]["delta_row_count"] == 0
-    assert last.origin == {"streams": {"cases": 1}}
+    assert last.origin == {"streams": {"cases": {"query": None, "batch": 1}}}
 
 
 def test_batch_interrupted_when_ready_is_not_repeated(spark, root, monkeypatch):
@@ -131,5 +131,34 @@ def test_several_tables_drain_into_one_log(spark, tmp_path):
         "cases": {"last_pk": 200, "updated_at": "2026-03-30T16:48:00Z"},
         "customers": {"last_pk": 30, "updated_at": "2026-03-30T00:00:00Z"},
     }
-    assert last.origin == {"streams": {"cases": 0, "customers": 0}}
+    assert {name: of["batch"] for name, of in last.origin["streams"].items()} == {"customers": 0, "cases": 0}
     assert read_share(spark, root, CUSTOMERS).count() == 30 and read_lake(spark, root, CASES).count() == 200
+
+
+def test_drain_takes_files_in_any_order_and_survives_a_lost_state(spark, tmp_path):
+    path, root = f"file:{tmp_path}/in", f"file:{tmp_path}/out"
+    rows = seed.cases(spark)
+    newest = rows.where("updated_at >= '2026-03-15'")
+    for part in (newest, rows.exceptAll(newest).where("case_id % 2 = 0"), rows.exceptAll(newest).where("case_id % 2 = 1")):
+        part.coalesce(1).write.mode("append").parquet(path)
+    stream = TableSource.of(spark.readStream.schema(CASES.schema).option("maxFilesPerTrigger", 1).parquet(path), CASES)
+    drain(stream, root, f"file:{tmp_path}/state", options=QUIET)
+    assert read_lake(spark, root, CASES).exceptAll(rows).count() == 0
+    assert read_lake(spark, root, CASES).count() == rows.count()
+    mark = CommitLog(spark, root).latest().after.mark("cases")
+    later = rows.limit(3).withColumn("case_id", F.col("case_id") + 1000)
+    later.coalesce(1).write.mode("append").parquet(path)
+    drain(stream, root, f"file:{tmp_path}/another", options=QUIET)
+    assert read_lake(spark, root, CASES).count() == rows.count() + 3
+    assert CommitLog(spark, root).latest().after.mark("cases") == mark
+
+
+def test_stream_deduplication_keeps_late_rows(spark, tmp_path):
+    path, out = f"file:{tmp_path}/cdc", f"file:{tmp_path}/out"
+    rows = seed.cases(spark).select(F.lit("cases").alias("table"), "case_id", F.col("case_id").alias("lsn"), "updated_at")
+    rows.where("updated_at >= '2026-03-15'").coalesce(1).write.parquet(path)
+    rows.coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    query = deduplicate(stream, "case_id").writeStream.format("parquet").option("checkpointLocation", f"file:{tmp_path}/state")
+    query.trigger(availableNow=True).start(out).awaitTermination()
+    assert spark.read.parquet(out).count() == 200

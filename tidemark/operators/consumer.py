@@ -6,13 +6,12 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.checkpoint import HighWaterMark, from_iso
 from tidemark.contract import UPDATED_AT, Contract
 from tidemark.errors import ContractError
 from tidemark.functions.canonical import iso_utc
-from tidemark.operators.changes import OP
+from tidemark.operators.changes import OP, latest_per_key
 from tidemark.operators.delta import past
 from tidemark.plans.commits import CommitLog
 from tidemark.sources.published import last_date_of_page, read_lake
@@ -47,17 +46,6 @@ def read_changes_since(
     return changes_since(rows, contract, cursor, page)
 
 
-def latest_per_key(log_rows: DataFrame, contract: Contract, tie_break: str | None = None) -> DataFrame:
-    """The newest change of every key.
-
-    Rank 1 of a window: Spark keeps one row per key in each task before it shuffles, so a key
-    with very many changes does not travel or pile up.
-    """
-    order = [F.col(UPDATED_AT).desc()] + ([F.col(tie_break).desc()] if tie_break else [])
-    rank = F.row_number().over(Window.partitionBy(contract.key).orderBy(*order))
-    return log_rows.withColumn("rank", rank).where("rank = 1").drop("rank")
-
-
 def as_of_state(log_rows: DataFrame, contract: Contract, moment: HighWaterMark | None = None) -> DataFrame:
     """The table as of a position in the log; tombstones drop their key."""
     if moment is not None:

@@ -27,13 +27,22 @@ def upto(mark: HighWaterMark, key: str, updated_at: str = UPDATED_AT) -> Column:
 
 
 def delta(source: TableSource, after: HighWaterMark, until: HighWaterMark | None = None) -> DataFrame:
-    """Contract columns of the rows in ``(after, until]``. A narrow plan: scan, filter, project."""
+    """Contract columns of the rows in ``(after, until]``. A narrow plan: scan, filter, project.
+
+    Rows without an instant, or without a key at the mark's instant, cannot be placed. They are not
+    passed over: without ``until`` they are part of the delta, for the row checks to find.
+    """
     contract, rows = source.contract, source.frame
-    rows = rows.where(past(after, contract.key))
+    beyond = past(after, contract.key)
+    if until is None:
+        beyond = beyond | F.col(UPDATED_AT).isNull() | F.col(contract.key).isNull()
+    rows = rows.where(beyond)
     if until is not None:
         rows = rows.where(upto(until, contract.key))
     if source.date_column:
-        rows = rows.where(F.col(source.date_column) >= F.to_date(after.at_column))
+        day = F.col(source.date_column)
+        recent = day >= F.to_date(after.at_column)
+        rows = rows.where(recent | day.isNull() if until is None else recent)
         if until is not None:
             rows = rows.where(F.col(source.date_column) <= F.to_date(until.at_column))
     return rows.select(*contract.column_names)

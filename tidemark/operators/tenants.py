@@ -19,8 +19,11 @@ def tenant_partitions(rows: DataFrame, tenant: str) -> DataFrame:
     )
 
 
-def write_by_tenant(rows: DataFrame, contract: Contract, tenant: str, path: str, tasks: int | None = None) -> None:
-    """Parquet under ``tenant_id=…/event_date=…``.
+def write_by_tenant(rows: DataFrame, contract: Contract, tenant: str, path: str, run_id: str, tasks: int | None = None) -> None:
+    """Parquet under ``tenant_id=…/event_date=…/run_id=…``.
+
+    Every run writes leaves of its own, so a later one never touches an earlier one's; writing a run
+    again replaces just its leaves.
 
     Range partitioning on tenant and position splits one dominant tenant over many tasks and
     keeps small tenants together. ``tasks`` should follow the size of the batch; the default is
@@ -29,9 +32,9 @@ def write_by_tenant(rows: DataFrame, contract: Contract, tenant: str, path: str,
     keys = (tenant, UPDATED_AT, contract.key)
     placed = rows.repartitionByRange(tasks, *keys) if tasks else rows.repartitionByRange(*keys)
     placed = placed.select(
-        "*", F.col(tenant).alias("tenant_id"), utc_date(F.col(UPDATED_AT)).alias("event_date")
+        "*", F.col(tenant).alias("tenant_id"), utc_date(F.col(UPDATED_AT)).alias("event_date"), F.lit(run_id).alias("run_id")
     )
     in_order = placed.sortWithinPartitions("tenant_id", "event_date", UPDATED_AT, contract.key)
     writer = in_order.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     with timestamps_with_statistics(rows.sparkSession):
-        writer.partitionBy("tenant_id", "event_date").parquet(path)
+        writer.partitionBy("tenant_id", "event_date", "run_id").parquet(path)

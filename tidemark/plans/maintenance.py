@@ -38,7 +38,7 @@ def _placed(rows: DataFrame, contract: Contract, tasks: int) -> DataFrame:
 
 def _lines(spark: SparkSession, contract: Contract, sources: list[str], tasks: int) -> DataFrame:
     """The lines as they are; only their position is parsed."""
-    position = F.from_json("value", f"`{UPDATED_AT}` timestamp, `{contract.key}` bigint")
+    position = F.from_json("value", f"`{UPDATED_AT}` timestamp, `{contract.key}` bigint", {"mode": "FAILFAST"})
     lines = spark.read.text(sources).select("value", position.alias("p")).select("value", "p.*")
     return _placed(lines, contract, tasks).select("value", "output", "date")
 

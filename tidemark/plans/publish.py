@@ -16,20 +16,17 @@ LAKE, SHARE = "lake", "share"
 PARTITION_COLUMNS = {"output", "date", "run_id"}
 
 
-# Staged Parquet bytes one task turns into lines, and the most tasks one shuffle is given.
+# Staged Parquet bytes one task turns into lines.
 TASK_BYTES = 64 << 20
-MOST_TASKS = 50_000
 
 
 def range_tasks(staged_bytes: int, least: int) -> int:
     """How many ranges to cut a batch into: by its size, since ranges are not split later."""
-    return max(least, min(MOST_TASKS, -(-staged_bytes // TASK_BYTES)))
+    return max(least, -(-staged_bytes // TASK_BYTES))
 
 
 def placed(rows: DataFrame, contract: Contract, tasks: int) -> DataFrame:
-    """``rows`` cut into ranges of ``(updated_at, pk)``; what fits one task is not shuffled."""
-    if tasks == 1:
-        return rows.coalesce(1)
+    """``rows`` cut into ranges of ``(updated_at, pk)``; the scan keeps its own tasks."""
     return rows.repartitionByRange(tasks, UPDATED_AT, contract.key)
 
 

@@ -163,6 +163,10 @@ def _run_id(
     return run_id_from_identities(before.as_dict(), texts, options.run_id_length)
 
 
+def _position(mark: HighWaterMark) -> tuple[str, int]:
+    return mark.at, mark.pk
+
+
 def examine(
     deltas: Mapping[str, DataFrame], contracts: Sequence[Contract], before: Checkpoint, options: SyncOptions
 ) -> RunFacts:
@@ -180,6 +184,8 @@ def examine(
         for c in contracts
         if summary[c.name]["delta_row_count"]
     }
+    # A stream's batch may hold late rows only; a mark never moves back.
+    moved = {name: mark for name, mark in moved.items() if _position(mark) > _position(before.mark(name))}
     dates: dict[str, dict[str, int]] = {c.name: {} for c in contracts}
     for row in counted:
         dates[row["table"]][row["date"]] = row["row_count"]

@@ -76,6 +76,8 @@ def read_files(
     reader = spark.read.format(fmt).options(**dict(options or {}))
     if fmt in ("json", "csv", "xml"):
         reader = reader.schema(contract.schema)
+        if "mode" not in dict(options or {}):
+            reader = reader.option("mode", "FAILFAST")  # a line that cannot be read must not turn into nulls
     try:
         frame = reader.load(path)
     except Exception as failed:
@@ -119,7 +121,8 @@ def jdbc_slices(
         terms += [f"{at} >= {instant(start)}"] if start else []
         terms += [f"{at} < {instant(stop)}"] if stop else []
         for residue in range(key_slices):
-            conditions.append(" AND ".join([*terms, f"MOD({pk}, {key_slices}) = {residue}"]))
+            own = f"ABS(MOD({pk}, {key_slices})) = {residue}"
+            conditions.append(" AND ".join([*terms, own if residue else f"({own} OR {pk} IS NULL)"]))
     return conditions
 
 

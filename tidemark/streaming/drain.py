@@ -2,43 +2,87 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from datetime import UTC, datetime
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.errors import ContractError
-from tidemark.operators.delta import delta
-from tidemark.plans.commits import CommitLog
+from tidemark.checkpoint import HighWaterMark
+from tidemark.contract import UPDATED_AT, Contract
+from tidemark.errors import ContractError, RunInProgress
+from tidemark.functions.canonical import utc_date
+from tidemark.operators.delta import past
+from tidemark.plans.commits import Claim, CommitLog
 from tidemark.plans.sync import Clock, SyncOptions, publish
+from tidemark.sources.published import read_lake
 from tidemark.sources.tables import TableSource
 
+#: How long a batch waits for another run on the same root to end, in seconds.
+PATIENCE = 3_600
+
+
+def claimed(log: CommitLog, clock: Clock, options: SyncOptions, patience: float = PATIENCE) -> Claim:
+    """A claim on the next run, after recovery; another run's live claim is waited for."""
+    until = time.monotonic() + patience
+    while True:
+        try:
+            log.recover(clock(), stale_after=options.stale_after)
+            return log.claim(clock())
+        except RunInProgress:
+            if time.monotonic() >= until:
+                raise
+            time.sleep(0.5)
+
+
+def unpublished(batch: DataFrame, root: str, contract: Contract, mark: HighWaterMark) -> DataFrame:
+    """The rows of a micro-batch that the lake does not hold yet.
+
+    Rows past the mark cannot be in it. Rows at or before the mark are late ones or ones delivered
+    again, also by a query that lost its state; they are compared with the lake on the dates they
+    touch, by key and instant.
+    """
+    rows = batch.select(*contract.column_names)
+    fresh = rows.where(F.coalesce(past(mark, contract.key), F.lit(True)))
+    old = rows.where(F.coalesce(~past(mark, contract.key), F.lit(False)))
+    dates = old.agg(F.min(utc_date(F.col(UPDATED_AT))).alias("first"), F.max(utc_date(F.col(UPDATED_AT))).alias("last")).first()
+    if dates["first"] is None:
+        return fresh
+    known = read_lake(batch.sparkSession, root, contract, first_date=dates["first"], last_date=dates["last"])
+    keys = known.select(F.col(contract.key).alias("_key"), F.col(UPDATED_AT).alias("_at"))
+    same = (old[contract.key] == F.col("_key")) & (old[UPDATED_AT] == F.col("_at"))
+    return fresh.unionByName(old.join(keys, same, "left_anti"))
+
 
 def batch_publisher(
     source: TableSource, root: str, options: SyncOptions, clock: Clock
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that publishes each micro-batch as one run.
 
-    A batch delivered again after a crash is recognised by its number, which the commit that
-    published it carries, and skipped.
+    The source's offsets decide what is new, not the mark: arrival need not follow ``updated_at``.
+    A batch delivered again is recognised by its query and number, which the commit that published
+    it carries; anything else that comes twice is compared with the lake. The mark only ever rises,
+    so late rows lie behind it: consumers that page by position read them with ``late_rows``.
     """
     contract = source.contract
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         log = CommitLog(spark, root)
-        log.recover(clock(), stale_after=options.stale_after)
-        last = log.latest()
-        seen: dict[str, Any] = dict(last.origin.get("streams", {})) if last else {}
-        if seen.get(contract.name, -1) >= batch_id:
-            return
-        claim = log.claim(clock())
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        claim = claimed(log, clock, options)
         try:
+            last = log.latest()
+            seen: dict[str, Any] = dict(last.origin.get("streams", {})) if last else {}
+            done = seen.get(contract.name)
+            if isinstance(done, dict) and done["query"] == query and done["batch"] >= batch_id:
+                return
             before = log.checkpoint([contract.name])
-            rows = {contract.name: delta(TableSource(contract, batch), before.mark(contract.name))}
-            origin = {"streams": {**seen, contract.name: batch_id}}
+            rows = {contract.name: unpublished(batch, root, contract, before.mark(contract.name))}
+            origin = {"streams": {**seen, contract.name: {"query": query, "batch": batch_id}}}
             publish(spark, root, claim, rows, (contract,), before, options, clock, origin=origin)
         finally:
             claim.release()

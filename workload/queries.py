@@ -594,9 +594,10 @@ def tenant_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("tenant_lake")
 def tenant_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events written by tenant (here their type) and date, and read back from those directories."""
+    """Events written by tenant (here their type) and date in two runs that share both, and read back."""
     rows, path = events(spark, sf_dir).frame, scratch_root(spark, "tenants")
-    write_by_tenant(rows, EVENTS, "event_type", path)
+    for half in (0, 1):
+        write_by_tenant(rows.where(F.col("event_id") % 2 == half), EVENTS, "event_type", path, f"run-{half}")
     layout = T.StructType([*EVENTS.schema.fields, T.StructField("tenant_id", T.StringType()), T.StructField("event_date", T.StringType())])
     return plain(spark.read.schema(layout).parquet(path))
 
