@@ -26,15 +26,16 @@ def upto(mark: HighWaterMark, key: str, updated_at: str = UPDATED_AT) -> Column:
     return (at < mark.at_column) | ((at == mark.at_column) & (pk <= mark.pk))
 
 
-def delta(source: TableSource, after: HighWaterMark, until: HighWaterMark | None = None) -> DataFrame:
+def delta(source: TableSource, after: HighWaterMark, until: HighWaterMark | None = None, unplaced: bool = False) -> DataFrame:
     """Contract columns of the rows in ``(after, until]``. A narrow plan: scan, filter, project.
 
-    Rows without an instant, or without a key at the mark's instant, cannot be placed. They are not
-    passed over: without ``until`` they are part of the delta, for the row checks to find.
+    Rows without an instant, or without a key at the mark's instant, cannot be placed. With
+    ``unplaced`` they are part of the delta, for the row checks to find; a source whose instants
+    have to be cast then filters after the scan, since a null test on a cast is not pushed.
     """
     contract, rows = source.contract, source.frame
     beyond = past(after, contract.key)
-    if until is None:
+    if unplaced:
         beyond = beyond | F.col(UPDATED_AT).isNull() | F.col(contract.key).isNull()
     rows = rows.where(beyond)
     if until is not None:
@@ -42,7 +43,7 @@ def delta(source: TableSource, after: HighWaterMark, until: HighWaterMark | None
     if source.date_column:
         day = F.col(source.date_column)
         recent = day >= F.to_date(after.at_column)
-        rows = rows.where(recent | day.isNull() if until is None else recent)
+        rows = rows.where(recent | day.isNull() if unplaced else recent)
         if until is not None:
             rows = rows.where(F.col(source.date_column) <= F.to_date(until.at_column))
     return rows.select(*contract.column_names)

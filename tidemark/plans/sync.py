@@ -375,7 +375,7 @@ def sync(
     try:
         started = clock()
         before = log.checkpoint(c.name for c in contracts)
-        rows = {s.contract.name: delta(s, before.mark(s.contract.name)) for s in sources}
+        rows = {s.contract.name: delta(s, before.mark(s.contract.name), unplaced=True) for s in sources}
         if dry_run:
             facts = examine(rows, contracts, before, options)
             entries = table_manifests(log, facts)
