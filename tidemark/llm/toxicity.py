@@ -246,7 +246,7 @@ def fitted(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> F
     return field
 
 
-def score(docs: DataFrame, field: Field, carry: tuple[str, ...] = ()) -> DataFrame:
+def score(docs: DataFrame, field: Field) -> DataFrame:
     """``doc_id, held_out, score, predicted, spans`` for every row; ``spans`` are character offsets of toxic passages."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(field))
     rows = docs.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "text")
