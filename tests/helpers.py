@@ -8,15 +8,22 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame
 
-from tidemark import CASES, CUSTOMERS, TableSource
+import tidemark
+from tidemark import CASES, CUSTOMERS, SyncOptions, TableSource
 from tidemark.operators.changes import apply_changes
 from tidemark.sources import seed
 
+# The golden ids are those of the exact scheme.
 FIRST_RUN = "dec1e0bc6b160622b3cc58de428fb8a1"
 NO_OP_RUN = "aa5a57719b6d2ee57cb87d460310fe6f"
 SECOND_RUN = "0c2783ba7f52971a48441c716ce793cf"
 
 
+def sync(spark, tables, root, options: SyncOptions | None = None, **kwargs):
+    """A run with exact ids unless the options say otherwise."""
+    return tidemark.sync(spark, tables, root, options=options or SyncOptions(identity="exact"), **kwargs)
+
+
 def utc(*parts: int) -> datetime:
     return datetime(*parts, tzinfo=UTC)
 

@@ -4,7 +4,7 @@ from helpers import plan
 from pyspark.sql import functions as F
 
 from tidemark import CASES, CUSTOMERS, HighWaterMark, TableSource
-from tidemark.operators.delta import delta, ordered
+from tidemark.operators.delta import delta, numbered, ordered
 from tidemark.operators.identity import row_identities
 from tidemark.operators.summary import checkpoint_advance, delta_counts, digests, partition_counts, touched_partitions
 from tidemark.checkpoint import Checkpoint
@@ -74,7 +74,9 @@ def test_summary_of_the_seed(spark):
         ("customers", "2026-03-30T00:00:00Z", 30),
         ("cases", "2026-01-01T00:00:00Z", 5),
     }
-    dates = [r.date for r in touched_partitions(deltas, pair).collect()]
+    found = touched_partitions(deltas, pair).collect()
+    assert [r.position for r in found] == list(range(1, 31))
+    dates = [r.date for r in found]
     assert dates == sorted(dates) and len(dates) == 30 and dates[0] == "2026-03-01"
 
 
@@ -83,3 +85,11 @@ def test_identities_keep_their_order(spark):
         "case_id", "CAST(t AS TIMESTAMP) AS updated_at"
     )
     assert [r.pk for r in row_identities(rows, CASES).collect()] == [2, 1]
+
+
+def test_numbers_follow_the_order_over_all_ranges(spark):
+    rows = seed.cases(spark).repartition(7, "case_id")
+    found = numbered(rows, CASES).orderBy("row_number").collect()
+    assert [r.row_number for r in found] == list(range(1, 201))
+    assert [(r.updated_at, r.case_id) for r in found] == sorted((r.updated_at, r.case_id) for r in rows.collect())
+    assert numbered(rows.where("false"), CASES).count() == 0

@@ -1,5 +1,6 @@
 import math
 import random
+from dataclasses import replace
 
 import pytest
 from helpers import plan
@@ -11,8 +12,10 @@ from tidemark.errors import ContractError, IncompatibleSchema
 from tidemark.operators.changes import merge_with_deletes
 from tidemark.operators.consumer import as_of_state, latest_per_key
 from tidemark.operators.quality import nearest_rank, require_compatible, schema_diff, snapshot_diff
+from tidemark.plans.maintenance import compact
 from tidemark.plans.sync import SyncOptions
 from tidemark.sources import seed
+from tidemark.sources.published import read_lake
 from workload.tables import USERS, users_log
 
 
@@ -91,13 +94,24 @@ def test_merge_counts_only_the_newest_change_of_a_key(spark):
     assert merged.count() == rows.count() - 1 and merged.where("case_id = 7").count() == 0
 
 
-def test_tenant_runs_do_not_replace_each_other(spark, tmp_path):
-    from tidemark.operators.tenants import write_by_tenant
-
-    rows, path = seed.cases(spark), f"file:{tmp_path}/tenants"
-    for run in ("a", "b", "b"):
-        write_by_tenant(rows, CASES, "customer_id", path, run)
-    assert spark.read.parquet(path).count() == 2 * rows.count()
+def test_tenants_of_a_committed_lake(spark, root):
+    names = F.when(F.col("case_id") % 3 == 0, "a/b").when(F.col("case_id") % 3 == 1, "").otherwise(F.lit(None))
+    contract = replace(CASES, columns=(*CASES.columns, ("country", "text")), tenant="country")
+    rows = seed.cases(spark).withColumn("country", names).select(*contract.column_names)
+    options = SyncOptions(echo=False)
+    for bound in (60, 200):
+        early = rows.where(F.col("case_id") <= bound).withColumn("updated_at", F.make_timestamp(F.lit(2026), F.lit(3), F.lit(1), F.lit(0), F.lit(bound // 10), F.lit(0)))
+        sync(spark, [TableSource.of(early, contract)], root, options=options)
+    assert read_lake(spark, root, contract).count() == 260
+    found = read_lake(spark, root, contract, tenant="a/b")
+    assert found.count() == 20 + 66 and "PartitionFilters: [isnotnull(lake_tenant" in plan(found, "simple")
+    assert read_lake(spark, root, contract, tenant="").where("country = ''").count() == 20 + 67
+    compact(spark, root, contract)
+    rows = read_lake(spark, root, contract, with_run=True)
+    assert rows.count() == 260 and rows.where("run_id NOT LIKE 'compact%'").count() == 0
+    assert read_lake(spark, root, contract, tenant="a/b").count() == 86
+    with pytest.raises(ContractError, match="tenant"):
+        read_lake(spark, root, CASES, tenant="x")
 
 
 def test_rows_without_an_instant_stop_the_run(spark, root):

@@ -6,9 +6,9 @@ from datetime import timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from helpers import FIRST_RUN, SECOND_RUN, changed, files, local, seeded, utc
+from helpers import FIRST_RUN, SECOND_RUN, changed, files, local, seeded, sync, utc
 
-from tidemark import CASES, CUSTOMERS, HighWaterMark, sync
+from tidemark import CASES, CUSTOMERS, HighWaterMark
 from tidemark.errors import CheckpointCorrupt, CommitInterrupted, ContractError, RunInProgress
 from tidemark.operators.delta import upto
 from tidemark.plans.commits import CommitLog

@@ -22,6 +22,7 @@ def main(arguments: Sequence[str] | None = None) -> Manifest:
         parser.add_argument(f"--{contract.name}", required=True, help=f"where {contract.name} is read from")
     parser.add_argument("--format", default="parquet", help="format of the sources")
     parser.add_argument("--lake-format", default="json", choices=("json", "parquet"))
+    parser.add_argument("--identity", default="lanes", choices=("lanes", "exact"), help="how the run id is derived")
     parser.add_argument("--assume-utc", action="store_true", help="read timestamps without a zone as UTC")
     parser.add_argument("--dry-run", action="store_true", help="say what would be published, write nothing")
     given = parser.parse_args(arguments)
@@ -31,7 +32,7 @@ def main(arguments: Sequence[str] | None = None) -> Manifest:
         read_files(spark, contract, getattr(given, contract.name), given.format, assume_utc=given.assume_utc)
         for contract in DEFAULT_CONTRACTS
     ]
-    options = SyncOptions(lake_format=given.lake_format)
+    options = SyncOptions(identity=given.identity, lake_format=given.lake_format)
     manifest = sync(spark, sources, given.root, dry_run=given.dry_run, options=options)
     print(manifest.text())
     return manifest

@@ -53,13 +53,15 @@ class Contract:
     """One published table.
 
     ``columns`` pairs each column with its source type in declared order; the order and the
-    type names feed the schema fingerprint, so they are part of the contract.
+    type names feed the schema fingerprint, so they are part of the contract. With ``tenant`` the
+    lake is Parquet, divided by that column inside each date and run.
     """
 
     name: str
     key: str
     columns: tuple[tuple[str, str], ...]
     directory: str = field(default="")
+    tenant: str = field(default="")
 
     def __post_init__(self) -> None:
         seen: set[str] = set()
@@ -77,6 +79,8 @@ class Contract:
             raise ContractError(f"{self.name}: {UPDATED_AT} must be timestamptz")
         if dict(self.columns)[self.key] not in KEY_TYPES:
             raise ContractError(f"{self.name}: key {self.key!r} must be an integer type")
+        if self.tenant and self.tenant not in seen:
+            raise ContractError(f"{self.name}: tenant column {self.tenant!r} is not declared")
         object.__setattr__(self, "directory", self.directory or self.name)
 
     @property

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.checkpoint import HighWaterMark
 from tidemark.contract import UPDATED_AT, Contract
+from tidemark.session import scratch_root
 from tidemark.sources.tables import TableSource
 
 
@@ -52,3 +54,24 @@ def delta(source: TableSource, after: HighWaterMark, until: HighWaterMark | None
 def ordered(rows: DataFrame, contract: Contract) -> DataFrame:
     """Total order ``(updated_at, pk)`` over the whole frame, by range shuffle."""
     return rows.orderBy(UPDATED_AT, contract.key)
+
+
+_IN_RANGE_BITS = 33
+
+
+def numbered(rows: DataFrame, contract: Contract, name: str = "row_number") -> DataFrame:
+    """``rows`` with their position in the total order, from 1. No task sees more than one range.
+
+    The sorted ranges are written once, each row with its place in its range, so that a second
+    look cannot cut them elsewhere; the rows in earlier ranges, one number per range, are added.
+    """
+    spark, path = rows.sparkSession, scratch_root(rows.sparkSession, "numbered")
+    placed = ordered(rows, contract).withColumn("_place", F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    written = spark.read.schema(placed.schema).parquet(path)
+    in_range = written.withColumn("_range", F.shiftright("_place", _IN_RANGE_BITS))
+    sizes = in_range.groupBy("_range").agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    number = F.col("_before") + F.col("_place").bitwiseAND((1 << _IN_RANGE_BITS) - 1) + 1
+    return in_range.join(offsets, "_range").select(*rows.columns, number.alias(name))

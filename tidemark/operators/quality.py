@@ -73,35 +73,34 @@ _BUCKET_BITS = 12
 def nearest_rank(rows: DataFrame, group: str, value: str, quantile: float) -> DataFrame:
     """Exact ``quantile`` (nearest rank) of an integer column per group: ``(group, row_count, value)``.
 
-    The rows are first reduced to a histogram, whose values are gathered in buckets of 4096. The
-    rank is located among the buckets of a group, then inside one bucket, so the rows are read
-    once and no task ever holds more than the distinct values. Nulls are left out.
+    The rows are first reduced to a histogram, whose values fall into buckets of 4096. The rank is
+    located among a group's bucket totals, then inside the one bucket that holds it. The windows
+    see totals and the values of that bucket, never the whole histogram. Nulls are left out.
     """
     bucket = F.shiftright(value, _BUCKET_BITS).alias("bucket")
     fine = rows.where(F.col(value).isNotNull()).groupBy(group, bucket, value).agg(F.count("*").alias("n"))
-    coarse = fine.groupBy(group, "bucket").agg(
-        F.sum("n").alias("inside"), F.collect_list(F.struct(F.col(value).alias("value"), "n")).alias("values")
-    )
+    coarse = fine.groupBy(group, "bucket").agg(F.sum("n").alias("inside"))
     whole = Window.partitionBy(group)
     upward = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = coarse.select(
-        group,
-        "values",
+        F.col(group).alias("_group"),
+        F.col("bucket").alias("_bucket"),
         "inside",
         (F.sum("inside").over(upward) - F.col("inside")).alias("below"),
         F.sum("inside").over(whole).alias("row_count"),
     ).withColumn("rank", F.ceil(F.col("row_count") * F.lit(quantile)))
     target = placed.where("below < rank AND rank <= below + inside")
-    inner = whole.orderBy("e.value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = (F.col("below") + F.sum("e.n").over(inner)).alias("reached")
-    found = target.select("*", F.explode("values").alias("e")).select(group, "row_count", "rank", "e.value", reached)
-    return found.where("reached >= rank").groupBy(group, "row_count").agg(F.min("value").alias(value))
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("bucket") == F.col("_bucket"))
+    inner = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = (F.col("below") + F.sum("n").over(inner)).alias("reached")
+    found = fine.join(target, same).select(group, "row_count", "rank", value, reached)
+    return found.where("reached >= rank").groupBy(group, "row_count").agg(F.min(value).alias(value))
 
 
 def publication_times(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
     """``(table, updated_at, committed_at)`` of the lake rows that still lie where a run wrote them."""
-    times = [(c.run_id, c.committed_at) for c in CommitLog(spark, root).history() if c.kind == "ingest"]
-    commits = metadata_frame(spark, times, "run_id string, at string")
+    commits = CommitLog(spark, root).records("kind string, run_id string, committed_at string")
+    commits = commits.where("kind = 'ingest'").groupBy("run_id").agg(F.min("committed_at").alias("at"))
     rows = read_lake(spark, root, contract, with_run=True).select("run_id", UPDATED_AT)
     return rows.join(commits, "run_id").select(
         F.lit(contract.name).alias("table"), UPDATED_AT, F.col("at").cast("timestamp").alias("committed_at")

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.checkpoint import Checkpoint
 from tidemark.contract import UPDATED_AT, Contract
@@ -62,10 +63,13 @@ def partition_counts(deltas: Deltas, contracts: Sequence[Contract]) -> DataFrame
 
 
 def touched_partitions(deltas: Deltas, contracts: Sequence[Contract]) -> DataFrame:
-    """The dates each delta touches, in table and date order. One row per table and date."""
-    return (
-        partition_counts(deltas, contracts).select("table_ordinal", "table", "date").orderBy("table_ordinal", "date")
-    )
+    """The dates each delta touches, in table and date order. One row per table and date.
+
+    ``position`` counts them from 1 over all tables; dates and tables are few, rows are not.
+    """
+    position = F.row_number().over(Window.orderBy("table_ordinal", "date")).alias("position")
+    dates = partition_counts(deltas, contracts).select("table_ordinal", "table", "date", position)
+    return dates.orderBy("position")
 
 
 def digests(deltas: Deltas, contracts: Sequence[Contract]) -> DataFrame:

@@ -1,13 +1,12 @@
-"""Lake partitioned by tenant and date, for tables that carry a tenant column."""
+"""Tables that carry a tenant column; their lake is written and read like any other, by ``sync`` and ``read_lake``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.contract import UPDATED_AT, Contract
+from tidemark.contract import UPDATED_AT
 from tidemark.functions.canonical import utc_date
-from tidemark.session import timestamps_with_statistics
 
 
 def tenant_partitions(rows: DataFrame, tenant: str) -> DataFrame:
@@ -17,24 +16,3 @@ def tenant_partitions(rows: DataFrame, tenant: str) -> DataFrame:
         .agg(F.count("*").alias("row_count"))
         .select("tenant_id", utc_date(F.col("day")).alias("event_date"), "row_count")
     )
-
-
-def write_by_tenant(rows: DataFrame, contract: Contract, tenant: str, path: str, run_id: str, tasks: int | None = None) -> None:
-    """Parquet under ``tenant_id=…/event_date=…/run_id=…``.
-
-    Every run writes leaves of its own, so a later one never touches an earlier one's; writing a run
-    again replaces just its leaves.
-
-    Range partitioning on tenant and position splits one dominant tenant over many tasks and
-    keeps small tenants together. ``tasks`` should follow the size of the batch; the default is
-    the session's number of shuffle partitions.
-    """
-    keys = (tenant, UPDATED_AT, contract.key)
-    placed = rows.repartitionByRange(tasks, *keys) if tasks else rows.repartitionByRange(*keys)
-    placed = placed.select(
-        "*", F.col(tenant).alias("tenant_id"), utc_date(F.col(UPDATED_AT)).alias("event_date"), F.lit(run_id).alias("run_id")
-    )
-    in_order = placed.sortWithinPartitions("tenant_id", "event_date", UPDATED_AT, contract.key)
-    writer = in_order.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    with timestamps_with_statistics(rows.sparkSession):
-        writer.partitionBy("tenant_id", "event_date", "run_id").parquet(path)

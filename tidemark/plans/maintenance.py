@@ -13,9 +13,9 @@ from tidemark.checkpoint import from_iso, to_iso
 from tidemark.contract import UPDATED_AT, Contract
 from tidemark.functions.canonical import utc_date
 from tidemark.plans.commits import SHARE_DATE, Commit, CommitLog, LeafNames, Leaves, leaf
-from tidemark.plans.publish import LAKE, SHARE, placed, range_tasks, write_leaves
+from tidemark.plans.publish import LAKE, SHARE, by_tenant, placed, range_tasks, write_leaves
 from tidemark.session import require_utc, timestamps_with_statistics
-from tidemark.sources.published import JSON
+from tidemark.sources.published import BY_TENANT, JSON, LAKE_TENANT, PARQUET, tenant_files
 
 
 def _crowded(
@@ -48,6 +48,12 @@ def _columns(spark: SparkSession, contract: Contract, sources: list[str], tasks:
     return _placed(spark.read.option("mergeSchema", True).parquet(*sources), contract, tasks)
 
 
+def _tenants(spark: SparkSession, contract: Contract, sources: list[str], tasks: int) -> DataFrame:
+    """The same for files divided by tenant."""
+    rows = tenant_files(spark, sources).option("mergeSchema", True).parquet(*sources).drop("date", "run_id", LAKE_TENANT)
+    return by_tenant(rows, contract, tasks)
+
+
 def compact(
     spark: SparkSession,
     root: str,
@@ -80,10 +86,10 @@ def compact(
         for fmt, per_date in chosen.items():
             sources = [log.store.path(leaf(contract.directory, LAKE, d, r)) for d, ids in per_date.items() for r in ids]
             tasks = range_tasks(sum(log.store.size(path) for path in sources), least=1)
-            merged = _lines if fmt == JSON else _columns
+            merged = {JSON: _lines, BY_TENANT: _tenants}.get(fmt, _columns)
             rows = merged(spark, contract, sources, tasks).withColumn("run_id", F.lit(run_ids[fmt]))
             with timestamps_with_statistics(spark):
-                write_leaves(rows, log.store.path(contract.directory), "text" if fmt == JSON else fmt, compression)
+                write_leaves(rows, log.store.path(contract.directory), "text" if fmt == JSON else PARQUET, compression)
             counts = {d: sum(runs[r]["dates"][d] for r in ids) for d, ids in per_date.items()}
             added[contract.name][run_ids[fmt]] = {"format": fmt, "dates": counts}
             for date, ids in sorted(per_date.items()):
@@ -101,6 +107,7 @@ def compact(
             lake_added=added,
             lake_removed=removed,
             shares=last.shares,
+            schemas=last.schemas,
             origin=last.origin,
         )
         claim.ready(commit)
@@ -119,7 +126,7 @@ def expire(
     """Drop commits older than ``keep`` and every directory only they refer to.
 
     The last expired commit is rewritten as a baseline that lists all lake directories live at
-    that point, so no published row is lost; only replaced lake directories, superseded shares
+    that point and all rows set aside, so no row is lost; only replaced lake directories, superseded shares
     and old events go. ``directories`` names the directory of a table where it is not the
     table's name. Returns what was deleted.
     """
@@ -152,9 +159,13 @@ def expire(
         doomed.update(f"events/run_id={c.run_id}" for c in expired if c.kind == "ingest" and c.run_id not in told)
         for target in sorted(doomed):
             log.store.delete(target)
+        aside: dict[str, list[dict[str, Any]]] = {}
+        for commit in expired:
+            for table, parts in commit.quarantined.items():
+                aside.setdefault(table, []).extend(parts)
         log.store.replace(
             f"state/commits/{edge.seq:020d}.json",
-            replace(edge, kind="baseline", tables=[], lake_added=live, lake_removed={}).text(),
+            replace(edge, kind="baseline", tables=[], lake_added=live, lake_removed={}, quarantined=aside).text(),
         )
         for commit in expired[:-1]:
             log.store.delete(f"state/snapshots/{commit.seq:020d}.json")

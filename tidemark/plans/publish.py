@@ -11,9 +11,10 @@ from tidemark.errors import ContractError
 from tidemark.functions.canonical import utc_date
 from tidemark.operators.envelope import envelope, lake_line
 from tidemark.plans.commits import SHARE_DATE
+from tidemark.sources.published import JSON, LAKE_TENANT, PARQUET
 
 LAKE, SHARE = "lake", "share"
-PARTITION_COLUMNS = {"output", "date", "run_id"}
+PARTITION_COLUMNS = {"output", "date", "run_id", LAKE_TENANT}
 
 
 # Staged Parquet bytes one task turns into lines.
@@ -30,6 +31,19 @@ def placed(rows: DataFrame, contract: Contract, tasks: int) -> DataFrame:
     return rows.repartitionByRange(tasks, UPDATED_AT, contract.key)
 
 
+def by_tenant(rows: DataFrame, contract: Contract, tasks: int) -> DataFrame:
+    """The rows of a lake divided by tenant, with their date and tenant.
+
+    Ranges of ``(tenant, updated_at, pk)`` split a dominant tenant over many tasks and keep small
+    ones together, so that a task writes few files.
+    """
+    ranges = rows.repartitionByRange(tasks, contract.tenant, UPDATED_AT, contract.key)
+    dated = ranges.select(
+        "*", F.lit(LAKE).alias("output"), utc_date(F.col(UPDATED_AT)).alias("date"), F.col(contract.tenant).cast("string").alias(LAKE_TENANT)
+    )
+    return dated.sortWithinPartitions("output", "date", LAKE_TENANT, UPDATED_AT, contract.key)
+
+
 def output_lines(
     rows: DataFrame,
     contract: Contract,
@@ -65,6 +79,8 @@ def lake_rows(rows: DataFrame, contract: Contract, run_id: str, tasks: int) -> D
     clash = PARTITION_COLUMNS & set(contract.column_names)
     if clash:
         raise ContractError(f"{contract.name}: a Parquet lake cannot hold columns named {sorted(clash)}")
+    if contract.tenant:
+        return by_tenant(rows, contract, tasks).withColumn("run_id", F.lit(run_id))
     ranges = placed(rows, contract, tasks)
     dated = ranges.select("*", F.lit(LAKE).alias("output"), utc_date(F.col(UPDATED_AT)).alias("date"))
     in_order = dated.sortWithinPartitions("output", "date", UPDATED_AT, contract.key)
@@ -76,7 +92,8 @@ def write_leaves(rows: DataFrame, path: str, fmt: str, compression: str | None)
     writer = rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if compression:
         writer = writer.option("compression", compression)
-    writer.partitionBy("output", "date", "run_id").save(path)
+    tenant = [LAKE_TENANT] if LAKE_TENANT in rows.columns else []
+    writer.partitionBy("output", "date", "run_id", *tenant).save(path)
 
 
 def write_batch(
@@ -90,8 +107,8 @@ def write_batch(
     compression: str | None,
 ) -> None:
     """Lake and share of one table. Lines of both come from one pass; a Parquet lake is its own."""
-    if lake_format == "json":
+    if lake_format == JSON:
         write_leaves(output_lines(rows, contract, run_id, after, tasks), path, "text", compression)
         return
-    write_leaves(lake_rows(rows, contract, run_id, tasks), path, lake_format, None)
+    write_leaves(lake_rows(rows, contract, run_id, tasks), path, PARQUET, None)
     write_leaves(output_lines(rows, contract, run_id, after, tasks, (SHARE,)), path, "text", compression)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.checkpoint import Checkpoint, HighWaterMark, to_iso
 from tidemark.contract import UPDATED_AT, Contract, contracts_by_name
-from tidemark.errors import ContractError, SourceError
+from tidemark.errors import ContractError, IncompatibleSchema, SourceError
 from tidemark.functions.canonical import canonical_text
 from tidemark.functions.digest import (
     RUN_ID_LENGTH,
@@ -29,10 +29,11 @@ from tidemark.functions.digest import (
 from tidemark.operators.delta import delta
 from tidemark.operators.identity import identity_text
 from tidemark.operators.summary import digests, partition_counts
+from tidemark.operators.validate import violation
 from tidemark.plans.commits import SHARE_DATE, Claim, Commit, CommitLog, leaf
 from tidemark.plans.publish import LAKE, SHARE, range_tasks, write_batch
 from tidemark.session import metadata_frame, require_utc, scratch_root, timestamps_with_statistics
-from tidemark.sources.published import JSON, PARQUET, share_path
+from tidemark.sources.published import BY_TENANT, JSON, PARQUET, QUARANTINE, QUARANTINE_REASON, share_path
 from tidemark.sources.tables import TableSource
 
 Clock = Callable[[], datetime]
@@ -45,23 +46,30 @@ GUESSED_ROW_BYTES = 128
 class SyncOptions:
     """``identity`` picks how the run id is derived.
 
-    ``exact`` hashes the ordered identities themselves and so passes them through the driver;
-    it refuses a delta of more than ``exact_limit`` rows. ``lanes`` aggregates hashes on the
-    executors and takes any size. ``auto`` uses ``exact`` up to the limit and ``lanes`` beyond;
-    the choice depends only on the delta, so equal inputs still give equal ids.
+    ``lanes`` aggregates hashes on the executors and takes any size. ``exact`` hashes the ordered
+    identities themselves and so passes them through the driver; whoever asks for it gets an
+    error, not another scheme, for a delta of more than ``exact_limit`` rows.
 
     ``lake_format`` is ``json`` for canonical lines or ``parquet``, which lets readers of a large
-    lake skip columns and row groups at the price of a second shuffle per run. ``compression``
+    lake skip columns and row groups at the price of a second shuffle per run; a contract with a
+    tenant has a Parquet lake divided by it in any case. ``compression``
     applies to lines.
 
     Outputs are cut into tasks by their size. A batch too small for that still spreads over the
     cores in pieces of ``small_task_rows``.
 
+    ``quarantine`` publishes the sound rows and puts those without an instant or a valid key beside
+    the lake, in the same commit; without it they stop the run. Rows that cannot be placed come
+    back with every run until the source is mended.
+
+    A contract that drops or retypes a column the last commit of its table had is refused, unless
+    its table is named in ``accept_breaking``.
+
     ``stage=False`` spares the copy of the delta. Only for sources that cannot change while the
     run reads them, such as a table snapshot or closed files.
     """
 
-    identity: str = "auto"
+    identity: str = "lanes"
     exact_limit: int = 100_000
     run_id_length: int = RUN_ID_LENGTH
     lake_format: str = JSON
@@ -70,9 +78,11 @@ class SyncOptions:
     stage: bool = True
     stale_after: timedelta = timedelta(hours=6)
     echo: bool = True
+    quarantine: bool = False
+    accept_breaking: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
-        if self.identity not in ("auto", "exact", "lanes"):
+        if self.identity not in ("exact", "lanes"):
             raise ContractError(f"unknown identity scheme {self.identity!r}")
         if self.lake_format not in (JSON, PARQUET):
             raise ContractError(f"unknown lake format {self.lake_format!r}")
@@ -137,6 +147,28 @@ def _check_rows(summary: Mapping[str, Any], contracts: Sequence[Contract]) -> No
             raise ContractError(f"{contract.name}: {broken} rows lack updated_at or a valid key")
 
 
+def gate(last: Commit | None, contracts: Sequence[Contract], accept_breaking: Sequence[str] = ()) -> None:
+    """Refuse a contract that lacks a column its table has been published with, or has it retyped."""
+    known = last.schemas if last else {}
+    for c in contracts:
+        now = dict(c.columns)
+        broken = [f"{name} {'retyped' if name in now else 'dropped'}" for name, kind in known.get(c.name, []) if now.get(name) != kind]
+        if broken and c.name not in accept_breaking:
+            raise IncompatibleSchema(f"{c.name}: {', '.join(broken)}")
+
+
+def sound(rows: Mapping[str, DataFrame], contracts: Sequence[Contract], options: SyncOptions) -> Mapping[str, DataFrame]:
+    """The rows a run publishes: all of them, which the checks then judge, or those beside the quarantined."""
+    if not options.quarantine:
+        return rows
+    return {c.name: rows[c.name].where(violation(c).isNull()) for c in contracts}
+
+
+def quarantined(rows: DataFrame, contract: Contract) -> DataFrame:
+    """The rows a run cannot publish, with the reason."""
+    return rows.select("*", violation(contract).alias(QUARANTINE_REASON)).where(F.col(QUARANTINE_REASON).isNotNull())
+
+
 def _run_id(
     deltas: Mapping[str, DataFrame],
     contracts: Sequence[Contract],
@@ -145,11 +177,11 @@ def _run_id(
     options: SyncOptions,
 ) -> str:
     total = sum(summary[c.name]["delta_row_count"] for c in contracts)
-    if options.identity == "exact" and total > options.exact_limit:
-        raise ContractError(f"{total} rows exceed exact_limit={options.exact_limit}; use identity='lanes'")
-    if options.identity == "lanes" or total > options.exact_limit:
+    if options.identity == "lanes":
         counted = {c.name: (summary[c.name]["delta_row_count"], lane_totals(summary[c.name])) for c in contracts}
         return run_id_from_lanes(before.as_dict(), counted, options.run_id_length)
+    if total > options.exact_limit:
+        raise ContractError(f"{total} rows exceed exact_limit={options.exact_limit}; use identity='lanes'")
     texts: dict[str, list[str]] = {}
     for contract in contracts:
         texts[contract.name] = []
@@ -288,34 +320,49 @@ def publish(
     ``stop_before`` (``ready`` or ``commit``) abandons the run at that point, for crash tests.
     """
     log = claim.log
+    last = log.latest()
+    gate(last, contracts, options.accept_breaking)
     stage = scratch_root(spark, "stage") if options.stage else None
     deltas = rows
     if stage:
         claim.intend([], stage)
         with timestamps_with_statistics(spark):
             deltas = _stage(spark, rows, contracts, stage)
+    staged, deltas = deltas, sound(deltas, contracts, options)
     facts = examine(deltas, contracts, before, options)
     entries = table_manifests(log, facts)
     changed = [c for c in contracts if facts.counts[c.name]]
     targets = [leaf(c.directory, LAKE, d, facts.run_id) for c in changed for d in facts.dates[c.name]]
     targets += [leaf(c.directory, SHARE, SHARE_DATE, facts.run_id) for c in changed]
+    aside: dict[str, list[dict[str, Any]]] = {}
+    if options.quarantine:
+        counts = dict(zip((c.name for c in contracts), _each_table(lambda c: quarantined(staged[c.name], c).count(), contracts)))
+        aside = {c.name: [{"name": f"{facts.run_id}-{claim.seq}", "rows": counts[c.name]}] for c in contracts if counts[c.name]}
+    leaves = {c.name: leaf(c.directory, QUARANTINE, SHARE_DATE, aside[c.name][0]["name"]) for c in contracts if c.name in aside}
+    targets += leaves.values()
     claim.intend(targets, stage)
 
+    def lake_format(c: Contract) -> str:
+        return BY_TENANT if c.tenant else options.lake_format
+
+    def set_aside(c: Contract) -> None:
+        quarantined(staged[c.name], c).write.mode("overwrite").parquet(log.store.path(leaves[c.name]))
+
     def write(c: Contract) -> None:
         least = min(spark.sparkContext.defaultParallelism, -(-facts.counts[c.name] // options.small_task_rows))
         size = log.store.size(f"{stage}/{c.name}") if stage else facts.counts[c.name] * GUESSED_ROW_BYTES
         tasks = range_tasks(size, least)
         path = log.store.path(c.directory)
         write_batch(
-            deltas[c.name], c, facts.run_id, facts.after, path, tasks, options.lake_format, options.compression
+            deltas[c.name], c, facts.run_id, facts.after, path, tasks, lake_format(c), options.compression
         )
 
     with timestamps_with_statistics(spark):
         _each_table(write, changed)
+        _each_table(set_aside, [c for c in contracts if c.name in aside])
     lines = event_lines(facts, entries)
     log.store.replace(f"events/run_id={facts.run_id}/events.json", "".join(line + "\n" for line in lines))
 
-    last = log.latest()
     shares = dict(last.shares) if last else {}
     for c in changed:
         shares[c.name] = {
@@ -333,9 +380,11 @@ def publish(
             for e in entries
         ],
         lake_added={
-            c.name: {facts.run_id: {"format": options.lake_format, "dates": facts.dates[c.name]}} for c in changed
+            c.name: {facts.run_id: {"format": lake_format(c), "dates": facts.dates[c.name]}} for c in changed
         },
         shares=shares,
+        schemas={**(last.schemas if last else {}), **{c.name: [list(column) for column in c.columns] for c in contracts}},
+        quarantined=aside,
         origin=dict(origin or {}),
     )
     if stop_before == "ready":
@@ -377,7 +426,8 @@ def sync(
         before = log.checkpoint(c.name for c in contracts)
         rows = {s.contract.name: delta(s, before.mark(s.contract.name), unplaced=True) for s in sources}
         if dry_run:
-            facts = examine(rows, contracts, before, options)
+            gate(log.latest(), contracts, options.accept_breaking)
+            facts = examine(sound(rows, contracts, options), contracts, before, options)
             entries = table_manifests(log, facts)
         else:
             facts, entries = publish(

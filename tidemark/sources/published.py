@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contract import Contract
-from tidemark.errors import IncompatibleSchema
+from tidemark.errors import ContractError, IncompatibleSchema
 from tidemark.operators.envelope import CHECKPOINT_TYPE, share_schema
 from tidemark.plans.commits import CommitLog, Leaves, SHARE_DATE, leaf
 from tidemark.session import require_utc
 
-JSON, PARQUET = "json", "parquet"
+JSON, PARQUET, BY_TENANT = "json", "parquet", "parquet-by-tenant"
+LAKE_TENANT = "lake_tenant"
+QUARANTINE, QUARANTINE_REASON = "quarantine", "quarantine_reason"
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -42,12 +44,31 @@ def _text_schema(schema: T.StructType) -> T.StructType:
     )
 
 
+_TENANT_FIELD = T.StructField(LAKE_TENANT, T.StringType())
+
+
+def tenant_files(spark: SparkSession, paths: list[str]) -> DataFrameReader:
+    """A reader of several dates and runs of a lake divided by tenant."""
+    return spark.read.option("basePath", paths[0].rsplit("/date=", 1)[0])
+
+
+def _of_tenant(rows: DataFrame, contract: Contract, tenant: str) -> DataFrame:
+    """The rows of one tenant; where the files are divided by it, the others' are not opened."""
+    if LAKE_TENANT in rows.columns:
+        # An empty name has the directory of a missing one.
+        rows = rows.where(F.col(LAKE_TENANT) == tenant if tenant else F.col(LAKE_TENANT).isNull()).drop(LAKE_TENANT)
+    return rows.where(F.col(contract.tenant).cast("string") == tenant)
+
+
 def read_rows(
-    spark: SparkSession, contract: Contract, fmt: str, paths: list[str], with_run: bool = False
+    spark: SparkSession, contract: Contract, fmt: str, paths: list[str], with_run: bool = False, with_tenant: bool = False
 ) -> DataFrame:
     """Contract rows from lake directories of one format. Columns a file lacks are null."""
     extra = [run_of_file().alias("run_id")] if with_run else []
-    if fmt == JSON:
+    if fmt == BY_TENANT:
+        frame = tenant_files(spark, paths).schema(T.StructType([*contract.schema.fields, _TENANT_FIELD])).parquet(*paths)
+        extra += [F.col(LAKE_TENANT)] if with_tenant else []
+    elif fmt == JSON:
         frame = spark.read.schema(_text_schema(contract.schema)).option("mode", "FAILFAST").json(paths)
     else:
         frame = spark.read.schema(contract.schema).parquet(*paths)
@@ -76,19 +97,25 @@ def read_lake(
     last_date: str | None = None,
     as_of: int | None = None,
     with_run: bool = False,
+    tenant: str | None = None,
 ) -> DataFrame:
-    """The committed change log of a table, or its dates in ``[first_date, last_date]``.
+    """The committed change log of a table, or its dates in ``[first_date, last_date]``, or one tenant of it.
 
     The commit log is the index: directories outside the range, of unfinished runs or of later
     commits than ``as_of`` are not even listed.
     """
     require_utc(spark)
+    if tenant is not None and not contract.tenant:
+        raise ContractError(f"{contract.name} has no tenant column")
     log = CommitLog(spark, root)
     paths = lake_paths(log, contract, log.live_leaves(as_of), first_date, last_date)
     if not paths:
         run = T.StructType([T.StructField("run_id", T.StringType())] if with_run else [])
         return spark.createDataFrame([], T.StructType([*contract.schema.fields, *run.fields]))
-    return reduce(DataFrame.unionByName, [read_rows(spark, contract, f, paths[f], with_run) for f in sorted(paths)])
+    parts = [read_rows(spark, contract, f, paths[f], with_run, tenant is not None) for f in sorted(paths)]
+    if tenant is not None:
+        parts = [_of_tenant(part, contract, tenant) for part in parts]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def last_date_of_page(leaves: Leaves, contract: Contract, cursor_date: str, page: int) -> str | None:
@@ -134,6 +161,21 @@ def read_share(
     return frame.withColumn("record", record)
 
 
+def read_quarantine(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
+    """Rows that committed runs set aside: contract columns, the reason and the run's leaf as ``run_id``.
+
+    A row that cannot be placed is set aside by every run that meets it.
+    """
+    require_utc(spark)
+    log = CommitLog(spark, root)
+    names = [part["name"] for c in log.history() for part in c.quarantined.get(contract.name, [])]
+    schema = T.StructType([*contract.schema.fields, T.StructField(QUARANTINE_REASON, T.StringType())])
+    if not names:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("run_id", T.StringType())]))
+    paths = [log.store.path(leaf(contract.directory, QUARANTINE, SHARE_DATE, name)) for name in names]
+    return spark.read.schema(schema).parquet(*paths).select("*", run_of_file().alias("run_id"))
+
+
 def read_events(spark: SparkSession, root: str) -> DataFrame:
     """One row per committed run and table. Runs without changes repeat their id, hence the dedupe."""
     log = CommitLog(spark, root)

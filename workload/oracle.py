@@ -54,6 +54,7 @@ EVENTS_COLUMNS_SHAPE = (
     '{"name":"props","type":"text"},{"name":"updated_at","type":"timestamptz"}'
 )
 EVENTS_SHAPE = f'{{"columns":[{EVENTS_COLUMNS_SHAPE}],"table":"events"}}'
+LESS_SHAPE = EVENTS_SHAPE.replace('{"name":"props","type":"text"},', "")
 WIDER_SHAPE = f'{{"columns":[{EVENTS_COLUMNS_SHAPE},{{"name":"value","type":"double precision"}}],"table":"events"}}'
 
 
@@ -139,7 +140,7 @@ FIRST = f"(SELECT count(*) AS n, count(DISTINCT {day('ts')}) AS d, {iso('max(ts)
 SECOND = f"(SELECT count(*) AS n, count(DISTINCT {day('ts')}) AS d, {iso('max(ts)')} AS a, arg_max(event_id, ts) AS p FROM events WHERE ts > {CUT})"
 
 ORACLE: dict[str, str] = {
-    "delta_scan": f"SELECT {E_COLUMNS} FROM {E_} WHERE moment > {CUT}",
+    "delta_scan": f"SELECT {E_COLUMNS}, row_number() OVER (ORDER BY moment, event_id) AS row_number FROM {E_} WHERE moment > {CUT}",
     "delta_mid_tie": f"SELECT {O_COLUMNS} FROM {O} WHERE {PAST_MID}",
     "delta_initial": f"SELECT {O_COLUMNS} FROM {O}",
     "checkpoint_default": (
@@ -186,8 +187,9 @@ ORACLE: dict[str, str] = {
         f"SELECT 'events', {iso('max(ts)')}, arg_max(event_id, (ts, event_id)) FROM events WHERE ts > {CUT}"
     ),
     "touched_partitions": (
+        "SELECT *, row_number() OVER (ORDER BY table_ordinal, date) AS position FROM ("
         f"SELECT DISTINCT CAST(0 AS INTEGER) AS table_ordinal, 'orders' AS table_name, {day('moment')} AS date FROM {O} WHERE {PAST_MID} "
-        f"UNION ALL SELECT DISTINCT CAST(1 AS INTEGER), 'events', {day('ts')} FROM events"
+        f"UNION ALL SELECT DISTINCT CAST(1 AS INTEGER), 'events', {day('ts')} FROM events)"
     ),
     "partition_counts": (
         f"SELECT 'orders' AS table_name, {day('moment')} AS date, count(*) AS row_count FROM {O} WHERE {PAST_MID} GROUP BY ALL "
@@ -236,6 +238,8 @@ ORACLE: dict[str, str] = {
     ),
     "columnar_lake": ALL_EVENTS,
     "stream_drain": ALL_EVENTS,
+    "stream_drain_many": ALL_EVENTS,
+    "stream_resume": ALL_EVENTS,
     "changes_since": f"SELECT {O_COLUMNS} FROM (SELECT * FROM {O} WHERE {PAST_MID} ORDER BY moment, order_id LIMIT 500)",
     "changes_since_lake": f"SELECT {E_COLUMNS} FROM (SELECT * FROM {E_} WHERE moment > {CUT} ORDER BY moment, event_id LIMIT 200)",
     "as_of_state": (
@@ -252,9 +256,16 @@ ORACLE: dict[str, str] = {
     ),
     "cdc_dedupe": "SELECT 'events' AS table_name, event_id, epoch_us(ts) AS lsn, event_type FROM events",
     "cdc_dedupe_stream": "SELECT 'events' AS table_name, event_id, epoch_us(ts) AS lsn, event_type FROM events",
+    "cdc_dedupe_late": "SELECT 'events' AS table_name, event_id, epoch_us(ts) AS lsn, event_type FROM events",
     "late_rows": f"SELECT {O_COLUMNS} FROM {O} WHERE {UPTO_MID} AND priority = '1-URGENT'",
     "invalid_rows": f"SELECT row_id, {REASON} AS reason FROM {DAMAGED} WHERE {REASON} IS NOT NULL",
     "quarantine_split": f"SELECT row_id, CASE WHEN {REASON} IS NULL THEN 'good' ELSE 'quarantine' END AS target FROM {DAMAGED}",
+    "sync_quarantine": f"SELECT row_id, {REASON} AS reason FROM {DAMAGED}",
+    "schema_gate": (
+        f"SELECT {fingerprint(EVENTS_SHAPE)} AS schema_fingerprint, 'published' AS decision, count(*) AS row_count FROM events WHERE ts <= {CUT} "
+        f"UNION ALL SELECT {fingerprint(WIDER_SHAPE)}, 'published', count(*) FROM events WHERE ts > {CUT} "
+        f"UNION ALL SELECT {fingerprint(LESS_SHAPE)}, 'refused', CAST(0 AS BIGINT)"
+    ),
     "schema_diff": (
         f"SELECT 'order_id' AS column_name, 'same' AS change, false AS breaking, count(order_id) AS values_present FROM {DAMAGED} "
         f"UNION ALL SELECT 'customer_id', 'retyped', true, count(customer_id) FROM {DAMAGED} "
@@ -273,6 +284,11 @@ ORACLE: dict[str, str] = {
         "row_number() OVER (PARTITION BY table_name ORDER BY lag) AS r, count(*) OVER (PARTITION BY table_name) AS row_count "
         f"FROM {LAGS}) WHERE r = CAST(ceil(row_count * 0.95) AS BIGINT)"
     ),
+    "freshness_lake": (
+        "SELECT 'events' AS table_name, row_count, lag AS lag_seconds FROM (SELECT lag, row_number() OVER (ORDER BY lag) AS r, count(*) OVER () AS row_count "
+        f"FROM (SELECT epoch_us(CASE WHEN ts <= {CUT} THEN TIMESTAMP '2024-03-01' ELSE TIMESTAMP '2024-03-01 01:00:00' END) // 1000000 "
+        "- epoch_us(ts) // 1000000 AS lag FROM events)) WHERE r = CAST(ceil(row_count * 0.95) AS BIGINT)"
+    ),
     "stale_cursors": (
         f"SELECT user_id, {iso('c')} AS cursor_at, epoch_us(m) // 1000000 - epoch_us(c) // 1000000 AS lag_seconds "
         "FROM (SELECT user_id, max(ts) AS c FROM events WHERE event_type = 'view' GROUP BY user_id), "

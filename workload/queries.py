@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import UTC, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +13,13 @@ from pyspark.sql import types as T
 
 from tidemark.checkpoint import Checkpoint, HighWaterMark
 from tidemark.contract import UPDATED_AT, Contract
-from tidemark.functions.canonical import canonical_json, canonical_row, iso_utc, parse_iso_utc
+from tidemark.errors import IncompatibleSchema
+from tidemark.functions.canonical import canonical_json, canonical_row, iso_utc, parse_iso_utc, utc_date
 from tidemark.functions.digest import lane_columns, schema_fingerprint, sha256_prefix
 from tidemark.operators import quality
 from tidemark.operators.changes import OP, apply_changes, merge_with_deletes
 from tidemark.operators.consumer import as_of_state, changes_since, read_as_of, read_changes_since
-from tidemark.operators.delta import delta, ordered, upto
+from tidemark.operators.delta import delta, numbered, upto
 from tidemark.operators.envelope import share_line
 from tidemark.operators.identity import row_identities
 from tidemark.operators.summary import (
@@ -27,15 +29,15 @@ from tidemark.operators.summary import (
     partition_counts,
     touched_partitions,
 )
-from tidemark.operators.tenants import tenant_partitions, write_by_tenant
+from tidemark.operators.tenants import tenant_partitions
 from tidemark.operators.validate import invalid_rows, quarantine_split
 from tidemark.plans.commits import CommitLog, seed_checkpoint
 from tidemark.plans.maintenance import compact, expire
-from tidemark.plans.sync import SyncOptions, examine, sync
-from tidemark.session import scratch_root
+from tidemark.plans.sync import QUARANTINE_REASON, SyncOptions, examine, sync
+from tidemark.session import metadata_frame, scratch_root
 from tidemark.sources import seed
-from tidemark.sources.published import read_events, read_lake, read_share
-from tidemark.sources.tables import TableSource
+from tidemark.sources.published import read_events, read_lake, read_quarantine, read_share
+from tidemark.sources.tables import TableSource, read_files
 from tidemark.streaming.cdc import deduplicate
 from tidemark.streaming.drain import drain
 from workload.tables import (
@@ -55,7 +57,7 @@ from workload.tables import (
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
 
-LANES = SyncOptions(identity="lanes", echo=False)
+LANES = SyncOptions(echo=False)
 # Marks before a run: half of the orders are published, no event is.
 BEFORE = Checkpoint({"orders": MID_TIE}).for_tables(["orders", "events"])
 START = datetime(2024, 3, 1, tzinfo=UTC)
@@ -92,11 +94,21 @@ def two_runs(spark: SparkSession, sf_dir: str, **second) -> str:
     return root
 
 
+def file_stream(spark: SparkSession, path: str, files: int = 1_000) -> TableSource:
+    """The events below a path as a stream of at most ``files`` files a batch."""
+    schema = session(spark).read.parquet(path).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+    return TableSource.of(stream, EVENTS, {"updated_at": "ts"}, assume_utc=True)
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> TableSource:
     """The events as a file stream; the pattern makes a single file acceptable as one."""
-    schema = session(spark).read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
-    return TableSource.of(stream, EVENTS, {"updated_at": "ts"}, assume_utc=True)
+    return file_stream(spark, f"{sf_dir}/events.parque[t]")
+
+
+def add_files(spark: SparkSession, rows: DataFrame, path: str, files: int) -> None:
+    """Append ``rows`` in files that each span the whole time, so that later batches lie behind the mark."""
+    rows.repartition(files, "event_id").write.mode("append").parquet(path)
 
 
 # scans --------------------------------------------------------------------
@@ -104,7 +116,8 @@ def event_stream(spark: SparkSession, sf_dir: str) -> TableSource:
 
 @registered("delta_scan")
 def delta_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(ordered(delta(events(spark, sf_dir), EVENTS_CUT), EVENTS))
+    """The rows past the cut with their place in the total order."""
+    return plain(numbered(delta(events(spark, sf_dir), EVENTS_CUT), EVENTS))
 
 
 @registered("delta_mid_tie")
@@ -241,7 +254,7 @@ def advanced_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("touched_partitions")
 def touched_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = touched_partitions(both_deltas(spark, sf_dir), BOTH)
-    return found.select("table_ordinal", F.col("table").alias("table_name"), "date")
+    return found.select("table_ordinal", F.col("table").alias("table_name"), "date", F.col("position").cast("bigint"))
 
 
 @registered("partition_counts")
@@ -419,6 +432,26 @@ def stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(read_lake(spark, root, EVENTS))
 
 
+@registered("stream_drain_many")
+def stream_drain_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five files that overlap in time, one a batch: each batch but the first holds rows behind the mark."""
+    root, path = scratch_root(session(spark), "root"), scratch_root(spark, "files")
+    add_files(spark, spark.read.parquet(f"{sf_dir}/events.parquet"), path, 5)
+    drain(file_stream(spark, path, files=1), root, scratch_root(spark, "stream"), options=LANES)
+    return plain(read_lake(spark, root, EVENTS))
+
+
+@registered("stream_resume")
+def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drain, more files, and a drain that has lost its state and so is given everything again."""
+    root, path = scratch_root(session(spark), "root"), scratch_root(spark, "files")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for half in (0, 1):
+        add_files(spark, rows.where(F.col("event_id") % 2 == half), path, 2)
+        drain(file_stream(spark, path, files=2), root, scratch_root(spark, "stream"), options=LANES)
+    return plain(read_lake(spark, root, EVENTS))
+
+
 # consumers and changes ----------------------------------------------------
 
 
@@ -483,6 +516,20 @@ def deduplicated_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).withColumnRenamed("table", "table_name").drop(UPDATED_AT)
 
 
+@registered("cdc_dedupe_late")
+def deduplicated_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change delivered twice, in batches that overlap in time: late ones stay, repeats go."""
+    path, out = scratch_root(session(spark), "files"), scratch_root(spark, "changes")
+    add_files(spark, spark.read.parquet(f"{sf_dir}/events.parquet"), path, 3)
+    add_files(spark, spark.read.parquet(f"{sf_dir}/events.parquet"), path, 2)
+    changes = file_stream(spark, path, files=1).frame.select(
+        F.lit("events").alias("table"), "event_id", F.unix_micros(UPDATED_AT).alias("lsn"), "event_type"
+    )
+    writer = deduplicate(changes, "event_id").writeStream.format("parquet")
+    writer.option("checkpointLocation", scratch_root(spark, "stream")).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.parquet(out).withColumnRenamed("table", "table_name")
+
+
 @registered("late_rows")
 def late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Urgent orders arrived after the mark had passed them."""
@@ -523,6 +570,37 @@ def quarantined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered("sync_quarantine")
+def quarantining_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run over the damaged orders: the sound ones in the lake, the others beside it, none lost."""
+    contract = Contract("orders", "order_id", (("row_id", "bigint"), *ORDERS.columns))
+    source, root = TableSource.of(damaged(spark, sf_dir), contract), scratch_root(spark, "root")
+    sync(spark, [source], root, options=replace(LANES, quarantine=True))
+    good = read_lake(spark, root, contract).select("row_id", F.lit(None).cast("string").alias("reason"))
+    bad = read_quarantine(spark, root, contract).select("row_id", F.col(QUARANTINE_REASON).alias("reason"))
+    return good.unionByName(bad)
+
+
+@registered("schema_gate")
+def gated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs: the contract, one with a column more, and one with a column less, which is refused."""
+    root, path = scratch_root(session(spark), "root"), f"{sf_dir}/events.parquet"
+    wider = replace(EVENTS, columns=(*EVENTS.columns, ("value", "double precision")))
+    less = replace(EVENTS, columns=tuple(c for c in EVENTS.columns if c[0] != "props"))
+    seen = []
+    for contract, mark in ((EVENTS, EVENTS_CUT), (wider, None), (less, None)):
+        source = read_files(spark, contract, path, mapping={"updated_at": "ts"}, assume_utc=True)
+        try:
+            sync(spark, [until(source, mark) if mark else source], root, options=LANES)
+            seen.append((schema_fingerprint(contract), "published"))
+        except IncompatibleSchema:
+            seen.append((schema_fingerprint(contract), "refused"))
+    decisions = metadata_frame(spark, seen, "schema_fingerprint string, decision string")
+    written = read_events(spark, root).groupBy("schema_fingerprint").agg(F.sum("delta_row_count").alias("row_count"))
+    rows = decisions.join(written, "schema_fingerprint", "left")
+    return rows.withColumn("row_count", F.coalesce("row_count", F.lit(0)))
+
+
 @registered("schema_diff")
 def schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders against a next version that drops, retypes and adds columns, with the values at stake."""
@@ -565,6 +643,13 @@ def freshness_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.freshness(one.unionByName(two)).withColumnRenamed("table", "table_name")
 
 
+@registered("freshness_lake")
+def freshness_of_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lag of what two runs published, by the times of their commits."""
+    published = quality.publication_times(spark, two_runs(spark, sf_dir), EVENTS)
+    return quality.freshness(published).withColumnRenamed("table", "table_name")
+
+
 @registered("stale_cursors")
 def stale_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user has read up to their last view."""
@@ -594,12 +679,15 @@ def tenant_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("tenant_lake")
 def tenant_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events written by tenant (here their type) and date in two runs that share both, and read back."""
-    rows, path = events(spark, sf_dir).frame, scratch_root(spark, "tenants")
-    for half in (0, 1):
-        write_by_tenant(rows.where(F.col("event_id") % 2 == half), EVENTS, "event_type", path, f"run-{half}")
-    layout = T.StructType([*EVENTS.schema.fields, T.StructField("tenant_id", T.StringType()), T.StructField("event_date", T.StringType())])
-    return plain(spark.read.schema(layout).parquet(path))
+    """Events published by tenant (here their type) in two runs that share tenants and a date, read tenant by tenant."""
+    divided = replace(EVENTS, tenant="event_type")
+    source, root = replace(events(spark, sf_dir), contract=divided), scratch_root(spark, "root")
+    for until_then in (until(source, EVENTS_CUT), source):
+        sync(spark, [until_then], root, options=LANES)
+    tenants = [row.event_type for row in source.frame.select("event_type").distinct().collect()]  # a handful of types
+    read = [read_lake(spark, root, divided, tenant=name).withColumn("tenant_id", F.lit(name)) for name in tenants]
+    rows = reduce(DataFrame.unionByName, read)
+    return plain(rows.withColumn("event_date", utc_date(F.col(UPDATED_AT))))
 
 
 @registered("microbatch_windows")
