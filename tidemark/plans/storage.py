@@ -14,6 +14,8 @@ from pyspark.sql import SparkSession
 
 from tidemark.errors import ContractError
 
+_LOOKS = 5
+
 
 class Store:
     """Files below one root, which must be absolute so that every process means the same place."""
@@ -39,14 +41,20 @@ class Store:
         return self._fs.exists(self._java(relative))
 
     def names(self, relative: str) -> list[str]:
-        """Sorted entry names of a directory; empty if it does not exist."""
-        try:
-            found = [status.getPath().getName() for status in self._fs.listStatus(self._java(relative))]
-        except Py4JJavaError:
-            if self.exists(relative):
-                raise
-            return []
-        return sorted(name for name in found if not name.startswith((".", "_")))
+        """Sorted entry names of a directory; empty if it does not exist.
+
+        Another run may remove and create it meanwhile, so that a listing finds nothing and a look
+        afterwards does; then it is listed again.
+        """
+        for looks_left in reversed(range(_LOOKS)):
+            try:
+                found = [status.getPath().getName() for status in self._fs.listStatus(self._java(relative))]
+                return sorted(name for name in found if not name.startswith((".", "_")))
+            except Py4JJavaError:
+                if not self.exists(relative):
+                    return []
+                if not looks_left:
+                    raise
 
     def read(self, relative: str) -> str:
         try:
