@@ -260,7 +260,10 @@ ORACLE: dict[str, str] = {
     "late_rows": f"SELECT {O_COLUMNS} FROM {O} WHERE {UPTO_MID} AND priority = '1-URGENT'",
     "invalid_rows": f"SELECT row_id, {REASON} AS reason FROM {DAMAGED} WHERE {REASON} IS NOT NULL",
     "quarantine_split": f"SELECT row_id, CASE WHEN {REASON} IS NULL THEN 'good' ELSE 'quarantine' END AS target FROM {DAMAGED}",
-    "sync_quarantine": f"SELECT row_id, {REASON} AS reason FROM {DAMAGED}",
+    "sync_quarantine": (
+        "SELECT event_id AS row_id, CASE WHEN user_id % 7 = 0 THEN 'updated_at is missing' WHEN user_id % 5 = 1 THEN 'key is missing' "
+        "WHEN user_id % 5 = 0 THEN 'key is negative' END AS reason FROM events"
+    ),
     "schema_gate": (
         f"SELECT {fingerprint(EVENTS_SHAPE)} AS schema_fingerprint, 'published' AS decision, count(*) AS row_count FROM events WHERE ts <= {CUT} "
         f"UNION ALL SELECT {fingerprint(WIDER_SHAPE)}, 'published', count(*) FROM events WHERE ts > {CUT} "

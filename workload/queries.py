@@ -572,9 +572,12 @@ def quarantined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("sync_quarantine")
 def quarantining_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One run over the damaged orders: the sound ones in the lake, the others beside it, none lost."""
-    contract = Contract("orders", "order_id", (("row_id", "bigint"), *ORDERS.columns))
-    source, root = TableSource.of(damaged(spark, sf_dir), contract), scratch_root(spark, "root")
+    """One run over events of which some users' lost their instant or key: the sound ones in the lake, the others beside it."""
+    contract = Contract("events", "event_id", (("row_id", "bigint"), *EVENTS.columns))
+    key = F.when(F.col("user_id") % 5 == 0, -F.col("event_id") - 1).when(F.col("user_id") % 5 != 1, F.col("event_id"))
+    rows = events(spark, sf_dir).frame.withColumn("row_id", F.col("event_id")).withColumn("event_id", key)
+    rows = rows.withColumn(UPDATED_AT, F.when(F.col("user_id") % 7 != 0, F.col(UPDATED_AT)))
+    source, root = TableSource.of(rows.select(*contract.column_names), contract), scratch_root(spark, "root")
     sync(spark, [source], root, options=replace(LANES, quarantine=True))
     good = read_lake(spark, root, contract).select("row_id", F.lit(None).cast("string").alias("reason"))
     bad = read_quarantine(spark, root, contract).select("row_id", F.col(QUARANTINE_REASON).alias("reason"))
