@@ -95,6 +95,49 @@ def test_large_groups_of_near_copies_hold_together(spark):
     assert {r.doc_id: r.component_id for r in found} == components({d: shingles(t) for d, t in rows})
 
 
+def test_links_inside_a_crowd_below_the_threshold(spark):
+    rng = np.random.default_rng(6)
+    passage = [f"p{i}" for i in range(166)]
+    rows = []
+    for d in range(4000):
+        own = [f"u{d}x{i}" for i in range(34 + d % 3)]
+        if d % 13 == 12:  # shares 8 to 12 more shingles with the one before: similarity 0.76 to 0.80
+            k = int(rng.integers(13, 17)) - 4
+            own[:k] = rows[-1][1].split()[166 : 166 + k]
+        rows.append((d, " ".join(passage + own)))
+    sets = {d: shingles(t) for d, t in rows}
+    often = Counter(s for x in sets.values() for s in x)
+    place = {s: i for i, s in enumerate(s for s, n in often.items() if n > 1)}
+    found = np.zeros((len(rows), len(place)), np.float32)
+    for d, x in sets.items():
+        found[d, [place[s] for s in x if s in place]] = 1
+    both, size = found @ found.T, np.array([len(x) for x in sets.values()])
+    near = 100 * both >= 75 * (size[:, None] + size - both)
+    links = [(a, b) for a, b in zip(*np.nonzero(near)) if a < b]
+    assert 200 < len(links) < 400 and np.median(both / (size[:, None] + size - both)) > 0.69
+    wanted = {d: d for d in sets}
+    for a, b in links:
+        wanted[b] = wanted[a]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == wanted
+
+
+def test_prefixes_of_near_sets_meet():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        n = int(rng.integers(1, 120))
+        x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.9], rng.integers(0, 2**63, int(rng.integers(0, n // 6 + 1))).astype(np.uint64)]))
+        x, y = sorted((x, y), key=len)
+        both = len(np.intersect1d(x, y))
+        if not len(x) or 100 * both < 75 * (len(x) + len(y) - both):
+            continue
+        count = np.full(1 << 20, 2)
+        small = {(b, s) for b, larger, found, reach in neardup.prefixes(x, count, 75) if not larger for s, r in zip(found, reach) if r >= len(y)}
+        large = {(b, s) for b, larger, found, reach in neardup.prefixes(y, count, 75) if larger for s, r in zip(found, reach) if r >= len(x)}
+        assert small & large
+
+
 def test_near_duplicate_cases(spark, edges):
     rows = neardup.near_duplicates(edges).collect()
     assert len(rows) == len(EDGES)

@@ -12,6 +12,11 @@ region. A 128-bit sketch drops candidates far below the threshold, and the remai
 exactly, all pairs at once, on full sets read again from the texts. Only a star of confirmed links per cluster
 leaves the task. A few trees go first; the others then only have to join what is still apart.
 
+The windows of a larger region do not see all its pairs. All nodes of such regions are joined once more, without
+a cap: shingles are ordered from rare to common, and two sets can only reach the threshold if the first
+``n - overlap + 1`` of each have one in common, where ``overlap`` is what their sizes ask for. Text that a crowd
+shares stands last in that order, so the join meets it only where the crowd is similar up to the threshold.
+
 Defined cases: a null or word-less text has n_shingles 0, its own doc_id as component_id and is kept. A null
 doc_id takes part in links; its component_id is the smallest id reachable, or null, and kept is false unless
 there is none. Repeated rows are all returned. Ties cannot occur: the smallest id wins. An empty table gives no
@@ -41,6 +46,13 @@ AGREE = 97
 _HASHES = TREES * LENGTH
 _SEEDS = np.random.default_rng(5).integers(1, 2**32, (2, _HASHES), dtype=np.uint32)
 _PER_TASK = 200_000
+#: Shingles are counted by this many bits of their hash; any count gives a valid order, a good one a short join.
+_COUNTED = 20
+_LOWS = [1]
+while _LOWS[-1] < 1 << 40:
+    _LOWS.append(_LOWS[-1] + max(1, _LOWS[-1] // 32))
+#: The smallest size of each band of sizes.
+_LOWS = np.array(_LOWS)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
@@ -128,7 +140,11 @@ def _fixed(table: pa.Table, name: str) -> np.ndarray:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Clusters of nodes to compare, from one sorted range of one or more trees; and the rows at its ends."""
+    """Clusters of nodes to compare, from one sorted range of one or more trees; and the rows at its ends.
+
+    Side 2 names the regions of which not all pairs are compared: those larger than a window, and one that fills
+    the range and so may lie in more than two.
+    """
     table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
     if table is None or not table.num_rows:
         return
@@ -139,8 +155,10 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tree = table.column("tree").to_numpy()
     region = np.concatenate([tree[:, None].astype(np.uint8), keys[:, : 2 * DEPTH]], axis=1)
     edges = np.flatnonzero(np.concatenate([[True], (region[1:] != region[:-1]).any(axis=1), [True]]))
-    block, node = [], []
+    block, node, crowds = [], [], []
     for a, b in zip(edges[:-1], edges[1:]):
+        if b - a > WINDOW or len(edges) == 2:
+            crowds.append(region[a].tobytes())
         if b - a < 2:
             continue
         for i in range(a, b, WINDOW):
@@ -157,6 +175,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tail = range(max(edges[-2], len(ids) - WINDOW), len(ids))
     for at, side, rows in ((task - 1, 1, head), (task, 0, tail)):
         ends += [(f"e{at}", side, ids[k], region[k].tobytes() + sketch[k].tobytes(), table.column("label")[int(k)].as_py()) for k in rows]
+    ends += [(None, 2, None, x, None) for x in crowds]
     yield pa.RecordBatch.from_arrays(
         [
             pa.array(block + [x[0] for x in ends], pa.string()),
@@ -245,7 +264,15 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def _links(docs: DataFrame, nodes: DataFrame, trees: range, labels: DataFrame | None, threshold: int) -> DataFrame:
+def _read(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, shingles`` of the wanted nodes, from their texts."""
+    wanted = small_side(wanted.select("node", F.col("doc_id").alias("own"), F.col("text_hash").alias("own_hash")), FEW)
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("text_hash") == F.col("own_hash")))
+    return texts.select("node", "text").mapInArrow(_sets, "node binary, shingles binary").dropDuplicates(["node"])
+
+
+def _links(docs: DataFrame, nodes: DataFrame, trees: range, labels: DataFrame | None, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """Confirmed links, and the regions of which not all pairs were compared."""
     spark = docs.sparkSession
     if labels is not None:
         nodes = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -256,15 +283,104 @@ def _links(docs: DataFrame, nodes: DataFrame, trees: range, labels: DataFrame |
     tasks = max(1, -(-nodes.count() * len(trees) // _PER_TASK), int(spark.conf.get("spark.sql.shuffle.partitions")))
     forest = rows.repartitionByRange(tasks, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
     found = kept(forest.mapInArrow(_candidates, "block string, side int, node binary, record binary, label binary"), "forest")
-    ends = found.filter("side is not null").repartition("block").sortWithinPartitions("block")
+    ends = found.filter("side < 2").repartition("block").sortWithinPartitions("block")
     blocks = found.filter("side is null").select("block", "node").unionByName(ends.mapInArrow(_across, "block string, node binary"))
     blocks = kept(blocks, "clusters")
     wanted = blocks.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node")
-    wanted = small_side(wanted.select("node", F.col("doc_id").alias("own"), F.col("text_hash").alias("own_hash")), FEW)
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("text_hash") == F.col("own_hash")))
-    sets = texts.select("node", "text").mapInArrow(_sets, "node binary, shingles binary").dropDuplicates(["node"])
-    pieces = blocks.join(sets, "node").select("block", "node", "shingles").repartition("block").sortWithinPartitions("block")
-    return pieces.mapInArrow(_confirm(threshold), "a binary, b binary")
+    pieces = blocks.join(_read(docs, wanted), "node").select("block", "node", "shingles").repartition("block").sortWithinPartitions("block")
+    return pieces.mapInArrow(_confirm(threshold), "a binary, b binary"), found.filter("side = 2").select("record").distinct()
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1 << _COUNTED, np.int64)
+    for batch in batches:
+        for found in batch.column("shingles"):
+            total += np.bincount(np.frombuffer(found.as_buffer(), np.uint64) >> np.uint64(64 - _COUNTED), minlength=len(total))
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["at", "n"])
+
+
+def prefixes(found: np.ndarray, count: np.ndarray, threshold: int) -> Iterator[tuple[int, bool, np.ndarray, np.ndarray]]:
+    """``band, larger, shingles, reach`` of one set: what it has in common with any set that it is near to.
+
+    For each band of sizes it may be the larger of a pair with, and once for its own band as the smaller one.
+    ``reach`` is the largest size of the other set for which the shingle belongs to the prefix.
+    """
+    size = len(found)
+    often = count[found >> np.uint64(64 - _COUNTED)]
+    order = np.lexsort((found, often))
+    found, single = found[order], often[order] < 2
+    reach = (size - np.arange(size)) * (100 + threshold) // threshold - size
+    own = int(np.searchsorted(_LOWS, size, "right")) - 1
+    least = int(np.searchsorted(_LOWS, -(-threshold * size // 100), "right")) - 1
+    for band, larger, low in ((own, False, size), *((b, True, _LOWS[b]) for b in range(least, own + 1))):
+        use = np.flatnonzero((reach >= low) & ~single)
+        yield band, larger, found[use], reach[use]
+
+
+def _prefixes(count: np.ndarray, threshold: int):
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = np.frombuffer(batch.column("shingles")[i].as_buffer(), np.uint64)
+                parts = [x for x in prefixes(found, count, threshold) if len(x[2])]
+                if not parts:
+                    continue
+                n = [len(x[2]) for x in parts]
+                at = pa.array(np.full(sum(n), i))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([x[2] for x in parts]).view(np.int64)),
+                        pa.array(np.repeat([x[0] for x in parts], n), pa.int32()),
+                        pa.array(np.repeat([x[1] for x in parts], n)),
+                        pa.array(np.full(sum(n), len(found)), pa.int64()),
+                        pa.array(np.concatenate([x[3] for x in parts]), pa.int64()),
+                        batch.column("node").take(at),
+                        batch.column("label").take(at),
+                    ],
+                    names=["shingle", "band", "larger", "size", "reach", "node", "label"],
+                )
+
+    return each
+
+
+def _near_pairs(threshold: int):
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("a_set"), batch.column("b_set")):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * both >= threshold * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return near
+
+
+def _crowd_links(docs: DataFrame, nodes: DataFrame, crowds: DataFrame, labels: DataFrame, threshold: int) -> DataFrame | None:
+    """All links between nodes of the crowded regions whose labels differ."""
+    if crowds.isEmpty():
+        return None
+    places = F.explode(F.array(*(F.concat(F.lit(bytes([t])), F.substring("keys", 1 + 2 * LENGTH * t, 2 * DEPTH)) for t in range(TREES))))
+    inside = nodes.select("node", places.alias("record")).join(small_side(crowds), "record", "left_semi").select("node").distinct()
+    wanted = kept(nodes.select("node", "doc_id", "text_hash").join(inside, "node", "left_semi"), "crowd")
+    sets = kept(_read(docs, wanted).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "crowd-sets")
+    count = np.zeros(1 << _COUNTED, np.uint32)
+    for r in sets.select("shingles").mapInArrow(_counted, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        count[r.at] = min(r.n, 0xFFFFFFFF)
+    rows = "shingle long, band int, larger boolean, size long, reach long, node binary, label binary"
+    rows = kept(sets.mapInArrow(_prefixes(count, threshold), rows), "prefixes")
+    key = ["shingle", "band"]
+    smaller, larger = F.when(~F.col("larger"), F.col("size")), F.when(F.col("larger"), F.col("size"))
+    shared = rows.groupBy(*key).agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(smaller).alias("least"), F.min(larger).alias("least_larger"))
+    shared = shared.filter("low < high and least is not null and least_larger is not null").select(*key, "least", "least_larger")
+    rows = rows.join(shared, key).filter("reach >= if(larger, least, least_larger)").drop("least", "least_larger")
+    rows = kept(rows, "shared")
+    x, y = (rows.filter("larger" if side else "not larger").select(*key, *(F.col(c).alias(f"{c}_{side}") for c in ("size", "reach", "node", "label"))) for side in (0, 1))
+    pairs = x.join(y, key).filter("label_0 != label_1 and size_0 <= size_1 and size_1 <= reach_0 and size_0 <= reach_1")
+    pairs = pairs.select(F.least("node_0", "node_1").alias("a"), F.greatest("node_0", "node_1").alias("b")).distinct()
+    a, b = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "ab")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "a_set", "b_set").mapInArrow(_near_pairs(threshold), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", threshold: int = 75) -> DataFrame:
@@ -281,10 +397,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", thr
     nodes = same.groupBy("node").agg(first, F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
     nodes = kept(nodes.select("node", "first.doc_id", "first.text_hash", "first.copies", "keys", "sketch"), "nodes")
 
-    links = kept(_links(docs, nodes, range(FIRST_TREES), None, threshold), "links")
-    some = components(links)
-    links = kept(links.unionByName(_links(docs, nodes, range(FIRST_TREES, TREES), some, threshold)), "links")
+    links, crowds = _links(docs, nodes, range(FIRST_TREES), None, threshold)
+    links = kept(links, "links")
+    more, others = _links(docs, nodes, range(FIRST_TREES, TREES), components(links), threshold)
+    links = kept(links.unionByName(more), "links")
     label = components(links)
+    crowded = _crowd_links(docs, nodes, kept(crowds.unionByName(others), "crowds"), label, threshold)
+    if crowded is not None:
+        label = components(kept(links.unionByName(crowded), "links"))
 
     named = nodes.select("node", "doc_id", "copies").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = kept(named, "named")
