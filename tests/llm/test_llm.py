@@ -349,6 +349,21 @@ def test_shards(spark, docs, edges, texts):
     assert len(sharding.shard(edges, 24).collect()) == len(EDGES) and sharding.shard(edges.limit(0), 24).count() == 0
 
 
+def test_a_hot_arc_is_ranked_in_buckets_of_its_own_count(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 100)
+    ids = [(None, f"t{i}") for i in range(3000)] + [(i, f"t{i}") for i in range(3000)]
+    out = sharding.shard(spark.createDataFrame(ids, "doc_id long, text string"), 24)
+    rows = out.collect()
+    count = Counter(r.shard for r in rows)
+    assert len(rows) == 6000 and max(count.values()) - min(count.values()) <= 1
+    for s in count:
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(count[s]))
+    ranked = spark.range(3300).select(F.when(F.col("id") < 3000, 7).otherwise(F.col("id") % 100 + 8).cast("int").alias("arc"), F.lit(5).alias("place"), F.col("id").alias("row"))
+    sizes = sharding.bucketed(ranked, {7: 3000} | {a: 3 for a in range(8, 108)}).groupBy("arc", "bucket").count().collect()
+    assert sum(r["count"] for r in sizes) == 3300 and max(r["count"] for r in sizes) < 200
+    assert len(sizes) == 130
+
+
 def test_a_ring_with_room_moves_few_rows():
     owners = [s for _, s in sharding.ring(24)]
     counts = {a: 50 for a in range(len(owners))}

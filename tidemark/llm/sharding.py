@@ -8,7 +8,7 @@ Capacities that add up to exactly the rows make the counts equal (at most one ap
 above leaves more rows at home when shards come or go.
 
 Within an arc rows are ranked by hash buckets first, counted, and by a sort within each bucket, whose number grows
-with the table; the ranking has no hot key, since rows of one id differ in a number of their own.
+with the arc's own rows; the ranking has no hot key, since rows of one id differ in a number of their own.
 
 Defined cases: a null text has size 8 and the crc32 of an empty one; null ids have a place of their own on the ring;
 repeated rows are rows like any other, and equal ones are interchangeable. An empty table gives no rows. Other
@@ -83,6 +83,14 @@ def plan(counts: dict[int, int], owners: list[int], capacity: list[int]) -> list
     return out
 
 
+def bucketed(rows: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """``rows`` with a rank bucket, of which every arc has as many as its own count asks for."""
+    divided = [(arc, -(-n // BUCKET_ROWS)) for arc, n in counts.items() if n > BUCKET_ROWS]
+    divided = metadata_frame(rows.sparkSession, divided, "arc int, buckets long")
+    rows = rows.join(F.broadcast(divided), "arc", "left")  # at most one row for each arc
+    return rows.withColumn("bucket", F.pmod(F.xxhash64("place", "row"), F.coalesce("buckets", F.lit(1))).cast("int")).drop("buckets")
+
+
 def shard(docs: DataFrame, shards: int = 24, slack: float = 0.0, virtual: int = VIRTUAL) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for every row."""
     spark = docs.sparkSession
@@ -98,8 +106,7 @@ def shard(docs: DataFrame, shards: int = 24, slack: float = 0.0, virtual: int =
     stretches = plan(counts, [s for _, s in places], capacities(total, shards, slack))
     frame = metadata_frame(spark, [(x.arc, x.first, x.last, x.shard, x.slot) for x in stretches], "arc int, first long, last long, shard int, base long")
 
-    buckets = max(1, total // BUCKET_ROWS // max(1, len(counts)))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("place", "row"), F.lit(buckets)).cast("int"))
+    rows = bucketed(rows, counts)
     sizes = rows.groupBy("arc", "bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("arc").orderBy("bucket")) - F.col("n")
     starts = sizes.select("arc", "bucket", before.alias("start"))
