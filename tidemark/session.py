@@ -48,6 +48,13 @@ def scratch_root(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as written once to the shared folder: lineage ends here, and a lost executor costs nothing."""
+    spark, path = df.sparkSession, scratch_root(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def metadata_frame(spark: SparkSession, rows: Sequence[Sequence[Any]], ddl: str) -> DataFrame:
     """A small frame of driver-side metadata, built without starting Python workers."""
     schema = T.StructType.fromDDL(ddl)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -77,13 +77,19 @@ def read_rows(
 
 
 def lake_paths(
-    log: CommitLog, contract: Contract, leaves: Leaves, first_date: str | None = None, last_date: str | None = None
+    log: CommitLog,
+    contract: Contract,
+    leaves: Leaves,
+    first_date: str | None = None,
+    last_date: str | None = None,
+    dates: Collection[str] | None = None,
 ) -> dict[str, list[str]]:
-    """The directories of a table's leaves within a date range, by format."""
+    """The directories of a table's leaves within a date range, or of given dates, by format."""
     found: dict[str, list[str]] = {}
     for run_id, part in sorted(leaves.get(contract.name, {}).items()):
         for date in sorted(part["dates"]):
-            if (first_date is None or date >= first_date) and (last_date is None or date <= last_date):
+            inside = (first_date is None or date >= first_date) and (last_date is None or date <= last_date)
+            if inside and (dates is None or date in dates):
                 path = log.store.path(leaf(contract.directory, "lake", date, run_id))
                 found.setdefault(part["format"], []).append(path)
     return found
@@ -98,8 +104,9 @@ def read_lake(
     as_of: int | None = None,
     with_run: bool = False,
     tenant: str | None = None,
+    dates: Collection[str] | None = None,
 ) -> DataFrame:
-    """The committed change log of a table, or its dates in ``[first_date, last_date]``, or one tenant of it.
+    """The committed change log of a table, or its dates in ``[first_date, last_date]`` or among ``dates``, or one tenant of it.
 
     The commit log is the index: directories outside the range, of unfinished runs or of later
     commits than ``as_of`` are not even listed.
@@ -108,7 +115,7 @@ def read_lake(
     if tenant is not None and not contract.tenant:
         raise ContractError(f"{contract.name} has no tenant column")
     log = CommitLog(spark, root)
-    paths = lake_paths(log, contract, log.live_leaves(as_of), first_date, last_date)
+    paths = lake_paths(log, contract, log.live_leaves(as_of), first_date, last_date, dates)
     if not paths:
         run = T.StructType([T.StructField("run_id", T.StringType())] if with_run else [])
         return spark.createDataFrame([], T.StructType([*contract.schema.fields, *run.fields]))

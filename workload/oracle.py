@@ -257,6 +257,34 @@ ORACLE: dict[str, str] = {
     "cdc_dedupe": "SELECT 'events' AS table_name, event_id, epoch_us(ts) AS lsn, event_type FROM events",
     "cdc_dedupe_stream": "SELECT 'events' AS table_name, event_id, epoch_us(ts) AS lsn, event_type FROM events",
     "cdc_dedupe_late": "SELECT 'events' AS table_name, event_id, epoch_us(ts) AS lsn, event_type FROM events",
+    "cdc_exact": "SELECT 'events' AS table_name, event_id, epoch_us(ts) AS lsn, event_type FROM events",
+    "stream_drain_repeats": f"SELECT {E_COLUMNS} FROM {E_}",
+    "validity": (
+        f"SELECT user_id, event_id, event_type, {iso('ts')} AS updated_at, {iso('ts')} AS valid_from, {iso('later')} AS valid_to "
+        "FROM (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS later FROM events)"
+    ),
+    "point_in_time": (
+        "WITH p AS (SELECT user_id, event_id AS probe, ts - to_microseconds(back) AS moment FROM events, (SELECT unnest([0, 1]) AS back) WHERE event_type = 'purchase'), "
+        "v AS (SELECT p.user_id, p.probe, p.moment, e.event_id, e.event_type, row_number() OVER (PARTITION BY p.user_id, p.probe, p.moment ORDER BY e.ts DESC) AS r "
+        "FROM p LEFT JOIN events e ON e.user_id = p.user_id AND e.ts <= p.moment) "
+        f"SELECT user_id, probe, {iso('moment')} AS at, event_id AS version_event_id, event_type AS version_event_type FROM v WHERE r = 1"
+    ),
+    "cursor_pages": (
+        "WITH n AS (SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS r FROM events), "
+        "c AS (SELECT user_id, min(r) AS r FROM n JOIN events USING (event_id) WHERE event_type = 'view' GROUP BY user_id) "
+        f"SELECT c.user_id AS consumer, CAST(n.r - c.r AS INTEGER) AS position, n.event_id, {iso('n.ts')} AS updated_at FROM c JOIN n ON n.r > c.r AND n.r <= c.r + 20"
+    ),
+    "lake_deletes": (
+        f"SELECT {E_COLUMNS}, 'upsert' AS op FROM {E_} UNION ALL "
+        f"SELECT event_id, NULL, NULL, NULL, {iso('moment')}, 'delete' FROM {E_} WHERE event_type = 'purchase'"
+    ),
+    "deletes_as_of": f"SELECT {E_COLUMNS}, 'upsert' AS op FROM {E_} WHERE event_type <> 'purchase'",
+    "snapshot_diff_tree": (
+        f"WITH e AS (SELECT * FROM {O}), a AS (SELECT order_id, customer_id, CASE WHEN order_id % 100000 < 300 THEN 'X' ELSE status END AS status, "
+        f"priority, total, moment FROM {O} WHERE NOT (order_id % 100000 < 300 AND status = 'O')) "
+        f"SELECT {O_COLUMNS}, 'expected' AS only_in, CAST(count(*) AS BIGINT) AS copies FROM (SELECT * FROM e EXCEPT ALL SELECT * FROM a) GROUP BY ALL "
+        f"UNION ALL SELECT {O_COLUMNS}, 'actual', CAST(count(*) AS BIGINT) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM e) GROUP BY ALL"
+    ),
     "late_rows": f"SELECT {O_COLUMNS} FROM {O} WHERE {UPTO_MID} AND priority = '1-URGENT'",
     "invalid_rows": f"SELECT row_id, {REASON} AS reason FROM {DAMAGED} WHERE {REASON} IS NOT NULL",
     "quarantine_split": f"SELECT row_id, CASE WHEN {REASON} IS NULL THEN 'good' ELSE 'quarantine' END AS target FROM {DAMAGED}",

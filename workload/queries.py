@@ -21,7 +21,10 @@ from tidemark.operators.changes import OP, apply_changes, merge_with_deletes
 from tidemark.operators.consumer import as_of_state, changes_since, read_as_of, read_changes_since
 from tidemark.operators.delta import delta, numbered, upto
 from tidemark.operators.envelope import share_line
+from tidemark.operators.history import in_force, validity
 from tidemark.operators.identity import row_identities
+from tidemark.operators.pages import pages
+from tidemark.operators.ranges import tree_diff
 from tidemark.operators.summary import (
     checkpoint_advance,
     delta_counts,
@@ -32,6 +35,7 @@ from tidemark.operators.summary import (
 from tidemark.operators.tenants import tenant_partitions
 from tidemark.operators.validate import invalid_rows, quarantine_split
 from tidemark.plans.commits import CommitLog, seed_checkpoint
+from tidemark.plans.deletes import sync_deletes, with_op
 from tidemark.plans.maintenance import compact, expire
 from tidemark.plans.sync import QUARANTINE_REASON, SyncOptions, examine, sync
 from tidemark.session import metadata_frame, scratch_root
@@ -40,6 +44,7 @@ from tidemark.sources.published import read_events, read_lake, read_quarantine,
 from tidemark.sources.tables import TableSource, read_files
 from tidemark.streaming.cdc import deduplicate
 from tidemark.streaming.drain import drain
+from tidemark.streaming.exact import ExactLog, exactly_once
 from workload.tables import (
     EVENTS,
     EVENTS_CUT,
@@ -452,6 +457,17 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(read_lake(spark, root, EVENTS))
 
 
+@registered("stream_drain_repeats")
+def stream_drain_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event is delivered twice in its batch; a second batch brings a third of them, again twice, behind the mark."""
+    root, path = scratch_root(session(spark), "root"), scratch_root(spark, "files")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for part in (rows.where("event_id % 3 < 2"), rows.where("event_id % 3 > 0")):
+        add_files(spark, part.unionByName(part), path, 1)
+        drain(file_stream(spark, path, files=1), root, scratch_root(spark, "stream"), options=LANES)
+    return plain(read_lake(spark, root, EVENTS))
+
+
 # consumers and changes ----------------------------------------------------
 
 
@@ -471,6 +487,51 @@ def state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(as_of_state(users_log(spark, sf_dir), USERS, EVENTS_CUT))
 
 
+@registered("validity")
+def validity_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every version of a user with the time it was in force; users with many versions are cut into bins."""
+    return plain(validity(users_log(spark, sf_dir), USERS, bin_rows=200))
+
+
+@registered("point_in_time")
+def versions_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user's version at the instant of every purchase, and a microsecond before."""
+    rows = events(spark, sf_dir).frame.where("event_type = 'purchase'")
+    probes = [rows.select("user_id", F.col("event_id").alias("probe"), (F.col(UPDATED_AT) - F.expr(f"INTERVAL {back} MICROSECOND")).alias("at")) for back in (0, 1)]
+    found = in_force(reduce(DataFrame.unionByName, probes), users_log(spark, sf_dir), USERS, bin_rows=200)
+    version = [F.col(f"version.{c}").alias(f"version_{c}") for c in ("event_id", "event_type")]
+    return plain(found.select("user_id", "probe", "at", *version))
+
+
+@registered("cursor_pages")
+def pages_of_all_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The next 20 changes of the log for every user, who has read up to their first view."""
+    rows = events(spark, sf_dir).frame
+    cursors = rows.where("event_type = 'view'").groupBy(F.col("user_id").alias("consumer")).agg(F.min(F.struct(UPDATED_AT, "event_id")).alias("c"))
+    cursors = cursors.select("consumer", F.col(f"c.{UPDATED_AT}").alias("cursor_at"), F.col("c.event_id").alias("cursor_pk"))
+    return plain(pages(rows, cursors, EVENTS, 20).select("consumer", "position", "event_id", UPDATED_AT))
+
+
+@registered("lake_deletes")
+def lake_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source loses its purchases; their deletes reach the lake, beside all that was published."""
+    return plain(read_lake(spark, *after_deletes(spark, sf_dir)))
+
+
+@registered("deletes_as_of")
+def state_without_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as the lake with deletes gives it."""
+    root, contract = after_deletes(spark, sf_dir)
+    return plain(read_as_of(spark, root, contract))
+
+
+def after_deletes(spark: SparkSession, sf_dir: str) -> tuple[str, Contract]:
+    source, root = with_op(events(spark, sf_dir)), scratch_root(spark, "root")
+    sync(spark, [source], root, options=LANES)
+    sync_deletes(spark, replace(source, frame=source.frame.where("event_type <> 'purchase'")), root, LANES)
+    return root, source.contract
+
+
 @registered("apply_changes")
 def changed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pending orders are finished a day later; urgent ones are followed up under new keys."""
@@ -530,6 +591,23 @@ def deduplicated_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).withColumnRenamed("table", "table_name")
 
 
+@registered("cdc_exact")
+def exactly_once_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes in order of time, then all again: the state covers two days, what is older is found in the committed rows.
+
+    A third of the changes come with the second delivery only, most of them long after the state has passed them.
+    """
+    path, root = scratch_root(session(spark), "files"), scratch_root(spark, "changes")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    rows.where("event_id % 3 > 0").repartitionByRange(2, "ts").write.mode("append").parquet(path)
+    rows.unionByName(rows.where("event_type = 'purchase'")).repartition(1).write.mode("append").parquet(path)
+    changes = file_stream(spark, path, files=1).frame.select(F.lit("events").alias("table"), "event_id", "event_type", UPDATED_AT)
+    identity = ["table", "event_id"]
+    exactly_once(changes, identity, root, scratch_root(spark, "stream"), keep_seconds=2 * 86_400, buckets=8).awaitTermination()
+    found = ExactLog(spark, root, changes.schema, identity).rows()
+    return found.select(F.col("table").alias("table_name"), "event_id", F.unix_micros(UPDATED_AT).alias("lsn"), "event_type")
+
+
 @registered("late_rows")
 def late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Urgent orders arrived after the mark had passed them."""
@@ -670,6 +748,15 @@ def snapshot_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(quality.snapshot_diff(rows, actual))
 
 
+@registered("snapshot_diff_tree")
+def snapshot_differences_by_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first orders of each hundred thousand have changed or gone, found range by range."""
+    rows = orders(spark, sf_dir).frame
+    early = F.col("order_id") % 100_000 < 300
+    actual = rows.where(~(early & (F.col("status") == "O"))).withColumn("status", F.when(early, "X").otherwise(F.col("status")))
+    return plain(tree_diff(rows, actual, "order_id", enough=100, bits=6))
+
+
 @registered("tenant_share")
 def tenant_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.tenant_share(events(spark, sf_dir).frame, "user_id")
