@@ -402,3 +402,17 @@ def test_pipeline_keeps_clean_and_drops_the_rest(spark):
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     known = {r.doc_id: r.text for r in kept if r.doc_id in left}
     assert {r.doc_id for r in final} == {d for d, x in contaminated(known, items).items() if not x[-1]}
+
+
+def test_contamination_of_long_texts_and_clashing_columns(spark):
+    words = [f"w{i % 4999}" for i in range(60_000)]
+    passage = [f"p{i}" for i in range(14)]
+    rows = [(d, " ".join(words[: 20_000 * d] + passage + words[20_000 * d :]), "x", 1, "h") for d in range(4)]
+    df = spark.createDataFrame([*rows, rows[0], (None, rows[0][1], "x", 1, "h")], "doc_id long, text string, words string, width int, hash string")
+    items = spark.createDataFrame([("a", " ".join(passage[:12]), 1, "w"), ("b", "w0 w1 w2", 1, "w")], "item_id string, text string, hash int, window string")
+    out = decontaminate.contamination(df, items).collect()
+    # The cycle of words passes its start every 4,999 words.
+    starts = {d: sum(i % 4999 == 0 and i + 2 < 60_000 and not (i < 20_000 * d < i + 3) for i in range(60_000)) for d in range(4)}
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_words, r.n_hit, r.n_items) for r in out) == sorted(
+        (d is None, d or 0, 60_014, 12 + 3 * starts[d or 0], 2) for d in (0, 1, 2, 3, 0, None)
+    )

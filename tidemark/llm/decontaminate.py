@@ -5,12 +5,15 @@ consecutive words, or all of them if it has fewer. Every text is scanned with wi
 hash match is verified on the words. Items whose windows occur, and the words inside any occurrence, are hits;
 contaminated documents, or just the hit spans, are removed.
 
+The scan explodes hashes of windows, not words, and keeps for each text the places whose hash an item has; only the
+texts that have any are read again and compared word by word. Cost is in proportion to a text's length.
+
 The windows are broadcast up to ``FEW_WINDOWS`` of them, counted first; a larger benchmark is joined by a shuffle
-on the hash. Texts send one row and one for each hit to the aggregation.
+on the hash. Texts send one row and one for each candidate to the aggregation.
 
 Defined cases: null and empty texts have no words and no hits; an item without words is never found; windows that
-several items share count for each; an item with a null id is found but not listed or counted. Rows are told apart
-by their place in the input, so repeated rows and null ids get a row each. Empty tables give no rows or no hits.
+several items share count for each; an item with a null id is found but not listed or counted. Repeated rows and
+null ids get a row each. Empty tables give no rows or no hits.
 """
 
 from __future__ import annotations
@@ -41,22 +44,45 @@ def _windows(words: Column, width: int) -> Column:
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), one)).otherwise(F.array().cast("array<struct<at:int,width:int,hash:bigint>>"))
 
 
-def _hits(rows: DataFrame, items: DataFrame) -> DataFrame:
-    """``rows`` (with words), one row for each hit with ``at, width, item_id``, and one without for each row."""
-    known = kept(windows_of_items(items), "windows")
-    widths = [r[0] for r in known.select("width").distinct().collect()]  # at most WINDOW values
-    known = small_side(known.withColumnRenamed("hash", "_hash").withColumnRenamed("width", "_width"), FEW_WINDOWS)
-    spans = F.flatten(F.array(*(_windows(F.col("words"), w) for w in sorted(widths)))) if widths else F.array().cast("array<struct<at:int,width:int,hash:bigint>>")
-    rows = rows.select("*", F.explode_outer(spans).alias("span"))
-    same = (F.col("span.hash") == F.col("_hash")) & (F.col("span.width") == F.col("_width")) & (F.slice("words", F.col("span.at") + 1, F.col("span.width")) == F.col("window"))
-    found = rows.join(known, same, "left")
-    return found.filter("window is not null or span is null or (span.at = 0)")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``_id, _text`` (a hash) and the words of every row; rows of one id and text have the same hits."""
+    return docs.select(F.col("doc_id").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"), words_of(F.col("text")).alias("words"))
+
+
+def _scanned(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``_id, _text, n_words`` of every row, and the windows whose hash an item has as ``candidates``.
 
+    Only hashes are exploded: no row carries the words of its text, so a text costs in proportion to its length.
+    """
+    widths = sorted(r[0] for r in known.select("width").distinct().collect())  # at most WINDOW values
+    none = F.array().cast("array<struct<at:int,width:int,hash:bigint>>")
+    spans = F.flatten(F.array(*(_windows(F.col("words"), w) for w in widths))) if widths else none
+    rows = _keyed(docs).select(F.monotonically_increasing_id().alias("row"), "_id", "_text", F.size("words").cast("long").alias("n_words"), spans.alias("spans"))
+    rows = rows.select("row", "_id", "_text", "n_words", F.explode_outer("spans").alias("span"))
+    hashes = small_side(known.select(F.col("hash").alias("_hash"), F.col("width").alias("_width")).distinct(), FEW_WINDOWS)
+    found = rows.join(hashes, (F.col("span.hash") == F.col("_hash")) & (F.col("span.width") == F.col("_width")), "left")
+    found = found.filter("_hash is not null or span is null or span.at = 0")  # a row for each text, and one for each candidate
+    candidate = F.when(F.col("_hash").isNotNull(), F.col("span"))
+    return found.groupBy("row", "_id", "_text", "n_words").agg(F.collect_set(candidate).alias("candidates")).drop("row")
 
-def _summary(found: DataFrame, keys: list[str]) -> DataFrame:
-    """One row for each of ``keys``: the merged hit places ``spans`` and the items."""
-    hit = F.when(F.col("window").isNotNull(), F.struct(F.col("span.at").alias("at"), (F.col("span.at") + F.col("span.width")).alias("end")))
-    return found.groupBy(*keys).agg(F.array_sort(F.collect_set(hit)).alias("spans"), F.array_sort(F.collect_set(F.when(F.col("window").isNotNull(), F.col("item_id")))).alias("items"))
+
+def _verified(docs: DataFrame, scanned: DataFrame, known: DataFrame) -> DataFrame:
+    """``_id, _text, spans, items`` of the texts with hits: candidates compared word by word.
+
+    The texts with candidates are read once more; they alone are cut into words again.
+    """
+    found = scanned.filter(F.size("candidates") > 0).select("_id", "_text", "candidates").dropDuplicates(["_id", "_text"])
+    keys = small_side(found.select(F.col("_id").alias("_i"), F.col("_text").alias("_t")))
+    hashed = F.xxhash64(F.coalesce("text", F.lit("")))
+    texts = docs.select("doc_id", "text").join(keys, F.col("doc_id").eqNullSafe(F.col("_i")) & (hashed == F.col("_t")), "left_semi")
+    texts = _keyed(texts).dropDuplicates(["_id", "_text"]).select(F.col("_id").alias("_i"), F.col("_text").alias("_t"), "words")
+    texts = texts.join(found, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_text") == F.col("_t")))
+    cut = F.transform("candidates", lambda c: F.struct(c["at"].alias("at"), c["width"].alias("width"), c["hash"].alias("hash"), F.slice("words", c["at"] + 1, c["width"]).alias("words")))
+    windows = texts.select("_id", "_text", F.explode(cut).alias("span"))
+    same = (F.col("span.hash") == F.col("_hash")) & (F.col("span.words") == F.col("window"))
+    hits = windows.join(small_side(known.withColumnRenamed("hash", "_hash").drop("width"), FEW_WINDOWS), same)
+    hit = F.struct(F.col("span.at").alias("at"), (F.col("span.at") + F.col("span.width")).alias("end"))
+    return hits.groupBy("_id", "_text").agg(F.array_sort(F.collect_set(hit)).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("items"))
 
 
 def covered(spans: Column) -> Column:
@@ -68,19 +94,23 @@ def covered(spans: Column) -> Column:
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for every row of ``docs``."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words_of(F.col("text")).alias("words"))
-    rows = rows.withColumn("n_words", F.size("words").cast("long"))
-    out = _summary(_hits(rows, items), ["row", "doc_id", "n_words"]).withColumn("n_hit", covered(F.col("spans")))
+    known = kept(windows_of_items(items), "windows")
+    scanned = kept(_scanned(docs, known), "scanned")
+    found = _verified(docs, scanned, known).select(F.col("_id").alias("_i"), F.col("_text").alias("_t"), "spans", "items")
+    out = scanned.join(found, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_text") == F.col("_t")), "left")
+    n_hit = F.coalesce(covered(F.col("spans")), F.lit(0)).cast("long")
+    items = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.col("_id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
 
 
 def _found(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``_id, _text, spans`` of the contaminated texts."""
-    rows = docs.select(F.col("doc_id").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"), words_of(F.col("text")).alias("words"))
-    return kept(_summary(_hits(rows, items).filter("window is not null"), ["_id", "_text"]), "contaminated")
+    known = kept(windows_of_items(items), "windows")
+    scanned = kept(_scanned(docs, known).filter(F.size("candidates") > 0), "scanned")
+    return kept(_verified(docs, scanned, known), "contaminated")
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
