@@ -3,6 +3,7 @@
 import hashlib
 import html
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -211,20 +212,100 @@ def test_main_text(spark):
         assert found[r.page_id] == "\n".join(x for x in (" ".join(html.unescape(p).split()) for p in lines) if x)
 
 
+def main_texts(spark, pages):
+    """Main texts of ``(url, html)`` in order."""
+    df = spark.createDataFrame([(i, *p, 5) for i, p in enumerate(pages)], "page_id long, url string, html string, host int")
+    return [r.text for r in sorted(maintext.main_text(df).collect(), key=lambda r: r.page_id)]
+
+
+def words(seed, n):
+    rng = np.random.default_rng(seed)
+    return " ".join("".join(chr(97 + int(c)) for c in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(n))
+
+
 def test_main_text_cases(spark):
     page = "<html><body><div id='menu'>Home</div><div class=content><p>First &lt;{0}&gt;\n  part</p><p>Second {0}</p><p>Share it</p></div><div class='comments'><p>me {0}</p></div></body></html>"
-    pages = [page.format(f"text of page number {i}") for i in range(8)]
-    template = maintext.deduce(pages)
-    assert template["main"].endswith("div.content") and any("Share it" in t for t in template["constant"])
-    assert maintext.extract(pages[3], template) == "First <text of page number 3> part\nSecond text of page number 3"
-    assert maintext.deduce(pages[:3]) == {}
+    pages = [("http://a.b/x", page.format(f"text of page number {i}")) for i in range(8)]
+    assert main_texts(spark, pages)[3] == "First <text of page number 3> part\nSecond text of page number 3"
+    few = main_texts(spark, pages[:3])[0]  # no template: all that is not skipped
+    assert few == "First <text of page number 0> part\nSecond text of page number 0\nShare it"
     for raw in (None, "", "<", "<p", "a < b", "<!-- x", "<script>x</script>", "</p></div>"):
-        assert maintext.extract(raw) in ("", "<", "<p", "a < b")
+        assert main_texts(spark, [("http://a.b", raw)])[0] in ("", "<", "<p", "a < b")
     rows = [(1, None, None, 5), (None, "http://x", "<p>a</p>", 5), (2, "http://x", "", 5), (2, "http://x", "", 5)]
     found = maintext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string, host int")).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in found) == [(0, "a", 1), (1, "", 0), (2, "", 0), (2, "", 0)]
 
 
+def test_main_text_by_structure_alone(spark):
+    """No tag or name tells: menu words, adverts and footers differ page by page, only tags repeat."""
+    pages, want = [], []
+    for i in range(40):
+        menu = "".join(f"<li>{w}</li>" for w in words(i, 6).split())
+        body = [words(1000 * i + k, 25) for k in range(2 + i % 5)]
+        want.append("\n".join([words(i + 500, 4), *body]))
+        inner = f"<h1>{words(i + 500, 4)}</h1>" + "".join(f"<p>{x}</p>" for x in body)
+        pages.append(("https://h.example/p", f"<body><div><ul>{menu}</ul></div><div>{words(i + 77, 9)}</div><div>{inner}</div><div>Imprint {words(i, 3)}</div></body>"))
+    assert main_texts(spark, pages) == want
+
+
+def test_an_article_repeated_on_most_pages_stays(spark):
+    text = [words(k, 30) for k in range(3)]
+    page = "<body><div><ul>{}</ul></div><div><h1>Title</h1>{}</div><div>All rights reserved</div></body>"
+    menus = ["".join(f"<li>{w}</li>" for w in words(i, 5).split()) for i in range(40)]
+    bodies = ["".join(f"<p>{x}</p>" for x in (text if i < 32 else [words(100 + i, 30), words(200 + i, 20)])) for i in range(40)]
+    found = main_texts(spark, [("https://h.example/p", page.format(m, b)) for m, b in zip(menus, bodies)])
+    assert all(found[i].endswith("\n".join(text)) for i in range(32)) and "reserved" not in "".join(found)
+
+
+def test_names_of_wrappers_do_not_erase_the_article(spark):
+    for wrapped in (
+        '<div class="page has-sidebar"><article><p>{}</p></article></div>', '<article class="post has-comments"><p>{}</p></article>',
+        '<article id="share-price-news"><p>{}</p></article>', '<form class="page"><article><p>{}</p></article></form>', '<div class="sidebar"><article><p>{}</p></article></div>',
+    ):
+        assert main_texts(spark, [("http://x", wrapped.format("What is told"))]) == ["What is told"]
+    aside = '<article><p>Text</p><div class="comments-area"><p>me too</p></div><div class="cookie-notice">Accept</div><nav>Home</nav></article>'
+    assert main_texts(spark, [("http://x", aside)]) == ["Text"]
+
+
+def test_templates_are_those_of_all_occurrence_vectors(spark):
+    rng = np.random.default_rng(2)
+    pages = []
+    for i in range(120):
+        blocks = [f"<div><p>{w}</p></div>" for w in ("one note", "another note")] if rng.random() < 0.95 else ["<div><p>one note</p></div>", f"<div>{i}</div>"]
+        extra = "<section><p>Imprint</p><p>Contact</p></section>" if i % 2 else ""
+        pages.append(f"<body>{''.join(blocks)}<div><p>{words(i // 2 if i % 3 else i, 40)}</p></div>{extra}</body>")
+    df = spark.createDataFrame([(i, "http://h.x/1", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {(r.layout, r.main, tuple(r.constant)) for r in maintext.templates(maintext.parsed(df)).collect()}
+    layouts = defaultdict(dict)
+    for p in map(maintext.parse, pages):
+        layouts[maintext.layout(p)].setdefault(maintext.content(p), p)
+    want = set()
+    for name, own in layouts.items():
+        where = [{t[0]: t for t in maintext.tokens(p)} for p in own.values()]
+        classes = defaultdict(list)
+        for token in set().union(*where):
+            vector = tuple(w[token][4] if token in w else 0 for w in where)
+            if sum(map(bool, vector)) >= maintext.SUPPORT * len(where):
+                classes[vector].append(token)
+        valid = {t for ts in classes.values() if len(ts) > 1 for t in ts}
+        texts = {t[0]: t for w in where for t in w.values()}
+        constant = {t for t in valid if texts[t][2] == maintext.TEXT and texts[t][1] in valid}
+        main = next(r.main for r in maintext.templates(maintext.parsed(df)).collect() if r.layout == name)
+        want.add((name, main, tuple(sorted(constant))))
+    assert got == want and len(got) == 2 and all(len(c) in (1, 2, 3, 4) for _, _, c in got)
+
+
+def test_parsing_takes_time_in_proportion(spark):
+    def seconds(html):
+        start = time.perf_counter()
+        maintext.parse(html)
+        return time.perf_counter() - start
+
+    for piece in ("<a ", "<div>", '<a "', "<div><b>", "<p><i>", "</x>", "<!--", "<", "&lt;", "<p class='", "<li>"):
+        small, large = seconds(piece * 20_000 + ">"), seconds(piece * 160_000 + ">")
+        assert large < 24 * small + 1, piece  # eight times the page
+
+
 def split_accuracy(rows, label):
     held = [r for r in rows if r.held_out]
     return sum(r[label] == r.predicted for r in held) / max(1, len(held))
