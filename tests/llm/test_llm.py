@@ -460,6 +460,33 @@ def test_a_ring_with_room_moves_few_rows():
     assert home > 0.9 * total
 
 
+def test_words_in_typographic_marks_are_the_same_tokens():
+    marks = ['"{}"', "“{}”", "« {} »", "«{}»", "—{}—", "‘{}’", "„{}“", "¡{}!", "…{}…", "{}\u00a0", "🙂{}🙂", "({})", "{}"]
+    plain = toxicity.Tokens.of(["und so idiöt sagt er"])
+    for mark in marks:
+        text = f"und so {mark.format('IDIÖT')} sagt er"
+        own = toxicity.Tokens.of([text])
+        assert (own.places == plain.places).all(), mark
+        raw = text.encode()
+        assert raw[own.words.start[2] : own.words.end[2]].decode() == "IDIÖT"
+
+
+def test_folding_keeps_places():
+    text = "ÀÉ Straße “Öde” ЖЩ «ΣΑ» é İx ﬀ 漢字𠀀 naïvé ∑ A_B"
+    data = np.frombuffer(text.encode(), np.uint8)
+    out = toxicity.folded(data).tobytes().decode()
+    assert len(out.encode()) == len(data)
+    assert out.split() == "àé straße öde жщ σα é İx ﬀ 漢字𠀀 naïvé a_b".split()
+    assert toxicity.folded(np.zeros(0, np.uint8)).size == 0
+
+
+def test_models_of_empty_tables(spark, edges):
+    none, labels = edges.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert langid.identify(none, langid.fitted(none)).count() == 0
+    assert quality.score(none, quality.fitted(none, labels)).count() == 0
+    assert toxicity.score(none, toxicity.fitted(none, labels)).count() == 0
+
+
 def test_empty_tables(spark, edges):
     none = edges.limit(0)
     pages = spark.createDataFrame([], "page_id long, url string, html string")

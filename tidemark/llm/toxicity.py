@@ -4,6 +4,8 @@ Labels come by document, the field needs them by token: in a sample of labelled
 of at most ``LONGEST`` characters) a token of a toxic document counts as toxic if its word or the start of it is far
 more frequent in toxic documents than in others (log ratio of document shares of ``LIFT`` or more, in ``SUPPORT`` of
 them at least); every token of another document is clean; toxic documents that this leaves unexplained are not used.
+Words are letters, digits, ``_`` and marks of any script in lower case; other punctuation and symbols stand between them,
+quotation marks and dashes beyond ASCII included.
 The field has two tags. Emissions are sums of hashed features: the word, its beginnings and end, and the words beside
 it. Training follows the gradient of the likelihood, whose marginals come from forward-backward.
 
@@ -20,6 +22,7 @@ of any length are read whole.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,10 +42,42 @@ EPOCHS, RATE, DECAY = 40, 0.4, 1e-5
 TAGGED = 0.5
 ACCEPT = 0.5
 _SIZE = 1 << BITS
+
+
+def _bytes(point: int) -> int:
+    return 1 + (point > 0x7F) + (point > 0x7FF) + (point > 0xFFFF)
+
+
 #: ASCII bytes that are neither letters nor digits nor ``_`` stand between words.
 _BETWEEN = np.array([i < 128 and not (chr(i).isalnum() or chr(i) == "_") for i in range(256)])
 
 
+#: By code point, up to the symbols and emoji: what belongs to words, and the lower case where it has as many bytes.
+_POINTS = 0x20000
+_IN_WORD = np.array([(c := chr(i)).isalnum() or c in "_\u00ad\u200c\u200d" or unicodedata.category(c)[0] == "M" for i in range(_POINTS)])
+_LOWERED = np.array([ord(x) if len(x := chr(i).lower()) == 1 and _bytes(ord(x)) == _bytes(i) else i for i in range(_POINTS)])
+
+
+def folded(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes in lower case, with spaces for the bytes of punctuation and symbols beyond ASCII; places stay."""
+    out = lower(data)
+    for least, above, size in ((0xC2, 0xE0, 2), (0xE0, 0xF0, 3), (0xF0, 0xF8, 4)):
+        at = np.flatnonzero((data >= least) & (data < above))
+        if not len(at):
+            continue
+        point = (data[at] & (0x7F >> size)).astype(np.int64)
+        for k in range(1, size):
+            point = point << 6 | (data[at + k] & 0x3F)
+        known = point < _POINTS  # ideographs lie above
+        point, at = point[known], at[known]
+        small, apart = _LOWERED[point], ~_IN_WORD[point]
+        for k in range(size):
+            shifted = small >> 6 * (size - 1 - k)
+            byte = (shifted & 0x3F) | 0x80 if k else shifted | (0xF00 >> size & 0xFF)
+            out[at + k] = np.where(apart, 0x20, byte).astype(np.uint8)
+    return out
+
+
 class Tokens:
     """Words of a span, as places of their features: the word, its first 4, 5 and 6 bytes, and its last 3.
 
@@ -50,7 +85,7 @@ class Tokens:
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        small = lower(data)
+        small = folded(data)
         self.words = words = Words(small, offsets, _BETWEEN)
         n, size = len(words.start), words.end - words.start
         self.places = np.zeros((n, 5), np.int64)
