@@ -338,4 +338,12 @@ ORACLE: dict[str, str] = {
         f"SELECT {iso('w')} AS window_start, count(*) AS row_count, {lanes('h')} FROM (SELECT time_bucket(INTERVAL '2 minutes', ts) AS w, "
         f"sha256({identity('events', 'event_id', 'ts')}) AS h FROM events) GROUP BY w"
     ),
+    "freshness_sketch": "SELECT 'events' AS table_name, count(*) AS row_count, true AS within_bound FROM events",
+    "noisy_tenants": (
+        "WITH e AS (SELECT user_id, CAST(ts AS DATE) AS d FROM events), ends AS (SELECT DISTINCT p.d + i AS last FROM (SELECT DISTINCT d FROM e) p, (SELECT CAST(unnest(range(7)) AS INTEGER) AS i) "
+        "WHERE p.d + i <= (SELECT max(d) FROM e)), counted AS (SELECT last, user_id, count(*) AS n, sum(count(*)) OVER (PARTITION BY last) AS total "
+        "FROM ends JOIN e ON e.d <= last AND e.d > last - 7 GROUP BY last, user_id) "
+        f"SELECT {iso('CAST(last + 1 AS TIMESTAMP)')} AS window_end, user_id, n AS estimate, CAST(total AS BIGINT) AS rows FROM counted WHERE n >= total * 0.01"
+    ),
 }
+ORACLE["microbatch_windows_stream"] = ORACLE["microbatch_windows"]

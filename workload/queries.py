@@ -25,6 +25,7 @@ from tidemark.operators.history import in_force, validity
 from tidemark.operators.identity import row_identities
 from tidemark.operators.pages import pages
 from tidemark.operators.ranges import tree_diff
+from tidemark.operators.sketches import lag_quantile, noisy_tenants, rank_error, tenant_panes, update_lags
 from tidemark.operators.summary import (
     checkpoint_advance,
     delta_counts,
@@ -45,6 +46,7 @@ from tidemark.sources.tables import TableSource, read_files
 from tidemark.streaming.cdc import deduplicate
 from tidemark.streaming.drain import drain
 from tidemark.streaming.exact import ExactLog, exactly_once
+from tidemark.streaming.windows import WindowLog, stream_windows
 from workload.tables import (
     EVENTS,
     EVENTS_CUT,
@@ -784,3 +786,34 @@ def tenant_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 def microbatch_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.microbatch_windows(events(spark, sf_dir).frame, EVENTS)
     return plain(found)
+
+
+@registered("microbatch_windows_stream")
+def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stream of three batches that overlap in time: closed windows, late rows and what is open."""
+    path, root = scratch_root(session(spark), "files"), scratch_root(spark, "windows")
+    add_files(spark, spark.read.parquet(f"{sf_dir}/events.parquet"), path, 3)
+    log = WindowLog(spark, root, EVENTS)
+    query = stream_windows(file_stream(spark, path, files=1).frame, log, scratch_root(spark, "stream"))
+    query.awaitTermination()
+    return plain(log.whole(query.lastProgress["batchId"]))
+
+
+@registered("freshness_sketch")
+def freshness_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lag of two runs from their sketches, made one run at a time, and whether its rank is within the bound."""
+    root, path = two_runs(spark, sf_dir), scratch_root(spark, "lags")
+    sketches = update_lags(spark, root, EVENTS, path)
+    found = lag_quantile(sketches, "table")
+    lag = F.unix_seconds("committed_at") - F.unix_seconds(UPDATED_AT)
+    exact = quality.publication_times(spark, root, EVENTS).select(lag.alias("lag"))
+    ranks = exact.agg((F.count_if(F.col("lag") < found.select("lag_seconds").scalar()) / F.count("*")).alias("low"), (F.count_if(F.col("lag") <= found.select("lag_seconds").scalar()) / F.count("*")).alias("high"))
+    inside = (F.col("low") <= 0.95 + rank_error()) & (F.col("high") >= 0.95 - rank_error())
+    return found.select(F.col("table").alias("table_name"), "row_count", ranks.select(inside).scalar().alias("within_bound"))
+
+
+@registered("noisy_tenants")
+def noisy_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users with a hundredth or more of the events of any seven days, from sketches of single days."""
+    panes = tenant_panes(events(spark, sf_dir).frame, "user_id", tracked=20_000)
+    return plain(noisy_tenants(panes, "user_id", tracked=20_000).select("window_end", "user_id", "estimate", "rows"))
