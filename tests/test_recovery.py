@@ -11,14 +11,20 @@ from helpers import FIRST_RUN, SECOND_RUN, changed, files, local, seeded, sync,
 from tidemark import CASES, CUSTOMERS, HighWaterMark
 from tidemark.errors import CheckpointCorrupt, CommitInterrupted, ContractError, RunInProgress
 from tidemark.operators.delta import upto
-from tidemark.plans.commits import CommitLog
+from tidemark.plans.commits import Claim, CommitLog
 from tidemark.plans.maintenance import compact, expire
 from tidemark.sources.published import read_events, read_lake, read_share
 
 
 def crash(spark, root, where):
-    with pytest.raises(InterruptedError):
-        sync(spark, changed(spark), root, stop_before=where)
+    """A run that ends before its claim is ``ready``, or before its ``commit``."""
+
+    def gone(self, *_):
+        raise InterruptedError
+
+    with pytest.MonkeyPatch.context() as patch, pytest.raises(InterruptedError):
+        patch.setattr(Claim, where, gone)
+        sync(spark, changed(spark), root)
 
 
 def test_unready_run_is_invisible_and_dropped(spark, root):

@@ -312,13 +312,9 @@ def publish(
     before: Checkpoint,
     options: SyncOptions,
     clock: Clock,
-    stop_before: str | None = None,
     origin: Mapping[str, Any] | None = None,
 ) -> tuple[RunFacts, list[TableManifest]]:
-    """Stage, write and commit one batch under ``claim``; the marks move last, with the commit.
-
-    ``stop_before`` (``ready`` or ``commit``) abandons the run at that point, for crash tests.
-    """
+    """Stage, write and commit one batch under ``claim``; the marks move last, with the commit."""
     log = claim.log
     last = log.latest()
     gate(last, contracts, options.accept_breaking)
@@ -387,11 +383,7 @@ def publish(
         quarantined=aside,
         origin=dict(origin or {}),
     )
-    if stop_before == "ready":
-        raise InterruptedError("stopped before ready")
     claim.ready(commit)
-    if stop_before == "commit":
-        raise InterruptedError("stopped before commit")
     claim.commit()
     if options.echo:
         _echo(lines)
@@ -405,7 +397,6 @@ def sync(
     dry_run: bool = False,
     options: SyncOptions | None = None,
     clock: Clock = lambda: datetime.now(UTC),
-    stop_before: str | None = None,
 ) -> Manifest:
     """Recover, read what lies beyond the marks, publish it and advance the marks.
 
@@ -430,9 +421,7 @@ def sync(
             facts = examine(sound(rows, contracts, options), contracts, before, options)
             entries = table_manifests(log, facts)
         else:
-            facts, entries = publish(
-                spark, root, claim, rows, contracts, before, options, clock, stop_before=stop_before
-            )
+            facts, entries = publish(spark, root, claim, rows, contracts, before, options, clock)
     finally:
         claim.release()
     return Manifest(

@@ -38,7 +38,7 @@ from tidemark.operators.validate import invalid_rows, quarantine_split
 from tidemark.plans.commits import CommitLog, seed_checkpoint
 from tidemark.plans.deletes import sync_deletes, with_op
 from tidemark.plans.maintenance import compact, expire
-from tidemark.plans.sync import QUARANTINE_REASON, SyncOptions, examine, sync
+from tidemark.plans.sync import QUARANTINE_REASON, SyncOptions, examine, publish, sync
 from tidemark.session import metadata_frame, scratch_root
 from tidemark.sources import seed
 from tidemark.sources.published import read_events, read_lake, read_quarantine, read_share
@@ -354,26 +354,31 @@ def lake_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("committed_lake")
 def committed_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second run dies with all its files written; none of them is visible."""
+    """Beside the first run's files lie those of one that never committed; none of them is visible."""
     source, root = events(spark, sf_dir), scratch_root(spark, "root")
     sync(spark, [until(source, EVENTS_CUT)], root, options=LANES)
-    try:
-        sync(spark, [source], root, options=LANES, stop_before="ready")
-    except InterruptedError:
-        pass
+    left = source.frame.withColumn("date", utc_date(F.col(UPDATED_AT))).withColumn("run_id", F.lit("unfinished"))
+    left.write.partitionBy("date", "run_id").mode("append").json(f"{root}/events/output=lake")
     return plain(read_lake(spark, root, EVENTS))
 
 
 @registered("recovered_lake")
 def recovered_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second run dies once ready; recovery commits it without reading the source again."""
+    """The second run ends between ready and commit; recovery commits it without reading the source again."""
     source, root = events(spark, sf_dir), scratch_root(spark, "root")
     sync(spark, [until(source, EVENTS_CUT)], root, options=LANES)
+    log, now = CommitLog(spark, root), datetime.now(UTC)
+    claim, before = log.claim(now), log.checkpoint(["events"])
+
+    def gone() -> None:
+        raise InterruptedError
+
+    claim.commit = gone
     try:
-        sync(spark, [source], root, options=LANES, stop_before="commit")
+        publish(spark, root, claim, {"events": delta(source, before.mark("events"))}, (EVENTS,), before, LANES, lambda: now)
     except InterruptedError:
-        pass
-    CommitLog(spark, root).recover()
+        claim.release()
+    log.recover()
     return plain(read_lake(spark, root, EVENTS))
 
 
