@@ -186,6 +186,18 @@ def test_language(spark, docs, edges):
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
 
 
+def test_every_language_is_learned(spark):
+    rows = [(10 * i + k, f"text {i} of {k}", f"l{i}") for i in range(300) for k in range(8)]
+    rows += [(5000 + i, "long " * 10_000 + str(i), "only-long") for i in range(8)] + [(9000, "one text", "hot")] * 3000
+    found = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    learned = {d for d, _, _ in rows if zlib.crc32(str(d).encode()) % 4 != 2}
+    want = {(d, lang) for d, _, lang in rows if d in learned}
+    assert {(r.doc_id, r.lang) for r in found} == want and len(found) == len(want)
+    assert max(len(r.text) for r in found) == langid.LONGEST
+    many = spark.range(5000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'x' AS lang")
+    assert langid.sample(many).count() == langid.PER_CLASS
+
+
 def test_language_gradients():
     net = langid.Network.fresh(["a", "b"])
     net.weights = {k: v.astype(float) for k, v in net.weights.items()}

@@ -1,7 +1,7 @@
 """Language of a text by a bidirectional gated recurrent network over its UTF-8 bytes.
 
 The network is trained in numpy by backpropagation through time on windows of a bounded sample of labelled
-texts (``PER_CLASS`` rows of each language, texts of at most ``LONGEST`` characters), and then labels every
+texts (``PER_CLASS`` rows of each language, stretches of at most ``LONGEST`` characters), and then labels every
 byte of every text: texts are cut into consecutive stretches of ``STRETCH`` bytes, the state starts anew in
 each, and the probabilities of all bytes of a text are averaged. Gates and candidates use the soft sign x / (1 + |x|) where the usual unit has tanh.
 
@@ -17,10 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import fold, labelled_sample
+from tidemark.llm.frames import fold
 from tidemark.llm.text import spans, utf8
 
 PER_CLASS, LONGEST = 400, 20_000
@@ -208,11 +208,26 @@ def _predictions(net: Network):
     return run
 
 
+def sample(docs: DataFrame) -> DataFrame:
+    """``doc_id, lang, text`` to learn from: ``PER_CLASS`` different rows of every language, or all if it has fewer.
+
+    Rows are drawn by a hash of id and text; a text longer than ``LONGEST`` gives a stretch of that length, from a place
+    that its hash tells. Languages are counted first, so that few rows are sorted.
+    """
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), 4) != 2))
+    counts = rows.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_n"))  # a row for each language
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1 << 62))
+    rows = rows.select("doc_id", "lang", "text", draw.alias("_draw")).join(F.broadcast(counts), F.col("lang") == F.col("_lang"))
+    rows = rows.filter(F.col("_draw") < F.lit(float(1 << 62)) * 2 * PER_CLASS / F.col("_n"))
+    start = F.pmod("_draw", F.greatest(F.length("text") - LONGEST, F.lit(0)) + 1) + 1
+    rows = rows.select("doc_id", "lang", "_draw", F.substring("text", start.cast("int"), F.lit(LONGEST)).alias("text")).dropDuplicates(["lang", "_draw"])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_draw"))
+    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= PER_CLASS).select("doc_id", "lang", "text")
+
+
 def fitted(docs: DataFrame) -> Network:
     """A network from the rows with a language whose fold is not held out."""
-    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), 4) != 2))
-    rows = rows.filter(F.length("text") <= LONGEST).select("doc_id", "lang", "text")
-    found = sorted(labelled_sample(rows, "lang", "doc_id", PER_CLASS).collect(), key=lambda r: (r["doc_id"], r["text"]))
+    found = sorted(sample(docs).collect(), key=lambda r: (r["doc_id"], r["text"]))
     return train([r["text"] for r in found], [r["lang"] for r in found])
 
 
