@@ -18,6 +18,11 @@ def violation(contract: Contract) -> Column:
     )
 
 
+def comes_back(contract: Contract) -> Column:
+    """Whether every delta has the row, because it cannot be placed."""
+    return F.col(UPDATED_AT).isNull() | F.col(contract.key).isNull()
+
+
 def invalid_rows(rows: DataFrame, contract: Contract) -> DataFrame:
     return rows.withColumn("reason", violation(contract)).where("reason IS NOT NULL")
 

@@ -29,11 +29,11 @@ from tidemark.functions.digest import (
 from tidemark.operators.delta import delta
 from tidemark.operators.identity import identity_text
 from tidemark.operators.summary import digests, partition_counts
-from tidemark.operators.validate import violation
+from tidemark.operators.validate import comes_back, violation
 from tidemark.plans.commits import SHARE_DATE, Claim, Commit, CommitLog, leaf
 from tidemark.plans.publish import LAKE, SHARE, range_tasks, write_batch
-from tidemark.session import metadata_frame, require_utc, scratch_root, timestamps_with_statistics
-from tidemark.sources.published import BY_TENANT, JSON, PARQUET, QUARANTINE, QUARANTINE_REASON, share_path
+from tidemark.session import metadata_frame, require_utc, scratch_root, timestamps_with_statistics, written
+from tidemark.sources.published import BY_TENANT, COPIES, JSON, PARQUET, QUARANTINE, QUARANTINE_REASON, set_aside_log, share_path
 from tidemark.sources.tables import TableSource
 
 Clock = Callable[[], datetime]
@@ -60,7 +60,8 @@ class SyncOptions:
 
     ``quarantine`` publishes the sound rows and puts those without an instant or a valid key beside
     the lake, in the same commit; without it they stop the run. Rows that cannot be placed come
-    back with every run until the source is mended.
+    back with every run until the source is mended; they are stored once, and when they stay
+    away, that is.
 
     A contract that drops or retypes a column the last commit of its table had is refused, unless
     its table is named in ``accept_breaking``.
@@ -169,6 +170,21 @@ def quarantined(rows: DataFrame, contract: Contract) -> DataFrame:
     return rows.select("*", violation(contract).alias(QUARANTINE_REASON)).where(F.col(QUARANTINE_REASON).isNotNull())
 
 
+def aside_changes(spark: SparkSession, root: str, rows: DataFrame, contract: Contract, whole: bool) -> DataFrame:
+    """What the log of rows set aside lacks to agree with a run's unsound rows: signed copies of each.
+
+    A delta says nothing of rows set aside earlier that have an instant and a key, since they lie
+    behind the mark; ``whole`` tells that ``rows`` are the source. Equal rows are folded before they
+    are shuffled, so a row that comes very often does not pile up.
+    """
+    columns = [*contract.column_names, QUARANTINE_REASON]
+    now = quarantined(rows, contract).select(*columns, F.lit(1).cast("long").alias(COPIES))
+    before = set_aside_log(spark, root, contract)
+    before = before if whole else before.where(comes_back(contract))
+    signed = now.unionByName(before.select(*columns, (-F.col(COPIES)).alias(COPIES)))
+    return signed.groupBy(*columns).agg(F.sum(COPIES).alias(COPIES)).where(f"{COPIES} <> 0")
+
+
 def _run_id(
     deltas: Mapping[str, DataFrame],
     contracts: Sequence[Contract],
@@ -313,8 +329,12 @@ def publish(
     options: SyncOptions,
     clock: Clock,
     origin: Mapping[str, Any] | None = None,
+    whole: bool = False,
 ) -> tuple[RunFacts, list[TableManifest]]:
-    """Stage, write and commit one batch under ``claim``; the marks move last, with the commit."""
+    """Stage, write and commit one batch under ``claim``; the marks move last, with the commit.
+
+    With ``whole`` the unsound ones of ``rows`` are all that the source has.
+    """
     log = claim.log
     last = log.latest()
     gate(last, contracts, options.accept_breaking)
@@ -331,10 +351,22 @@ def publish(
     targets = [leaf(c.directory, LAKE, d, facts.run_id) for c in changed for d in facts.dates[c.name]]
     targets += [leaf(c.directory, SHARE, SHARE_DATE, facts.run_id) for c in changed]
     aside: dict[str, list[dict[str, Any]]] = {}
+    changes: dict[str, DataFrame] = {}
     if options.quarantine:
+        earlier = {table for commit in log.history() for table in commit.quarantined}
         counts = dict(zip((c.name for c in contracts), _each_table(lambda c: quarantined(staged[c.name], c).count(), contracts)))
-        aside = {c.name: [{"name": f"{facts.run_id}-{claim.seq}", "rows": counts[c.name]}] for c in contracts if counts[c.name]}
-    leaves = {c.name: leaf(c.directory, QUARANTINE, SHARE_DATE, aside[c.name][0]["name"]) for c in contracts if c.name in aside}
+        for c in contracts:
+            if not counts[c.name] and c.name not in earlier:
+                continue
+            changes[c.name] = written(aside_changes(spark, root, staged[c.name], c, whole), "aside")
+            gone, new = changes[c.name].agg(*(F.coalesce(F.sum(F.greatest(n, F.lit(0))), F.lit(0)) for n in (-F.col(COPIES), F.col(COPIES)))).first()
+            if counts[c.name] or gone:
+                part = {"name": f"{facts.run_id}-{claim.seq}", "rows": new, "closed": gone, "seen": counts[c.name], "whole": whole}
+                aside[c.name] = [{**part, "at": to_iso(clock())}]
+    leaves = {
+        table: leaf(c.directory, QUARANTINE, SHARE_DATE, part["name"])
+        for c in contracts for table, (part,) in aside.items() if table == c.name and part["rows"] + part["closed"]
+    }
     targets += leaves.values()
     claim.intend(targets, stage)
 
@@ -342,7 +374,7 @@ def publish(
         return BY_TENANT if c.tenant else options.lake_format
 
     def set_aside(c: Contract) -> None:
-        quarantined(staged[c.name], c).write.mode("overwrite").parquet(log.store.path(leaves[c.name]))
+        changes[c.name].write.mode("overwrite").parquet(log.store.path(leaves[c.name]))
 
     def write(c: Contract) -> None:
         least = min(spark.sparkContext.defaultParallelism, -(-facts.counts[c.name] // options.small_task_rows))
@@ -355,7 +387,7 @@ def publish(
 
     with timestamps_with_statistics(spark):
         _each_table(write, changed)
-        _each_table(set_aside, [c for c in contracts if c.name in aside])
+        _each_table(set_aside, [c for c in contracts if c.name in leaves])
     lines = event_lines(facts, entries)
     log.store.replace(f"events/run_id={facts.run_id}/events.json", "".join(line + "\n" for line in lines))
 

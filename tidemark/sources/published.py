@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +13,13 @@ from pyspark.sql import types as T
 from tidemark.contract import Contract
 from tidemark.errors import ContractError, IncompatibleSchema
 from tidemark.operators.envelope import CHECKPOINT_TYPE, share_schema
+from tidemark.operators.validate import comes_back
 from tidemark.plans.commits import CommitLog, Leaves, SHARE_DATE, leaf
-from tidemark.session import require_utc
+from tidemark.session import metadata_frame, require_utc
 
 JSON, PARQUET, BY_TENANT = "json", "parquet", "parquet-by-tenant"
 LAKE_TENANT = "lake_tenant"
-QUARANTINE, QUARANTINE_REASON = "quarantine", "quarantine_reason"
+QUARANTINE, QUARANTINE_REASON, COPIES = "quarantine", "quarantine_reason", "_copies"
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -168,19 +170,57 @@ def read_share(
     return frame.withColumn("record", record)
 
 
-def read_quarantine(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
-    """Rows that committed runs set aside: contract columns, the reason and the run's leaf as ``run_id``.
+def _aside_parts(spark: SparkSession, root: str, contract: Contract) -> list[dict[str, Any]]:
+    return [part for c in CommitLog(spark, root).history() for part in c.quarantined.get(contract.name, [])]
+
 
-    A row that cannot be placed is set aside by every run that meets it.
+def set_aside_log(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
+    """The changes to the rows set aside: contract columns, the reason, signed copies, and the run's leaf as ``run_id``.
+
+    A row comes with its copies when a run meets it first, and with as many less when it has gone or been mended.
     """
     require_utc(spark)
     log = CommitLog(spark, root)
-    names = [part["name"] for c in log.history() for part in c.quarantined.get(contract.name, [])]
-    schema = T.StructType([*contract.schema.fields, T.StructField(QUARANTINE_REASON, T.StringType())])
+    names = [part["name"] for part in _aside_parts(spark, root, contract) if part["rows"] + part.get("closed", 0)]
+    added = [T.StructField(QUARANTINE_REASON, T.StringType()), T.StructField(COPIES, T.LongType())]
+    schema = T.StructType([*contract.schema.fields, *added])
     if not names:
         return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("run_id", T.StringType())]))
     paths = [log.store.path(leaf(contract.directory, QUARANTINE, SHARE_DATE, name)) for name in names]
-    return spark.read.schema(schema).parquet(*paths).select("*", run_of_file().alias("run_id"))
+    rows = spark.read.schema(schema).parquet(*paths).select("*", run_of_file().alias("run_id"))
+    return rows.withColumn(COPIES, F.coalesce(COPIES, F.lit(1)))
+
+
+_CHUNK = 1 << 16
+
+
+def read_quarantine(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
+    """Rows that committed runs set aside: contract columns, the reason and the first run's leaf as ``run_id``.
+
+    A row stands here once however many runs meet it, also after it has been mended; ``read_open`` leaves those out.
+    """
+    rows = set_aside_log(spark, root, contract).where(f"{COPIES} > 0")
+    chunks = F.sequence(F.lit(0), F.floor((F.col(COPIES) - 1) / _CHUNK))
+    rows = rows.withColumn("_chunk", F.explode(chunks))
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(F.lit(_CHUNK), F.col(COPIES) - F.col("_chunk") * _CHUNK))))
+    return rows.drop(COPIES, "_chunk", "_copy")
+
+
+def read_open(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
+    """The rows that still lie aside: contract columns, reason, ``copies``, ``first_seen`` and ``last_seen``.
+
+    Those that cannot be placed are seen by each run, those with a negative key when they come and by ``readmit``.
+    """
+    columns = [*contract.column_names, QUARANTINE_REASON]
+    parts = _aside_parts(spark, root, contract)
+    times = [(part["name"], part.get("at")) for part in parts]
+    newest = lambda of: F.lit(max((p["at"] for p in of if p.get("at") and p.get("seen")), default=None)).cast("timestamp")
+    runs = metadata_frame(spark, times, "run_id string, at string").select("run_id", F.col("at").cast("timestamp").alias("_at"))
+    log = set_aside_log(spark, root, contract).join(runs, "run_id", "left")
+    came = F.when(F.col(COPIES) > 0, F.col("_at"))
+    rows = log.groupBy(*columns).agg(F.sum(COPIES).alias("copies"), F.min(came).alias("first_seen"), F.max(came).alias("_last"))
+    again = F.when(comes_back(contract), newest(parts)).otherwise(newest([p for p in parts if p.get("whole")]))
+    return rows.where("copies > 0").select(*columns, "copies", "first_seen", F.greatest("_last", again).alias("last_seen"))
 
 
 def read_events(spark: SparkSession, root: str) -> DataFrame:

@@ -292,6 +292,12 @@ ORACLE: dict[str, str] = {
         "SELECT event_id AS row_id, CASE WHEN user_id % 7 = 0 THEN 'updated_at is missing' WHEN user_id % 5 = 1 THEN 'key is missing' "
         "WHEN user_id % 5 = 0 THEN 'key is negative' END AS reason FROM events"
     ),
+    "readmitted_rows": (
+        "SELECT event_id AS row_id, coalesce(reason, 'published') AS state, CASE WHEN reason IS NOT NULL THEN CAST(1 AS BIGINT) END AS copies, "
+        "CASE WHEN reason IS NULL THEN NULL WHEN user_id % 7 = 0 OR ts <= " + CUT + " THEN '2024-03-01T00:00:00Z' ELSE '2024-03-02T00:00:00Z' END AS first_seen, "
+        "CASE WHEN reason IS NOT NULL THEN '2024-03-05T00:00:00Z' END AS last_seen FROM (SELECT *, CASE WHEN event_id % 2 = 0 THEN NULL "
+        "WHEN user_id % 7 = 0 THEN 'updated_at is missing' WHEN user_id % 5 = 1 THEN 'key is missing' WHEN user_id % 5 = 0 THEN 'key is negative' END AS reason FROM events)"
+    ),
     "schema_gate": (
         f"SELECT {fingerprint(EVENTS_SHAPE)} AS schema_fingerprint, 'published' AS decision, count(*) AS row_count FROM events WHERE ts <= {CUT} "
         f"UNION ALL SELECT {fingerprint(WIDER_SHAPE)}, 'published', count(*) FROM events WHERE ts > {CUT} "
@@ -325,6 +331,12 @@ ORACLE: dict[str, str] = {
         "FROM (SELECT user_id, max(ts) AS c FROM events WHERE event_type = 'view' GROUP BY user_id), "
         "(SELECT max(ts) AS m FROM events) WHERE epoch_us(m) // 1000000 - epoch_us(c) // 1000000 > 86400"
     ),
+    "stale_alarms": (
+        f"WITH v AS (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS following, epoch_us(max(ts) OVER ()) // 1000 - 43200000 AS clock "
+        f"FROM events WHERE event_type = 'view') SELECT user_id, {iso('ts')} AS last_progress, {iso("(ts + INTERVAL 1 DAY)")} AS raised_at, "
+        f"CASE WHEN (epoch_us(following) + 999) // 1000 <= clock THEN {iso('following')} END AS cleared_at FROM v "
+        "WHERE (epoch_us(ts) + 86400000999) // 1000 <= clock AND (following IS NULL OR following > ts + INTERVAL 1 DAY)"
+    ),
     "snapshot_diff": (
         f"WITH e AS (SELECT * FROM {O}), a AS (SELECT order_id, customer_id, CASE WHEN priority = '1-URGENT' THEN 'X' ELSE status END AS status, "
         f"priority, total, moment FROM {O} WHERE status <> 'O') "

@@ -7,7 +7,7 @@ from dataclasses import replace
 from datetime import UTC, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,11 +38,13 @@ from tidemark.operators.validate import invalid_rows, quarantine_split
 from tidemark.plans.commits import CommitLog, seed_checkpoint
 from tidemark.plans.deletes import sync_deletes, with_op
 from tidemark.plans.maintenance import compact, expire
+from tidemark.plans.readmission import readmit
 from tidemark.plans.sync import QUARANTINE_REASON, SyncOptions, examine, publish, sync
 from tidemark.session import metadata_frame, scratch_root
 from tidemark.sources import seed
-from tidemark.sources.published import read_events, read_lake, read_quarantine, read_share
+from tidemark.sources.published import read_events, read_lake, read_open, read_quarantine, read_share
 from tidemark.sources.tables import TableSource, read_files
+from tidemark.streaming.alarms import read_silences, stream_silences
 from tidemark.streaming.cdc import deduplicate
 from tidemark.streaming.drain import drain
 from tidemark.streaming.exact import ExactLog, exactly_once
@@ -669,6 +671,30 @@ def quarantining_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad)
 
 
+@registered("readmitted_rows")
+def readmitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over events of which some users' lost their instant or key, then half of them mended: published once, or still open."""
+    contract = Contract("events", "event_id", (("row_id", "bigint"), *EVENTS.columns))
+    rows = events(spark, sf_dir).frame.withColumn("row_id", F.col("event_id"))
+
+    def with_damage(where: Column) -> TableSource:
+        key = F.when(where & (F.col("user_id") % 5 == 0), -F.col("event_id") - 1).when(~(where & (F.col("user_id") % 5 == 1)), F.col("event_id"))
+        moment = F.when(~(where & (F.col("user_id") % 7 == 0)), F.col(UPDATED_AT))
+        broken = rows.withColumn(UPDATED_AT, moment).withColumn("event_id", key)
+        return TableSource.of(broken.select(*contract.column_names), contract)
+
+    root, options = scratch_root(session(spark), "root"), replace(LANES, quarantine=True)
+    all_bad = with_damage(F.lit(True))
+    cut = F.col(UPDATED_AT).isNull() | upto(EVENTS_CUT, "row_id")
+    for day, source in enumerate((replace(all_bad, frame=all_bad.frame.where(cut)), all_bad, all_bad)):
+        sync(spark, [source], root, options=options, clock=lambda day=day: START + timedelta(days=day))
+    for day in (3, 4):  # the second time there is nothing left to do
+        readmit(spark, with_damage(F.col("row_id") % 2 == 1), root, options, clock=lambda day=day: START + timedelta(days=day))
+    good = read_lake(spark, root, contract).select("row_id", F.lit("published").alias("state"), F.lit(None).cast("long").alias("copies"), F.lit(None).cast("timestamp").alias("first_seen"), F.lit(None).cast("timestamp").alias("last_seen"))
+    bad = read_open(spark, root, contract).select("row_id", F.col(QUARANTINE_REASON).alias("state"), "copies", "first_seen", "last_seen")
+    return plain(good.unionByName(bad))
+
+
 @registered("schema_gate")
 def gated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs: the contract, one with a column more, and one with a column less, which is refused."""
@@ -746,6 +772,21 @@ def stale_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(quality.stale_cursors(cursors, rows))
 
 
+@registered("stale_alarms")
+def silent_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's views are their progress: a stream of three batches, up to seven hours out of order, tells of pauses of a day."""
+    path, out = scratch_root(session(spark), "files"), scratch_root(spark, "alarms")
+    arrival = F.unix_seconds(F.col("ts").cast("timestamp")) + F.col("event_id") % 7 * 3_600
+    views = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_type = 'view'")
+    first, second = (int(datetime(2024, 1, day, tzinfo=UTC).timestamp()) for day in (11, 21))
+    for part in (arrival < first, (arrival >= first) & (arrival < second), arrival >= second):
+        views.where(part).coalesce(1).write.mode("append").parquet(path)
+    progress = file_stream(spark, path, files=1).frame.select("user_id", UPDATED_AT)
+    stream_silences(progress, "user_id", UPDATED_AT, out, scratch_root(spark, "stream"), delay_seconds=12 * 3_600).awaitTermination()
+    alarms = spark.read.schema("user_id long, kind string, last_progress timestamp, at timestamp").parquet(out)
+    return plain(read_silences(alarms, "user_id"))
+
+
 @registered("snapshot_diff")
 def snapshot_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = orders(spark, sf_dir).frame
