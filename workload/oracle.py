@@ -346,6 +346,10 @@ ORACLE: dict[str, str] = {
     "tenant_share": "SELECT user_id, count(*) AS row_count, count(*) / CAST((SELECT count(*) FROM events) AS DOUBLE) AS share FROM events GROUP BY user_id",
     "tenant_partitions": f"SELECT user_id AS tenant_id, {day('ts')} AS event_date, count(*) AS row_count FROM events GROUP BY ALL",
     "tenant_lake": f"SELECT {E_COLUMNS}, event_type AS tenant_id, {day('moment')} AS event_date FROM {E_}",
+    "clustered_lake": (
+        f"SELECT {E_COLUMNS}, 'user ' || user_id AS asked FROM {E_} WHERE user_id IN (1, 7, 42) "
+        f"UNION ALL SELECT {E_COLUMNS}, 'week' AS asked FROM {E_} WHERE moment >= TIMESTAMP '2024-01-10' AND moment < TIMESTAMP '2024-01-17'"
+    ),
     "microbatch_windows": (
         f"SELECT {iso('w')} AS window_start, count(*) AS row_count, {lanes('h')} FROM (SELECT time_bucket(INTERVAL '2 minutes', ts) AS w, "
         f"sha256({identity('events', 'event_id', 'ts')}) AS h FROM events) GROUP BY w"

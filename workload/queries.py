@@ -23,6 +23,7 @@ from tidemark.operators.delta import delta, numbered, upto
 from tidemark.operators.envelope import share_line
 from tidemark.operators.history import in_force, validity
 from tidemark.operators.identity import row_identities
+from tidemark.operators.layout import Layout
 from tidemark.operators.pages import pages
 from tidemark.operators.ranges import tree_diff
 from tidemark.operators.sketches import lag_quantile, noisy_tenants, rank_error, tenant_panes, update_lags
@@ -828,6 +829,18 @@ def tenant_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(rows.withColumn("event_date", utc_date(F.col(UPDATED_AT))))
 
 
+@registered("clustered_lake")
+def clustered_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events clustered by user and instant: three users and, for all users, one week, each from the files that may hold them."""
+    found = events(spark, sf_dir).frame
+    layout = Layout(scratch_root(spark, "clustered"), "user_id", UPDATED_AT)
+    layout.write(found, file_rows=2_000)
+    first, until_then = datetime(2024, 1, 10, tzinfo=UTC), datetime(2024, 1, 17, tzinfo=UTC)
+    read = [layout.read(spark, found.schema, tenant=user).withColumn("asked", F.lit(f"user {user}")) for user in (1, 7, 42)]
+    read.append(layout.read(spark, found.schema, first=first, until=until_then).withColumn("asked", F.lit("week")))
+    return plain(reduce(DataFrame.unionByName, read))
+
+
 @registered("microbatch_windows")
 def microbatch_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.microbatch_windows(events(spark, sf_dir).frame, EVENTS)
