@@ -14,6 +14,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.checkpoint import Checkpoint, HighWaterMark, to_iso
 from tidemark.contract import UPDATED_AT, Contract, contracts_by_name
@@ -34,7 +35,7 @@ from tidemark.plans.commits import SHARE_DATE, Claim, Commit, CommitLog, leaf
 from tidemark.plans.publish import LAKE, SHARE, range_tasks, write_batch
 from tidemark.session import metadata_frame, require_utc, scratch_root, timestamps_with_statistics, written
 from tidemark.sources.published import BY_TENANT, COPIES, JSON, PARQUET, QUARANTINE, QUARANTINE_REASON, set_aside_log, share_path
-from tidemark.sources.tables import TableSource
+from tidemark.sources.tables import DeferredSource, TableSource
 
 Clock = Callable[[], datetime]
 
@@ -292,20 +293,23 @@ def _each_table(job: Callable[[Contract], Any], contracts: Sequence[Contract]) -
         return list(pool.map(job, contracts))
 
 
-def _stage(spark: SparkSession, rows: Mapping[str, DataFrame], contracts: Sequence[Contract], stage: str) -> dict[str, DataFrame]:
+def _stage(
+    spark: SparkSession, rows: Mapping[str, DataFrame], contracts: Sequence[Contract], stage: str, positions_only: bool = False
+) -> dict[str, DataFrame]:
     """Copy each delta once, so that counts, ids and outputs all see the same rows.
 
     A map-only write; caching would not do, since a lost block is read again from a source
-    that may have moved on.
+    that may have moved on. With ``positions_only`` the copy has the key and the instant, all that ``examine`` reads.
     """
 
     def copy(c: Contract) -> DataFrame:
         path = f"{stage}/{c.name}"
+        names = [c.key, UPDATED_AT] if positions_only else list(c.column_names)
         try:
-            rows[c.name].write.mode("overwrite").parquet(path)
+            rows[c.name].select(*names).write.mode("overwrite").parquet(path)
         except (PySparkException, Py4JJavaError) as failed:
             raise SourceError(f"cannot read the delta of {c.name}: {failed}") from failed
-        return spark.read.schema(c.schema).parquet(path)
+        return spark.read.schema(T.StructType([c.schema[name] for name in names])).parquet(path)
 
     return dict(zip((c.name for c in contracts), _each_table(copy, contracts)))
 
@@ -424,7 +428,7 @@ def publish(
 
 def sync(
     spark: SparkSession,
-    sources: Sequence[TableSource],
+    sources: Sequence[TableSource | DeferredSource],
     root: str,
     dry_run: bool = False,
     options: SyncOptions | None = None,
@@ -432,25 +436,36 @@ def sync(
 ) -> Manifest:
     """Recover, read what lies beyond the marks, publish it and advance the marks.
 
-    Sources are published in the order given. With ``dry_run`` the same facts are computed and
-    nothing is written. A second run at the same time fails with RunInProgress.
+    Sources are published in the order given; deferred ones are opened once the run is claimed and its marks are
+    known. With ``dry_run`` the same facts are computed, from one read of each source, and
+    nothing is published. A second run at the same time fails with RunInProgress.
     """
     require_utc(spark)
     options = options or SyncOptions()
     contracts = tuple(s.contract for s in sources)
     contracts_by_name(contracts)
     for source in sources:
-        source.contract.require(source.frame)
+        if isinstance(source, TableSource):
+            source.contract.require(source.frame)
     log = CommitLog(spark, root)
     log.recover(clock(), stale_after=options.stale_after)
     claim = log.claim(clock())
     try:
         started = clock()
         before = log.checkpoint(c.name for c in contracts)
-        rows = {s.contract.name: delta(s, before.mark(s.contract.name), unplaced=True) for s in sources}
+        opened = [s.at(before.mark(s.contract.name)) for s in sources]
+        rows = {s.contract.name: delta(s, before.mark(s.contract.name), unplaced=True) for s in opened}
         if dry_run:
             gate(log.latest(), contracts, options.accept_breaking)
-            facts = examine(sound(rows, contracts, options), contracts, before, options)
+            stage = scratch_root(spark, "stage") if options.stage else None
+            try:
+                if stage:
+                    with timestamps_with_statistics(spark):
+                        rows = _stage(spark, rows, contracts, stage, positions_only=True)
+                facts = examine(sound(rows, contracts, options), contracts, before, options)
+            finally:
+                if stage:
+                    log.store.delete_uri(stage)
             entries = table_manifests(log, facts)
         else:
             facts, entries = publish(spark, root, claim, rows, contracts, before, options, clock)

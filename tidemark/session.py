@@ -7,7 +7,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from threading import Lock
 from typing import Any
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,12 +70,27 @@ def timestamps_with_statistics(spark: SparkSession) -> Iterator[None]:
     """Write Parquet timestamps as 64-bit microseconds, which carry the statistics filters need.
 
     Spark's default, INT96, carries none. There is no option per write, hence the session's
-    setting; enter before starting concurrent writes.
+    setting; enter before starting concurrent writes. Of several runs in one session the first to enter
+    sets it and the last to leave sets it back.
     """
     key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "TIMESTAMP_MICROS")
+    with _ENTERED_LOCK:
+        inside, before = _ENTERED.get(spark, (0, None))
+        if not inside:
+            before = spark.conf.get(key)
+            spark.conf.set(key, "TIMESTAMP_MICROS")
+        _ENTERED[spark] = (inside + 1, before)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        with _ENTERED_LOCK:
+            inside, before = _ENTERED.pop(spark)
+            if inside > 1:
+                _ENTERED[spark] = (inside - 1, before)
+            else:
+                spark.conf.set(key, before)
+
+
+# Per session, the runs that write timestamps with statistics now, and the setting before them.
+_ENTERED: WeakKeyDictionary[SparkSession, tuple[int, str | None]] = WeakKeyDictionary()
+_ENTERED_LOCK = Lock()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import timedelta
 
@@ -63,6 +63,29 @@ class TableSource:
         contract.require(shaped_frame)
         return cls(contract, shaped_frame, date_column)
 
+    def at(self, mark: HighWaterMark) -> TableSource:
+        """The source itself: it is open already."""
+        return self
+
+
+@dataclass(frozen=True)
+class DeferredSource:
+    """A table that is opened for the mark of a claimed run, such as ``read_jdbc_window`` needs.
+
+    ``open`` gets the table's mark and returns its source. Whatever it returns is cut at the mark once more, so a
+    reader may give more than was asked, not less. It is called once a run, after the claim: no other run can move the mark meanwhile.
+    """
+
+    contract: Contract
+    open: Callable[[HighWaterMark], TableSource]
+
+    def at(self, mark: HighWaterMark) -> TableSource:
+        source = self.open(mark)
+        if source.contract != self.contract:
+            raise SourceError(f"{self.contract.name}: opened as {source.contract.name} with another contract")
+        self.contract.require(source.frame)
+        return source
+
 
 def read_files(
     spark: SparkSession,
