@@ -14,6 +14,8 @@ from tidemark.session import scratch_root
 
 #: A side of a join is broadcast up to this many rows of two longs, counted first; beyond it the join shuffles.
 FEW = 2_000_000
+#: A key is hot if it holds more than one in so many rows.
+HOT_PARTS = 4_096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +37,25 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 def small_side(df: DataFrame, most: int = FEW) -> DataFrame:
     """``df`` with a broadcast hint where counting shows that it is small enough."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def hot_keys(counted: DataFrame, key: str, rows: int) -> DataFrame:
+    """The keys of ``counted(key, n)`` that hold more than one in ``HOT_PARTS`` of ``rows`` rows: fewer than ``HOT_PARTS``."""
+    return counted.filter(F.col("n") * HOT_PARTS > rows).select(key)
+
+
+def joined(rows: DataFrame, side: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """``rows`` left joined with ``side``, which has one row for each key.
+
+    Rows of ``hot`` keys stay where they are and meet a broadcast of their keys' rows, whose number ``hot`` bounds; rows
+    without a key meet nothing; the others are shuffled, of which no key holds many.
+    """
+    hot = F.broadcast(hot)
+    named = rows.filter(F.col(key).isNotNull())
+    few = named.join(F.broadcast(side.join(hot, key, "left_semi")), key)
+    many = named.join(hot, key, "left_anti").join(side, key, "left")
+    return few.unionByName(many).unionByName(rows.filter(F.col(key).isNull()), allowMissingColumns=True)
 
 
 def labelled_sample(rows: DataFrame, label: str, key: str, per_class: int, most_classes: int = 256) -> DataFrame:

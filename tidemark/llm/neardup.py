@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import FEW, groups, kept, small_side
+from tidemark.llm.frames import FEW, groups, hot_keys, joined, kept, small_side
 from tidemark.llm.text import Words, mix64, spans, utf8
 
 SHINGLE = 5
@@ -245,16 +245,18 @@ def components(links: DataFrame) -> DataFrame:
     """``node, label``: the smallest node reachable, for every node of ``links(a, b)``.
 
     Large and small star steps alternate until nothing changes. Every step is a grouped minimum, combined
-    before its shuffle, and a join that splits hot keys; edges never outnumber the links given.
+    before its shuffle, and a join that sends the minima of nodes with many edges to the edges, not the edges to the
+    node; edges never outnumber the links given.
     """
     edges = kept(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
+    before, most = None, edges.count()
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a").select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b"))
+        low = both.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n")).withColumn("low", F.least("a", "low"))
+        met = joined(both, low.drop("n"), "a", hot_keys(low, "a", 2 * most))
+        large = met.filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
+        small = joined(large, low.drop("n"), "a", hot_keys(low, "a", most)).select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b"))
         edges = kept(small.filter("a != b").distinct(), "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
@@ -286,7 +288,7 @@ def _links(docs: DataFrame, nodes: DataFrame, trees: range, labels: DataFrame |
     ends = found.filter("side < 2").repartition("block").sortWithinPartitions("block")
     blocks = found.filter("side is null").select("block", "node").unionByName(ends.mapInArrow(_across, "block string, node binary"))
     blocks = kept(blocks, "clusters")
-    wanted = blocks.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node")
+    wanted = kept(blocks.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node"), "wanted")
     pieces = blocks.join(_read(docs, wanted), "node").select("block", "node", "shingles").repartition("block").sortWithinPartitions("block")
     return pieces.mapInArrow(_confirm(threshold), "a binary, b binary"), found.filter("side = 2").select("record").distinct()
 
@@ -300,6 +302,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["at", "n"])
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in one."""
+    for batch in batches:
+        at, n = (batch.column(c).to_numpy() for c in ("at", "n"))
+        pair = [pa.array([x.tobytes()], pa.binary()) for x in (at.astype("<u4"), np.minimum(n, 0xFFFFFFFF).astype("<u4"))]
+        yield pa.RecordBatch.from_arrays(pair, names=["at", "n"])
+
+
 def prefixes(found: np.ndarray, count: np.ndarray, threshold: int) -> Iterator[tuple[int, bool, np.ndarray, np.ndarray]]:
     """``band, larger, shingles, reach`` of one set: what it has in common with any set that it is near to.
 
@@ -366,8 +376,9 @@ def _crowd_links(docs: DataFrame, nodes: DataFrame, crowds: DataFrame, labels: D
     wanted = kept(nodes.select("node", "doc_id", "text_hash").join(inside, "node", "left_semi"), "crowd")
     sets = kept(_read(docs, wanted).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "crowd-sets")
     count = np.zeros(1 << _COUNTED, np.uint32)
-    for r in sets.select("shingles").mapInArrow(_counted, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
-        count[r.at] = min(r.n, 0xFFFFFFFF)
+    counted = sets.select("shingles").mapInArrow(_counted, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    for r in counted.mapInArrow(_packed, "at binary, n binary").collect():  # at most 8 bytes for each of the counters
+        count[np.frombuffer(r.at, "<u4")] = np.frombuffer(r.n, "<u4")
     rows = "shingle long, band int, larger boolean, size long, reach long, node binary, label binary"
     rows = kept(sets.mapInArrow(_prefixes(count, threshold), rows), "prefixes")
     key = ["shingle", "band"]
@@ -409,8 +420,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", thr
     named = nodes.select("node", "doc_id", "copies").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = kept(named, "named")
     best = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    final = named.join(best, "label").select("node", "component_id", "copies")
-    out = signed.select("doc_id", "text_hash", "n_shingles", "node").join(final, "node", "left")
+    sizes = named.groupBy("label").agg(F.count("*").alias("n"))
+    final = kept(joined(named, best, "label", hot_keys(sizes, "label", named.count())).select("node", "component_id", "copies"), "final")
+    sizes = signed.filter("node is not null").groupBy("node").agg(F.count("*").alias("n"))
+    out = joined(signed.select("doc_id", "text_hash", "n_shingles", "node"), final, "node", hot_keys(sizes, "node", signed.count()))
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash", F.coalesce("copies", F.lit(1)).cast("long").alias("copies"))
 
