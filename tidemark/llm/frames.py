@@ -16,6 +16,8 @@ from tidemark.session import scratch_root
 FEW = 2_000_000
 #: A key is hot if it holds more than one in so many rows.
 HOT_PARTS = 4_096
+#: Over how many places the rows of a hot key are dealt.
+SALTS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,14 +50,16 @@ def hot_keys(counted: DataFrame, key: str, rows: int) -> DataFrame:
 def joined(rows: DataFrame, side: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """``rows`` left joined with ``side``, which has one row for each key.
 
-    Rows of ``hot`` keys stay where they are and meet a broadcast of their keys' rows, whose number ``hot`` bounds; rows
-    without a key meet nothing; the others are shuffled, of which no key holds many.
+    Rows of a hot key are dealt over ``SALTS`` places by a hash of all their columns, and the key's row in ``side`` goes to
+    each of them: at most ``HOT_PARTS * SALTS`` rows more. Rows without a key are dealt alike and meet nothing.
     """
-    hot = F.broadcast(hot)
-    named = rows.filter(F.col(key).isNotNull())
-    few = named.join(F.broadcast(side.join(hot, key, "left_semi")), key)
-    many = named.join(hot, key, "left_anti").join(side, key, "left")
-    return few.unionByName(many).unionByName(rows.filter(F.col(key).isNull()), allowMissingColumns=True)
+    hot = F.broadcast(hot.select(F.col(key).alias("_hot")))
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    dealt = rows.join(hot, F.col(key) == F.col("_hot"), "left")
+    dealt = dealt.withColumn("_salt", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), salt).otherwise(0)).drop("_hot")
+    every = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copied = side.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return dealt.join(copied, [key, "_salt"], "left").drop("_salt")
 
 
 def labelled_sample(rows: DataFrame, label: str, key: str, per_class: int, most_classes: int = 256) -> DataFrame:

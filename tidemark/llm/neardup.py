@@ -245,8 +245,8 @@ def components(links: DataFrame) -> DataFrame:
     """``node, label``: the smallest node reachable, for every node of ``links(a, b)``.
 
     Large and small star steps alternate until nothing changes. Every step is a grouped minimum, combined
-    before its shuffle, and a join that sends the minima of nodes with many edges to the edges, not the edges to the
-    node; edges never outnumber the links given.
+    before its shuffle, and a join that deals the edges of a node with many over several places; edges never outnumber
+    the links given.
     """
     edges = kept(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before, most = None, edges.count()
@@ -254,7 +254,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n")).withColumn("low", F.least("a", "low"))
         met = joined(both, low.drop("n"), "a", hot_keys(low, "a", 2 * most))
-        large = met.filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+        large = kept(met.filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct(), "large")
         low = large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
         small = joined(large, low.drop("n"), "a", hot_keys(low, "a", most)).select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b"))
         edges = kept(small.filter("a != b").distinct(), "links")
