@@ -23,6 +23,7 @@ from tidemark.sources import seed
 from tidemark.sources.published import read_lake
 from tidemark.streaming.drain import batch_publisher, unrepeated
 from tidemark.streaming.exact import ExactLog, exactly_once
+from workload.queries import add_delivery
 
 QUIET = SyncOptions(echo=False)
 START = utc(2026, 1, 1)
@@ -80,6 +81,35 @@ def test_changes_pass_once_with_bounded_state(spark, tmp_path):
     assert kept and max(kept) <= 2 * (12 + 2)  # slots of a day and the newest instant of each bucket, not 402 identities
 
 
+def test_state_has_no_more_tasks_than_its_buckets_need(spark, tmp_path):
+    path, root = f"file:{tmp_path}/in", f"file:{tmp_path}/out"
+    rows = spark.range(900).select(F.col("id").alias("k"), (F.lit(START) + F.make_dt_interval(hours=F.col("id"))).alias("updated_at"))
+    before, progress = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for part in (rows.where("k % 3 > 0"), rows.unionByName(rows)):  # a delivery in several files is one batch; the state lasts
+        part.repartition(3).write.mode("append").parquet(path)
+        changes = spark.readStream.schema(rows.schema).parquet(path)
+        query = exactly_once(changes, ["k"], root, f"file:{tmp_path}/state", keep_seconds=86_400, buckets=1)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        query.awaitTermination()
+        progress += [p for p in query.recentProgress if p["numInputRows"]]
+    assert [p["numInputRows"] for p in progress] == [600, 1800]
+    assert {p["stateOperators"][0]["numShufflePartitions"] for p in progress} == {6}  # of 8 that the session has
+    found = ExactLog(spark, root, changes.schema, ["k"])
+    assert found.rows().count() == 900 and found.rows().select(*rows.columns).exceptAll(rows).count() == 0
+    names = [f for f in found.rows(None).where("_batch = 1").inputFiles() if "_batch=1" in f]
+    dates = found.rows().where("_batch = 1").select("_date").distinct().count()
+    assert len(names) <= 4 * dates  # late rows are placed by adapting shuffles
+
+
+def test_a_delivery_has_files_by_its_size(spark, tmp_path):
+    path = f"file:{tmp_path}/in"
+    rows = spark.range(1_000_000).select(F.col("id").alias("event_id"), F.xxhash64("id").alias("x"))
+    add_delivery(spark, rows, path)
+    assert len(spark.read.parquet(path).inputFiles()) > 1 and spark.read.parquet(path).count() == 1_000_000
+    add_delivery(spark, rows.limit(10), f"{path}-small")
+    assert len(spark.read.parquet(f"{path}-small").inputFiles()) == 1
+
+
 # digest tree
 
 

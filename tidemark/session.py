@@ -50,11 +50,14 @@ def scratch_root(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` as written once to the shared folder: lineage ends here, and a lost executor costs nothing."""
-    spark, path = df.sparkSession, scratch_root(df.sparkSession, purpose)
+def written(df: DataFrame, purpose: str, reader: SparkSession | None = None) -> DataFrame:
+    """``df`` as written once to the shared folder: lineage ends here, and a lost executor costs nothing.
+
+    ``reader`` is the session that reads it, if not its own: that of a stateful stream does not adapt its shuffles.
+    """
+    path = scratch_root(df.sparkSession, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return (reader or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 def metadata_frame(spark: SparkSession, rows: Sequence[Sequence[Any]], ddl: str) -> DataFrame:

@@ -34,6 +34,9 @@ BUCKETS = 64
 WORDS, BITS = 1 << 16, 5
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_TASKS = "spark.sql.shuffle.partitions"
+#: Partitions of the state for each bucket, at most: enough that two buckets seldom share one.
+TASKS_PER_BUCKET = 6
 _DATE = "_date"
 
 
@@ -92,7 +95,7 @@ class Seen(StatefulProcessor):
         newest = self.newest.get()[0] if self.newest.exists() else None
         horizon = None if newest is None else (newest - self.keep) // self.width
         held: dict[int, set[bytes]] = {}
-        late: set[tuple[int, bytes]] = set()
+        late: set[bytes] = set()  # the instant is part of an identity, so its name tells the slot too
         for frame in rows:
             if frame.empty:
                 continue
@@ -102,8 +105,8 @@ class Seen(StatefulProcessor):
             for i, slot in enumerate(slots):
                 name = names[16 * i : 16 * i + 16]
                 if horizon is not None and slot < horizon:
-                    if (slot, name) not in late:
-                        late.add((slot, name))
+                    if name not in late:
+                        late.add(name)
                         kept.append(i), settled.append(False)
                     continue
                 known = held.get(slot)
@@ -194,21 +197,25 @@ class ExactLog:
             return late
         chosen = F.col(_DATE).isin([d for d in dates if d is not None])
         chosen = chosen | F.col(_DATE).isNull() if None in dates else chosen
-        probes = late.select("*", *_word(self.columns, self.words))
-        filters = self.filters(batch).where(chosen).select(F.col(_DATE).alias("_d"), F.col("_word").alias("_w"), F.col("_mask").alias("_m"))
-        holds = F.col(_DATE).eqNullSafe(F.col("_d")) & (F.col("_word") == F.col("_w")) & (F.col("_m").bitwiseAND(F.col("_mask")) == F.col("_mask"))
-        maybe = written(probes.join(filters, holds, "left_semi").drop("_word", "_mask"), "maybe")
-        surely = probes.join(filters, holds, "left_anti").drop("_word", "_mask")
         names = [*self.columns, UPDATED_AT]
-        known = self.rows(batch).where(chosen).select(F.col(_DATE).alias("_d"), *(F.col(c).alias(f"_k{i}") for i, c in enumerate(names)))
-        same = F.col(_DATE).eqNullSafe(F.col("_d"))
+        probes = late.select("*", *_word(self.columns, self.words), identity(names)[0].alias("_high"))
+        filters = self.filters(batch).where(chosen).groupBy(F.col("_word").alias("_w"), F.col(_DATE).alias("_d")).agg(F.bit_or("_mask").alias("_m"))
+        # Numbers come first in both conditions: a sort by them seldom compares the rest.
+        place = (F.col("_word") == F.col("_w")) & F.col(_DATE).eqNullSafe(F.col("_d"))
+        holds = F.coalesce(F.col("_m").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False)).alias("_maybe")
+        looked = written(probes.join(filters, place, "left").select(*late.columns, "_high", holds), "looked")
+        known = self.rows(batch).where(chosen).select(
+            identity(names)[0].alias("_h"), F.col(_DATE).alias("_d"), *(F.col(c).alias(f"_k{i}") for i, c in enumerate(names))
+        )
+        same = (F.col("_high") == F.col("_h")) & F.col(_DATE).eqNullSafe(F.col("_d"))
         for i, c in enumerate(names):
             same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
-        return surely.unionByName(maybe.join(known, same, "left_anti"))
+        unmatched = looked.where("_maybe").join(known, same, "left_anti")
+        return looked.where("NOT _maybe").unionByName(unmatched).drop("_maybe", "_high")
 
     def commit(self, batch: DataFrame, batch_id: int) -> None:
         """Append what of a micro-batch of :func:`first_seen` is new."""
-        rows = written(batch.withColumn(_DATE, utc_date(F.col(UPDATED_AT))), "batch")
+        rows = written(batch.withColumn(_DATE, utc_date(F.col(UPDATED_AT))), "batch", self.spark)
         new = rows.where("_settled").unionByName(self.unknown(rows.where("NOT _settled"), batch_id)).drop("_settled")
         new.write.mode("overwrite").partitionBy(_DATE).parquet(f"{self.root}/rows/_batch={batch_id}")
         # The batch's own folder is what the filters are made from, so that both always agree.
@@ -235,11 +242,15 @@ def exactly_once(
     spark = changes.sparkSession
     require_utc(spark)
     log = ExactLog(spark, root, changes.schema, columns, words)
-    before = spark.conf.get(_PROVIDER)
+    # Each partition of the state opens and commits a store in every batch, and there is no more in them than the buckets.
+    tasks = min(int(spark.conf.get(_TASKS)), TASKS_PER_BUCKET * buckets)
+    before = {key: spark.conf.get(key) for key in (_PROVIDER, _TASKS)}
     spark.conf.set(_PROVIDER, ROCKSDB)
+    spark.conf.set(_TASKS, str(tasks))
     try:
         once = first_seen(changes, columns, keep_seconds, slots, buckets)
         writer = once.writeStream.foreachBatch(log.commit).option("checkpointLocation", state)
         return writer.trigger(availableNow=True).start()
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -121,6 +121,11 @@ def add_files(spark: SparkSession, rows: DataFrame, path: str, files: int) -> No
     rows.repartition(files, "event_id").write.mode("append").parquet(path)
 
 
+def add_delivery(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Append ``rows`` as one delivery, in as many files as their size asks for; each spans the whole time."""
+    rows.repartition("event_id").write.mode("append").parquet(path)
+
+
 # scans --------------------------------------------------------------------
 
 
@@ -607,13 +612,14 @@ def exactly_once_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A third of the changes come with the second delivery only, most of them long after the state has passed them.
     """
-    path, root = scratch_root(session(spark), "files"), scratch_root(spark, "changes")
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
-    rows.where("event_id % 3 > 0").repartitionByRange(2, "ts").write.mode("append").parquet(path)
-    rows.unionByName(rows.where("event_type = 'purchase'")).repartition(1).write.mode("append").parquet(path)
-    changes = file_stream(spark, path, files=1).frame.select(F.lit("events").alias("table"), "event_id", "event_type", UPDATED_AT)
-    identity = ["table", "event_id"]
-    exactly_once(changes, identity, root, scratch_root(spark, "stream"), keep_seconds=2 * 86_400, buckets=8).awaitTermination()
+    path, root, state = scratch_root(session(spark), "files"), scratch_root(spark, "changes"), scratch_root(spark, "stream")
+    rows, identity = spark.read.parquet(f"{sf_dir}/events.parquet"), ["table", "event_id"]
+    most = rows.where("event_id % 3 > 0")
+    first = F.coalesce(F.col("ts") < F.lit(most.select(F.percentile_approx("ts", 0.5)).first()[0]), F.lit(True))
+    for part in (most.where(first), most.where(~first), rows.unionByName(rows.where("event_type = 'purchase'"))):
+        add_delivery(spark, part, path)
+        changes = file_stream(spark, path).frame.select(F.lit("events").alias("table"), "event_id", "event_type", UPDATED_AT)
+        exactly_once(changes, identity, root, state, keep_seconds=2 * 86_400, buckets=8).awaitTermination()
     found = ExactLog(spark, root, changes.schema, identity).rows()
     return found.select(F.col("table").alias("table_name"), "event_id", F.unix_micros(UPDATED_AT).alias("lsn"), "event_type")
 
