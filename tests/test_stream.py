@@ -8,7 +8,7 @@ from tidemark.plans.commits import CommitLog
 from tidemark.sources import seed
 from tidemark.sources.published import read_lake, read_share
 from tidemark.streaming.cdc import deduplicate
-from tidemark.streaming.drain import batch_publisher, drain, drain_all, stream_sync
+from tidemark.streaming.drain import batch_publisher, drain, drain_all, stream_sync, unpublished
 
 QUIET = SyncOptions(echo=False)
 
@@ -162,3 +162,14 @@ def test_stream_deduplication_keeps_late_rows(spark, tmp_path):
     query = deduplicate(stream, "case_id").writeStream.format("parquet").option("checkpointLocation", f"file:{tmp_path}/state")
     query.trigger(availableNow=True).start(out).awaitTermination()
     assert spark.read.parquet(out).count() == 200
+
+
+def test_a_batch_is_sorted_once_into_a_copy(spark, root, tmp_path):
+    sync(spark, [TableSource.of(seed.cases(spark).where("case_id <= 150"), CASES)], root, options=QUIET)
+    mark = CommitLog(spark, root).latest().after.mark("cases")
+    rows = seed.cases(spark)
+    rows.unionByName(rows).write.parquet(f"file:{tmp_path}/batch")
+    batch = spark.read.schema(CASES.schema).parquet(f"file:{tmp_path}/batch")
+    new = unpublished(batch, root, CASES, mark)
+    assert not set(new.inputFiles()) & set(batch.inputFiles())
+    assert sorted(r.case_id for r in new.collect()) == list(range(151, 201))

@@ -19,6 +19,7 @@ from tidemark.functions.canonical import utc_date
 from tidemark.operators.delta import past
 from tidemark.plans.commits import Claim, CommitLog
 from tidemark.plans.sync import Clock, SyncOptions, publish
+from tidemark.session import written
 from tidemark.sources.published import read_lake
 from tidemark.sources.tables import TableSource
 
@@ -58,13 +59,13 @@ def unpublished(batch: DataFrame, root: str, contract: Contract, mark: HighWater
 
     Rows past the mark cannot be in it. Rows at or before the mark are late ones or ones delivered
     again, also by a query that lost its state; they are compared with the lake, by key and instant,
-    on just the dates they touch.
+    on just the dates they touch. Repeats are dropped once, into a copy: a batch is read and sorted in
+    one go, whatever is asked of it afterwards.
     """
-    rows = unrepeated(batch.select(*contract.column_names), contract)
+    rows = written(unrepeated(batch.select(*contract.column_names), contract), "once")
     fresh = rows.where(F.coalesce(past(mark, contract.key), F.lit(True)))
     old = rows.where(F.coalesce(~past(mark, contract.key), F.lit(False)))
-    behind = batch.where(F.coalesce(~past(mark, contract.key), F.lit(False)))
-    dates = {r.date for r in behind.select(utc_date(F.col(UPDATED_AT)).alias("date")).distinct().collect()}
+    dates = {r.date for r in old.select(utc_date(F.col(UPDATED_AT)).alias("date")).distinct().collect()}
     if not dates:
         return fresh
     known = read_lake(batch.sparkSession, root, contract, dates=dates)

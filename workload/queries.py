@@ -477,9 +477,12 @@ def stream_drain_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event is delivered twice in its batch; a second batch brings a third of them, again twice, behind the mark."""
     root, path = scratch_root(session(spark), "root"), scratch_root(spark, "files")
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    folders = []
     for part in (rows.where("event_id % 3 < 2"), rows.where("event_id % 3 > 0")):
-        add_files(spark, part.unionByName(part), path, 1)
-        drain(file_stream(spark, path, files=1), root, scratch_root(spark, "stream"), options=LANES)
+        folders.append(f"{path}/{len(folders)}")
+        add_delivery(spark, part.unionByName(part), folders[-1])
+        for folder in folders:  # a batch each, of drains without state, so that the first comes twice
+            drain(file_stream(spark, folder), root, scratch_root(spark, "stream"), options=LANES)
     return plain(read_lake(spark, root, EVENTS))
 
 
