@@ -2,12 +2,12 @@
 
 from collections import Counter
 
-from helpers import sync, utc
+from helpers import plan, sync, utc
 from pyspark.sql import functions as F
 
 from tidemark import CASES, CUSTOMERS, SyncOptions, TableSource
 from tidemark.plans.maintenance import expire
-from tidemark.plans.readmission import readmit
+from tidemark.plans.readmission import mended, readmit
 from tidemark.sources import seed
 from tidemark.sources.published import read_lake, read_open, read_quarantine, set_aside_log
 
@@ -92,3 +92,15 @@ def test_nothing_set_aside(spark, root):
     assert read_open(spark, root, CUSTOMERS).count() == 0
     run(spark, root, source(spark), 1)
     assert readmit(spark, source(spark), root, OPTIONS) == 0 and read_open(spark, root, CASES).count() == 0
+
+
+def test_mended_rows_are_found_by_flat_hashes(spark):
+    rows, lost = seed.cases(spark), F.lit(None).cast("timestamp")
+    aside = [rows.where("case_id = 3").withColumn("updated_at", lost), rows.where("case_id = 4").withColumn("case_id", F.lit(-9).cast("bigint"))]
+    aside.append(rows.where("case_id = 5").withColumn("updated_at", lost).withColumn("case_id", F.lit(None).cast("bigint")))
+    aside = aside[0].unionByName(aside[1]).unionByName(aside[2]).select(*CASES.column_names)
+    found = mended(rows.unionByName(rows.where("case_id = 3")), aside.unionByName(aside), CASES)
+    assert found.columns == rows.columns and Counter(r.case_id for r in found.collect()) == {3: 2, 4: 1, 5: 1}
+    assert mended(rows, aside.limit(0), CASES).count() == 0
+    joins = [line for line in plan(found, "simple").splitlines() if "LeftSemi" in line]
+    assert joins and all("_high" in line and "_payload" not in line for line in joins)  # numbers, sorted by the first
